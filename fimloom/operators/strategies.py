@@ -100,9 +100,10 @@ def _pick(h: Column) -> Column:
 def picks(cands: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
     """Per function: candidate count, one uniform pick and two more loop tries, nested if re-pick."""
     key, st, strat = F.col("key"), F.col("st"), F.col("strategy")
-    h0 = F.when(F.col("ctype") == "body", st).otherwise(draw(key, "node", seed, st))
-    h1 = F.when(strat == "loop", draw(key, "try1", seed, st))
-    h2 = F.when(strat == "loop", draw(key, "try2", seed, st))
+    span = F.concat_ws(":", st.cast("string"), F.col("en").cast("string"))   # unique per candidate
+    h0 = F.when(F.col("ctype") == "body", st).otherwise(draw(key, "node", seed, span))
+    h1 = F.when(strat == "loop", draw(key, "try1", seed, span))
+    h2 = F.when(strat == "loop", draw(key, "try2", seed, span))
     p = cands.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n_c"), _pick(h0).alias("p0"), _pick(h1).alias("p1"),
                                  _pick(h2).alias("p2"))
     # if re-pick: a pick over 5 lines is replaced by a uniform pick among the if/else blocks inside it
@@ -110,7 +111,7 @@ def picks(cands: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
                                                                  F.col("p0.en").alias("o_en"))
     inner = cands.filter(F.col("ctype") == "ifelse").join(big, KEYS).filter(
         (F.col("st") > F.col("o_st")) & (F.col("en") < F.col("o_en")))
-    nested = inner.groupBy(*KEYS).agg(_pick(draw(key, "node2", seed, st)).alias("pn"))
+    nested = inner.groupBy(*KEYS).agg(_pick(draw(key, "node2", seed, span)).alias("pn"))
     return p.join(nested, KEYS, "left")
 
 
@@ -141,6 +142,7 @@ def assemble(f: DataFrame, pk: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame
         .when(strat.isin("comment", "if", "loop", "switch"), F.when(has_c, strat).otherwise(to_ml))
         .when(strat == "short", F.when(has_c, strat).otherwise("useless"))
         .when(strat.isin("single_line", "empty"), F.when(F.col("lp").isNotNull(), strat).otherwise("useless"))
+        .when(strat == "multi_line", to_ml)
         .otherwise(strat)
     )
     j = j.withColumn("eff", eff)

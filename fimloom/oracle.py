@@ -58,8 +58,9 @@ def sl(s: str, i: str | None = None, j: str | None = None) -> str:
     """Python s[i:j] with 0 <= i, j <= len(s)."""
     i = "0" if i is None else i
     if j is None:
-        return f"substring({s}, ({i}) + 1)"
-    return f"(CASE WHEN ({j}) > ({i}) THEN substring({s}, ({i}) + 1, ({j}) - ({i})) ELSE '' END)"
+        return f"substring({s}, CAST(({i}) + 1 AS BIGINT))"
+    return (f"(CASE WHEN ({j}) > ({i}) THEN substring({s}, CAST(({i}) + 1 AS BIGINT), CAST(({j}) - ({i}) AS BIGINT)) "
+            f"ELSE '' END)")
 
 
 # ---------------------------------------------------------------- corpus
@@ -105,12 +106,12 @@ def tokens_cte(name: str, src: str, keys: list[str], text: str = "text") -> str:
 {name}_k AS (SELECT *, {kind} AS kind FROM {name}_raw),
 {name} AS (
   SELECT {k}, pos, tok, kind,
-    coalesce(sum(length(tok)) OVER (PARTITION BY {pk} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS st,
-    coalesce(sum(CASE WHEN kind = 'nl' THEN 1 WHEN kind IN ('id', 'num') THEN 0
+    CAST(coalesce(sum(length(tok)) OVER (PARTITION BY {pk} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS st,
+    CAST(coalesce(sum(CASE WHEN kind = 'nl' THEN 1 WHEN kind IN ('id', 'num') THEN 0
                       ELSE len(regexp_split_to_array(tok, {q(LB_RE2)})) - 1 END)
-             OVER (PARTITION BY {pk} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb,
-    coalesce(sum(length(tok)) OVER (PARTITION BY {pk} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
-      + length(tok) AS en
+             OVER (PARTITION BY {pk} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS nb,
+    CAST(coalesce(sum(length(tok)) OVER (PARTITION BY {pk} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+      + length(tok) AS BIGINT) AS en
   FROM {name}_k
 )"""
 
@@ -126,8 +127,8 @@ def structure_cte(name: str, toks: str, keys: list[str]) -> str:
     return f"""{name}_a AS (
   SELECT {k}, pos, tok, kind, st, nb,
     lag(tok, 1) OVER w AS prev_tok, lag(kind, 1) OVER w AS prev_kind, lag(tok, 2) OVER w AS prev2_tok,
-    sum(CASE WHEN tok = '{{' THEN 1 WHEN tok = '}}' THEN -1 ELSE 0 END) OVER wr AS bd,
-    sum(CASE WHEN tok = '(' THEN 1 WHEN tok = ')' THEN -1 ELSE 0 END) OVER wr AS pd
+    CAST(sum(CASE WHEN tok = '{{' THEN 1 WHEN tok = '}}' THEN -1 ELSE 0 END) OVER wr AS BIGINT) AS bd,
+    CAST(sum(CASE WHEN tok = '(' THEN 1 WHEN tok = ')' THEN -1 ELSE 0 END) OVER wr AS BIGINT) AS pd
   FROM {toks} WHERE kind IN ('id', 'num', 'op', 'str', 'chr', 'pp')
   WINDOW w AS (PARTITION BY {k} ORDER BY pos),
          wr AS (PARTITION BY {k} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
@@ -208,11 +209,12 @@ def blocks_cte(name: str, struct: str, keys: list[str]) -> str:
 )"""
 
 
-def functions_ctes() -> str:
-    """corpus -> ftab(file_path, func_index, func_name, func_def)."""
-    return ",\n".join([
-        corpus_cte(),
-        tokens_cte("ftok", "corpus", ["file_path"]),
+def functions_ctes(source_filter: str | None = None) -> str:
+    """corpus [-> ftab_in (filtered)] -> ftab(file_path, func_index, func_name, func_def)."""
+    src = "ftab_in" if source_filter else "corpus"
+    ctes = [corpus_cte()] + ([source_filter] if source_filter else [])
+    return ",\n".join(ctes + [
+        tokens_cte("ftok", src, ["file_path"]),
         structure_cte("fsig", "ftok", ["file_path"]),
         blocks_cte("fblk", "fsig", ["file_path"]),
         """fspan AS (
@@ -222,10 +224,314 @@ def functions_ctes() -> str:
 )""",
         f"""ftab AS (
   SELECT s.file_path, s.func_index, s.func_name, {sl('c.text', 's.st', 's.en')} AS func_def
-  FROM fspan s JOIN corpus c USING (file_path)
+  FROM fspan s JOIN {src} c USING (file_path)
 )""",
     ])
 
 
 def with_(ctes: str, final: str) -> str:
     return f"WITH {ctes}\n{final}"
+
+
+# ---------------------------------------------------------------- statements / binary expressions
+
+STMT_KW_SQL = "('return','goto','break','continue','case','default','if','for','while','do','switch','else')"
+DECL_KW_SQL = ("('auto','char','const','double','enum','extern','float','inline','int','long','register','restrict',"
+               "'short','signed','static','struct','union','unsigned','void','volatile','_Bool','_Complex',"
+               "'_Imaginary','typedef')")
+DECL_FOLLOW_SQL = "('=', ';', ',', '[', ')')"
+OPERAND_START_SQL = "('(', '-', '+', '!', '~', '*', '&', '++', '--', 'sizeof')"
+BOUNDARY_SQL = "(',', ';', '?', ':', '=', '+=', '-=', '*=', '/=', '%=', '&=', '^=', '|=', '<<=', '>>=', '{', '}', 'return', 'case')"
+PREC_SQL = ("CASE tok WHEN '*' THEN 10 WHEN '/' THEN 10 WHEN '%' THEN 10 WHEN '+' THEN 9 WHEN '-' THEN 9 "
+            "WHEN '<<' THEN 8 WHEN '>>' THEN 8 WHEN '<' THEN 7 WHEN '<=' THEN 7 WHEN '>' THEN 7 WHEN '>=' THEN 7 "
+            "WHEN '==' THEN 6 WHEN '!=' THEN 6 WHEN '&' THEN 5 WHEN '^' THEN 4 WHEN '|' THEN 3 WHEN '&&' THEN 2 "
+            "WHEN '||' THEN 1 END")
+BINOPS_SQL = "('*','/','%','+','-','<<','>>','<','<=','>','>=','==','!=','&','^','|','&&','||')"
+
+
+def statements_cte(name: str, sig: str, keys: list[str]) -> str:
+    k = ", ".join(keys)
+    w = f"(PARTITION BY {k} ORDER BY pos)"
+    wr = f"(PARTITION BY {k} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    named = "(kind = 'id' AND tok NOT IN {kw})".format(kw=C_KEYWORDS_SQL)
+    named1 = "(k1 = 'id')"
+    decl = (f"(tok IN {DECL_KW_SQL} OR ({named} AND ({named1} "
+            f"OR (t1 = '*' AND k2 = 'id' AND t3 IN {DECL_FOLLOW_SQL}) "
+            f"OR (t1 = '*' AND t2 = '*' AND k3 = 'id' AND t4 IN {DECL_FOLLOW_SQL}))))")
+    return f"""{name}_0 AS (
+  SELECT *, ((tok = ';' AND pdepth = 0) OR tok IN ('{{', '}}', 'else', 'do')
+             OR (tok = ')' AND hdr IN ('if', 'for', 'while', 'switch')) OR kind = 'pp') AS b1,
+            (tok = ':' AND pdepth = 0) AS colon0,
+            tok IN ('=', '(', '[') AS eqish
+  FROM {sig}
+),
+{name}_a AS (
+  SELECT *, coalesce(lag(b1, 1) OVER {w}, true) AS after_b1,
+    CAST(sum(CAST(colon0 AS INTEGER)) OVER {wr} AS BIGINT) AS cc,
+    CAST(sum(CAST(eqish AS INTEGER)) OVER {wr} AS BIGINT) AS eqc,
+    lag(pos, 1) OVER {w} AS prev_pos,
+    lead(tok, 1) OVER {w} AS t1, lead(kind, 1) OVER {w} AS k1,
+    lead(tok, 2) OVER {w} AS t2, lead(kind, 2) OVER {w} AS k2,
+    lead(tok, 3) OVER {w} AS t3, lead(kind, 3) OVER {w} AS k3,
+    lead(tok, 4) OVER {w} AS t4
+  FROM {name}_0
+),
+{name}_b AS (
+  SELECT *,
+    last_value(CASE WHEN st1 THEN tok END IGNORE NULLS) OVER {wr} AS s1_tok,
+    last_value(CASE WHEN st1 THEN cc - CAST(colon0 AS INTEGER) END IGNORE NULLS) OVER {wr} AS s1_cc,
+    last_value(CASE WHEN st1 THEN pos END IGNORE NULLS) OVER {wr} AS s1_pos
+  FROM (SELECT *, (after_b1 OR tok IN ('case', 'default')) AND kind <> 'pp' AS st1 FROM {name}_a)
+),
+{name}_c AS (
+  SELECT *, b1 OR (colon0 AND ((s1_tok IN ('case', 'default') AND cc = s1_cc + 1)
+                 OR (prev_kind = 'id' AND prev_tok NOT IN {C_KEYWORDS_SQL} AND prev_pos = s1_pos))) AS b2
+  FROM {name}_b
+),
+{name}_d AS (
+  SELECT *, last_value(CASE WHEN st2 THEN {{'st': st, 'tok': tok, 'kind': kind, 'decl': {decl},
+                                             'eq': eqc - CAST(eqish AS INTEGER)}} END IGNORE NULLS) OVER {wr} AS s
+  FROM (SELECT *, (coalesce(lag(b2, 1) OVER {w}, true) OR tok IN ('case', 'default')) AND kind <> 'pp' AS st2
+        FROM {name}_c)
+),
+{name} AS (
+  SELECT *, s.st AS s_st, s.tok AS s_tok, s.kind AS s_kind, s.decl AS s_decl,
+         (tok = '*' AND s.decl AND eqc = s.eq) AS pointer_star
+  FROM {name}_d
+)"""
+
+
+def exprstmt_cte(name: str, stmts: str, keys: list[str]) -> str:
+    k = ", ".join(keys)
+    return f"""{name} AS (
+  SELECT {k}, s_st AS st, st + 1 AS en FROM {stmts}
+  WHERE tok = ';' AND pdepth = 0 AND s_tok <> ';' AND s_kind <> 'pp' AND s_tok NOT IN {STMT_KW_SQL}
+    AND s_tok NOT IN {DECL_KW_SQL} AND s_tok NOT IN ('{{', '}}') AND NOT s_decl
+)"""
+
+
+def binary_cte(name: str, stmts: str, keys: list[str]) -> str:
+    k = ", ".join(keys)
+    w = f"(PARTITION BY {k} ORDER BY pos)"
+    wr = f"(PARTITION BY {k} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    wl = f"(PARTITION BY {k}, x ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    wrr = f"(PARTITION BY {k}, x ORDER BY pos DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    prev_operand = (f"((prev_kind IN ('id', 'num', 'str', 'chr') AND prev_tok NOT IN {C_KEYWORDS_SQL}) "
+                    f"OR prev_tok IN (']', '++', '--') "
+                    f"OR (prev_tok = ')' AND NOT coalesce(phdr IN ('if', 'for', 'while', 'switch'), false)))")
+    next_operand = f"(k1 IN ('id', 'num', 'str', 'chr') OR t1 IN {OPERAND_START_SQL})"
+    binop = (f"(tok IN {BINOPS_SQL} AND depth >= 1 AND {next_operand} AND NOT pointer_star "
+             f"AND (tok NOT IN ('*', '&', '-', '+') OR {prev_operand}))")
+    bnd = f"(tok IN {BOUNDARY_SQL} OR kind = 'pp')"
+    lefts = ",\n    ".join(
+        f"last_value(CASE WHEN tok IN ('(', '[') OR {bnd} OR (binop AND prec < {q}) THEN next_st END IGNORE NULLS) OVER {wl} AS l{q}"
+        for q in range(1, 11))
+    rights = ",\n    ".join(
+        f"last_value(CASE WHEN tok IN (')', ']') OR {bnd} OR (binop AND prec <= {q}) THEN prev_en END IGNORE NULLS) OVER {wrr} AS r{q}"
+        for q in range(1, 11))
+    larr = "[" + ", ".join(f"l{q}" for q in range(1, 11)) + "]"
+    rarr = "[" + ", ".join(f"r{q}" for q in range(1, 11)) + "]"
+    return f"""{name}_n AS (
+  SELECT *, CAST(sum(CASE WHEN tok IN ('(', '[') THEN 1 WHEN tok IN (')', ']') THEN -1 ELSE 0 END) OVER {wr} AS BIGINT) AS nd_raw,
+         lead(st, 1) OVER {w} AS next_st, lag(st + length(tok), 1) OVER {w} AS prev_en
+  FROM {stmts}
+),
+{name}_x AS (
+  SELECT *, CASE WHEN tok IN ('(', '[', ')', ']') THEN nd + 1 ELSE nd END AS x,
+         {binop} AS binop, CASE WHEN {binop} THEN {PREC_SQL} END AS prec
+  FROM (SELECT *, CASE WHEN tok IN ('(', '[') THEN nd_raw - 1 ELSE nd_raw END AS nd FROM {name}_n)
+),
+{name}_l AS (SELECT *, {lefts} FROM {name}_x),
+{name}_r AS (SELECT *, {rights} FROM {name}_l),
+{name} AS (
+  SELECT {k}, coalesce({larr}[prec], 0) AS st, {rarr}[prec] AS en, tok AS op FROM {name}_r WHERE binop
+)"""
+
+
+# ---------------------------------------------------------------- FIM strategies
+
+BODY_LINE_RE2 = r'(?s)(?:[^"\\\n]+|\\.|\\\z|"[^"\\]*(?:\\.[^"\\]*)*(?:"|\\?\z))+|\n'
+MIXTURE_SQL = [("single_line", 5), ("expression", 4), ("binary", 1), ("comment", 2), ("if", 2), ("loop", 3),
+               ("switch", 1), ("empty", 2)]
+K2 = ["file_path", "func_index", "strategy", "key"]
+
+
+def strategy_sql(strategy: str | None) -> str:
+    if strategy:
+        return q(strategy)
+    acc, whens = 0, []
+    for name, w in MIXTURE_SQL:
+        acc += w
+        whens.append(f"WHEN {draw('key', 'strategy')} % 20 < {acc} THEN {q(name)}")
+    return (f"CASE WHEN n_lines <= 20 AND {draw('key', 'short')} % 10 < 1 THEN 'short' "
+            f"ELSE CASE {' '.join(whens)} END END")
+
+
+def rint(salt: str, lo: str, hi: str) -> str:
+    return f"(({lo}) + {draw('key', salt)} % greatest(({hi}) - ({lo}) + 1, 1))"
+
+
+def fim_ctes(src: str, strategy: str | None = None) -> str:
+    """src(file_path, func_index, func_name, func_def) -> fim(file_path, func_index, func_name, prefix,
+    middle, suffix, flag, strategy)."""
+    s = "func_def"
+    kk = ", ".join(K2)
+    parts = [f"""fs AS (
+  SELECT *, {strategy_sql(strategy)} AS strategy
+  FROM (SELECT *, file_path || '#' || CAST(func_index AS VARCHAR) AS key, len({splitlines('func_def')}) AS n_lines
+        FROM {src})
+)""",
+             """fsyn AS (SELECT * FROM fs WHERE strategy IN ('short', 'expression', 'binary', 'comment', 'if', 'loop', 'switch'))""",
+             tokens_cte("gtok", "fsyn", K2, "func_def"),
+             """gtok_nc AS (SELECT * FROM gtok WHERE strategy <> 'comment')""",
+             structure_cte("gsig", "gtok_nc", K2),
+             """gsel_blk AS (SELECT * FROM gsig WHERE strategy IN ('short', 'if', 'loop', 'switch'))""",
+             blocks_cte("gblk", "gsel_blk", K2),
+             """gsel_e AS (SELECT * FROM gsig WHERE strategy = 'expression')""",
+             statements_cte("gst_e", "gsel_e", K2),
+             exprstmt_cte("gexpr", "gst_e", K2),
+             """gsel_x AS (SELECT * FROM gsig WHERE strategy = 'binary')""",
+             statements_cte("gst_x", "gsel_x", K2),
+             binary_cte("gbin", "gst_x", K2),
+             f"""cands AS (
+  SELECT {kk}, 'comment' AS ctype, st, en, CAST(NULL AS BIGINT) AS n_lines FROM gtok WHERE strategy = 'comment' AND kind = 'comment'
+  UNION ALL
+  SELECT * FROM (
+    SELECT {kk}, CASE WHEN strategy = 'short' AND kind = 'function' AND depth = 0 THEN 'body'
+                      WHEN strategy = 'if' AND (kind = 'if' OR (kind = 'else' AND prev2_tok = '}}')) THEN 'ifelse'
+                      WHEN strategy = 'switch' AND kind = 'case' THEN 'case'
+                      WHEN strategy = 'loop' AND kind IN ('for', 'while', 'macro', 'bare') THEN 'loop' END AS ctype,
+           st, en, n_lines FROM gblk) WHERE ctype IS NOT NULL
+  UNION ALL
+  SELECT {kk}, 'expr', st, en, CAST(NULL AS BIGINT) FROM gexpr
+  UNION ALL
+  SELECT {kk}, 'binary', st, en, CAST(NULL AS BIGINT) FROM gbin
+)""",
+             f"""pk0 AS (
+  SELECT file_path, func_index, count(*) AS n_c,
+    min(CASE WHEN h0 IS NOT NULL THEN {{'h': h0, 'st': st, 'en': en, 'n_lines': n_lines}} END) AS p0,
+    min(CASE WHEN h1 IS NOT NULL THEN {{'h': h1, 'st': st, 'en': en, 'n_lines': n_lines}} END) AS p1,
+    min(CASE WHEN h2 IS NOT NULL THEN {{'h': h2, 'st': st, 'en': en, 'n_lines': n_lines}} END) AS p2
+  FROM (SELECT *, CASE WHEN ctype = 'body' THEN st ELSE {draw('key', 'node', "concat_ws(':', st, en)")} END AS h0,
+               CASE WHEN strategy = 'loop' THEN {draw('key', 'try1', "concat_ws(':', st, en)")} END AS h1,
+               CASE WHEN strategy = 'loop' THEN {draw('key', 'try2', "concat_ws(':', st, en)")} END AS h2
+        FROM cands)
+  GROUP BY file_path, func_index
+)""",
+             f"""pbig AS (SELECT file_path, func_index, p0.st AS o_st, p0.en AS o_en FROM pk0 WHERE p0.n_lines > 5)""",
+             f"""pnest AS (
+  SELECT c.file_path, c.func_index,
+    min({{'h': {draw('c.key', 'node2', "concat_ws(':', c.st, c.en)")}, 'st': c.st, 'en': c.en, 'n_lines': c.n_lines}}) AS pn
+  FROM cands c JOIN pbig b ON c.file_path = b.file_path AND c.func_index = b.func_index
+  WHERE c.ctype = 'ifelse' AND c.st > b.o_st AND c.en < b.o_en
+  GROUP BY c.file_path, c.func_index
+)""",
+             """pk AS (SELECT * FROM pk0 LEFT JOIN pnest USING (file_path, func_index))"""]
+    # line pick
+    b0 = f"instr({s}, '{{')"
+    b1 = f"(CASE WHEN instr({s}, '}}') > 0 THEN length({s}) - 1 - length(regexp_extract({s}, '[^}}]*\\z', 0)) ELSE -1 END)"
+    body = f"(CASE WHEN {b1} > {b0} THEN substring({s}, {b0} + 1, {b1} - {b0}) ELSE '' END)"
+    parts.append(f"""j0 AS (
+  SELECT fs.*, pk.n_c, pk.p0, pk.p1, pk.p2, pk.pn,
+    regexp_extract_all({body}, {q(BODY_LINE_RE2)}, 0) AS segs, {b0} AS b0
+  FROM fs LEFT JOIN pk USING (file_path, func_index)
+)""")
+    parts.append(f"""j1 AS (
+  SELECT *, list_filter(list_transform(segs, lambda x, i: {{'x': x, 'i': i - 1}}),
+                        lambda e: e.x <> chr(10) AND length({py_strip('e.x')}) > 1) AS elig
+  FROM j0
+)""")
+    parts.append(f"""j2 AS (
+  SELECT *, CASE WHEN len(elig) > 0 THEN elig[{draw('key', 'line')} % greatest(len(elig), 1) + 1] END AS ch FROM j1
+)""")
+    parts.append(f"""j3 AS (
+  SELECT *, {py_strip('ch.x')} AS line,
+    CASE WHEN ch.i = 0 THEN 0 ELSE b0 + CAST(coalesce(list_sum(list_transform(segs[1:ch.i], lambda x: length(x))), 0) AS BIGINT) END AS lstart
+  FROM j2
+)""")
+    parts.append(f"""j4 AS (
+  SELECT *, CASE WHEN ch IS NOT NULL THEN {{'p': lp_p, 'snip': lp_p + {rint('chars', '1', 'length(line)')} - 1,
+                                           'line_end': lp_p + length(line)}} END AS lp
+  FROM (SELECT *, lstart + instr(substring({s}, lstart + 1), line) - 1 AS lp_p FROM j3)
+)""")
+    fits = lambda p: f"({p}.n_lines <= 20)"
+    tries = "least(3, n_c)"
+    loop = (f"CASE WHEN {fits('p0')} THEN p0 WHEN {tries} >= 2 AND {fits('p1')} THEN p1 "
+            f"WHEN {tries} >= 3 AND {fits('p2')} THEN p2 WHEN {tries} >= 3 THEN p2 WHEN {tries} = 2 THEN p1 ELSE p0 END")
+    if_ = "CASE WHEN p0.n_lines <= 5 THEN p0 ELSE coalesce(pn, p0) END"
+    parts.append(f"""j5 AS (
+  SELECT *, CASE WHEN strategy = 'if' THEN {if_} WHEN strategy = 'loop' THEN {loop} ELSE p0 END AS blk,
+    len(list_filter({splitlines(s)}, lambda l: {py_strip('l')} <> '')) >= 5 AS ml_ok
+  FROM j4
+)""")
+    eff = ("CASE WHEN strategy IN ('expression', 'binary') THEN CASE WHEN coalesce(n_c, 0) > 0 THEN strategy "
+           "WHEN lp IS NOT NULL THEN 'single_line' ELSE 'useless' END "
+           "WHEN strategy IN ('comment', 'if', 'loop', 'switch') THEN CASE WHEN coalesce(n_c, 0) > 0 THEN strategy "
+           "WHEN ml_ok THEN 'multi_line' ELSE 'useless' END "
+           "WHEN strategy = 'short' THEN CASE WHEN coalesce(n_c, 0) > 0 THEN strategy ELSE 'useless' END "
+           "WHEN strategy IN ('single_line', 'empty') THEN CASE WHEN lp IS NOT NULL THEN strategy ELSE 'useless' END "
+           "WHEN strategy = 'multi_line' THEN CASE WHEN ml_ok THEN 'multi_line' ELSE 'useless' END "
+           "ELSE strategy END")
+    parts.append(f"""j6 AS (SELECT *, {eff} AS eff FROM j5)""")
+    coin = f"({draw('key', 'trim')} % 10 < 5)"
+    part_end = (f"(blk.st + length(array_to_string({splitlines(sl(s, 'blk.st', 'blk.en'))}[1:{rint('longn', '3', '10')}], chr(10))))")
+    inner0 = f"(blk.st + 1 + length(regexp_extract(substring({s}, blk.st + 2), '^[ \\t\\n]*', 0)))"
+    parts.append(f"""j7 AS (
+  SELECT *, eff IN ('if', 'loop', 'switch') AND blk.n_lines > 20 AS long_,
+    {coin} AS coin, {part_end} AS part_end, {inner0} AS inner0
+  FROM j6
+)""")
+    blk_i1 = ("CASE WHEN long_ THEN CASE WHEN NOT coin AND inner0 < part_end THEN inner0 ELSE blk.st END "
+              "ELSE CASE WHEN coin AND inner0 < blk.en - 1 THEN inner0 ELSE blk.st END END")
+    blk_i2 = ("CASE WHEN long_ THEN part_end "
+              "ELSE CASE WHEN coin AND inner0 < blk.en - 1 THEN blk.en - 1 ELSE blk.en END END")
+    parts.append(f"""j8 AS (
+  SELECT *,
+    CASE WHEN eff = 'single_line' THEN lp.snip WHEN eff IN ('expression', 'binary', 'short') THEN p0.st
+         WHEN eff IN ('if', 'loop', 'switch') THEN {blk_i1} END AS i1,
+    CASE WHEN eff = 'single_line' THEN lp.line_end WHEN eff IN ('expression', 'binary', 'short') THEN p0.en
+         WHEN eff IN ('if', 'loop', 'switch') THEN {blk_i2} END AS i2
+  FROM j7
+)""")
+    # T4
+    lines = f"list_filter({splitlines(s)}, lambda l: {py_strip('l')} <> '')"
+    parts.append(f"""m0 AS (SELECT *, {lines} AS nbl FROM j8)""")
+    parts.append(f"""m1 AS (SELECT *, {rint('start', '1', 'len(nbl) - 3')} AS ml_start FROM m0)""")
+    parts.append(f"""m2 AS (SELECT *, {rint('n', '2', 'least(6, len(nbl) - ml_start)')} AS ml_n FROM m1)""")
+    parts.append(f"""m3 AS (SELECT *, nbl[ml_start + 1] AS ml_first, regexp_extract(nbl[ml_start + 1], '^[ \\t]*', 0) AS ml_ind FROM m2)""")
+    ml_p = "array_to_string(nbl[1:ml_start], chr(10)) || chr(10) || ml_ind"
+    ml_m = "substring(ml_first, length(ml_ind) + 1) || chr(10) || array_to_string(nbl[ml_start + 2:ml_start + ml_n], chr(10))"
+    ml_s = "chr(10) || array_to_string(nbl[ml_start + ml_n + 1:len(nbl)], chr(10))"
+    # T10
+    em_pre = sl(s, "0", "lp.line_end")
+    em_ind = f"regexp_extract(regexp_extract({em_pre}, '[^\\n]*\\z', 0), '^[ \\t]*', 0)"
+    em_p = f"CASE WHEN {draw('key', 'nl')} % 10 < 7 THEN {em_pre} || chr(10) || {em_ind} ELSE {em_pre} END"
+    em_s = sl(s, "lp.line_end")
+    # T5
+    parts.append(f"""c0 AS (SELECT *, {splitlines(sl(s, 'p0.en + 1'))} AS rl FROM m3)""")
+    parts.append("""c1 AS (SELECT *, CASE WHEN coalesce(list_position(rl, ''), 0) > 0 THEN list_position(rl, '') - 1 ELSE 0 END AS bi FROM c0)""")
+    parts.append("""c2 AS (SELECT *, array_to_string(rl[1:bi], chr(10)) AS cm_mid0 FROM c1)""")
+    parts.append("""c3 AS (SELECT *, length(regexp_extract(cm_mid0, '^[ \\t]*', 0)) AS off FROM c2)""")
+    cm_p = f"{sl(s, '0', 'p0.en')} || chr(10) || {sl('cm_mid0', '0', 'off')}"
+    cm_m = sl("cm_mid0", "off")
+    cm_s = "chr(10) || array_to_string(rl[bi + 1:len(rl)], chr(10))"
+
+    def pick3(cut, ml, em, cm):
+        return (f"CASE WHEN eff = 'multi_line' THEN {ml} WHEN eff = 'empty' THEN {em} WHEN eff = 'comment' THEN {cm} "
+                f"WHEN eff = 'useless' THEN '' ELSE {cut} END")
+
+    flag = ("CASE eff WHEN 'single_line' THEN 'RANDOM_SINGLE_LINE' WHEN 'expression' THEN 'EXPRESSION_STATEMENT' "
+            "WHEN 'binary' THEN 'BINARY_EXPRESSION' WHEN 'useless' THEN 'USELESS' WHEN 'multi_line' THEN 'RANDOM_MULTI_LINE' "
+            "WHEN 'empty' THEN 'EMPTY' WHEN 'short' THEN 'SHORT_FUNCTION' WHEN 'comment' THEN 'COMMENT_BLOCK' "
+            "WHEN 'if' THEN CASE WHEN long_ THEN 'IF_BLOCK_LONG' ELSE 'IF_BLOCK' END "
+            "WHEN 'switch' THEN CASE WHEN long_ THEN 'SWITCH_CASE_LONG' ELSE 'SWITCH_CASE' END "
+            "WHEN 'loop' THEN CASE WHEN long_ THEN 'LOOP_BLOCK_LONG' ELSE 'LOOP_BLOCK' END END")
+    parts.append(f"""fim AS (
+  SELECT file_path, func_index, func_name,
+    {pick3(sl(s, '0', 'i1'), ml_p, em_p, cm_p)} AS prefix,
+    {pick3(sl(s, 'i1', 'i2'), ml_m, "''", cm_m)} AS middle,
+    {pick3(f"CASE WHEN eff = 'short' THEN '' ELSE {sl(s, 'i2')} END", ml_s, em_s, cm_s)} AS suffix,
+    {flag} AS flag, strategy
+  FROM c3
+)""")
+    return ",\n".join(parts)
