@@ -12,8 +12,11 @@ from .tokens import blocks, structure, tokenize
 def by_key(df: DataFrame, keys: list[str]) -> DataFrame:
     """The one shuffle of a per-file / per-function job: hash the whole rows on their key.
 
-    Every later window / aggregate / join on (keys, ...) reuses this partitioning."""
-    return df.repartition(*keys)
+    Every later window / aggregate / join on (keys, ...) reuses this partitioning.  The partition count
+    is the session's ``spark.sql.shuffle.partitions`` and is kept as is: the work per byte here
+    (tokenizing, windows) is high, so AQE's size-based coalescing would starve the stage of tasks."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)
 
 
 def function_spans(files: DataFrame, keys: list[str] = ("file_path",), text: str = "text") -> DataFrame:
@@ -37,7 +40,9 @@ def function_table(files: DataFrame) -> DataFrame:
     """(file_path, func_index, func_name, func_def) from decoded files (file_path, text)."""
     files = by_key(files.select("file_path", "text"), ["file_path"])
     spans = function_spans(files, ["file_path"], "text")
-    j = spans.join(files, "file_path")
+    # both sides are hash-partitioned on file_path already: a merge join needs no exchange, and the
+    # file texts are never broadcast whatever the size estimate says
+    j = spans.join(files.hint("merge"), "file_path")
     return j.select(
         "file_path", "func_index", "func_name",
         py_slice(F.col("text"), F.col("st"), F.col("en")).alias("func_def"),

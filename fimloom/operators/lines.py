@@ -48,20 +48,50 @@ def body_lines(s: Column) -> Column:
     return F.transform(elig, lambda e: F.struct(py_strip(e["x"]).alias("line"), start_of(e["i"]).alias("start")))
 
 
-def pick_line(s: Column, key: Column, seed: int) -> Column:
-    """struct(p, snip, line_end) for a uniformly drawn eligible line; null when there is none.
+def eligible_lines(segs: Column) -> Column:
+    """Content segments whose stripped text is longer than one char, with their segment index."""
+    items = F.transform(segs, lambda x, i: F.struct(x.alias("x"), i.alias("i")))
+    return F.filter(items, lambda e: (e["x"] != "\n") & (F.length(py_strip(e["x"])) > 1))
+
+
+def with_line_pick(df, s: str, key: str, seed: int, need: Column | None = None, out: str = "lp"):
+    """C7 as staged columns: adds ``out`` = struct(p, snip, line_end) for a uniformly drawn eligible body
+    line (null when there is none, or when ``need`` is false).
+
+    ``p`` is where the stripped line is found from its start; ``snip = p + k - 1`` with k in 1..len.
+    Each stage is its own column, referenced more than once downstream, so Catalyst keeps them apart
+    and every expensive step runs once per row."""
+    sc, kc = F.col(s), F.col(key)
+    segs = body_segments(sc)
+    df = df.withColumn("_segs", segs if need is None else F.when(need, segs))
+    df = df.withColumn("_elig", eligible_lines(F.col("_segs")))
+    n = F.coalesce(F.size(F.col("_elig")), F.lit(0))
+    df = df.withColumn("_ch", F.when(n > 0, F.get(F.col("_elig"), choice_index(kc, "line", F.greatest(n, F.lit(1)), seed))))
+    ch = F.col("_ch")
+    m = ch["i"]
+    start = F.when(m == 0, F.lit(0)).otherwise(
+        body_start(sc) + F.aggregate(F.slice(F.col("_segs"), 1, m), F.lit(0), lambda a, x: a + F.length(x)))
+    df = df.withColumn("_line", py_strip(ch["x"])).withColumn("_lstart", start)
+    line = F.col("_line")
+    p = F.call_function("locate", line, sc, F.col("_lstart") + 1) - 1
+    df = df.withColumn("_p", p)
+    ln = F.length(line)
+    k = randint(kc, "chars", F.lit(1), ln, seed)
+    lp = F.when(ch.isNotNull(), F.struct(F.col("_p").alias("p"), (F.col("_p") + k - 1).alias("snip"),
+                                         (F.col("_p") + ln).alias("line_end")))
+    return df.withColumn(out, lp).drop("_segs", "_elig", "_ch", "_line", "_lstart", "_p")
+
 
-    ``p`` is where the stripped line is found from its start; ``snip = p + k - 1`` with k in 1..len."""
+def pick_line(s: Column, key: Column, seed: int) -> Column:
+    """C7 as a single expression (for one-off use; ``with_line_pick`` is the staged, faster form)."""
     segs = body_segments(s)
-    b0 = body_start(s)
-    items = F.transform(segs, lambda x, i: F.struct(x.alias("x"), i.alias("i")))
-    elig = F.filter(items, lambda e: (e["x"] != "\n") & (F.length(py_strip(e["x"])) > 1))
+    elig = eligible_lines(segs)
     n = F.size(elig)
     chosen = F.get(elig, choice_index(key, "line", F.greatest(n, F.lit(1)), seed))
     m = chosen["i"]
     line = py_strip(chosen["x"])
     start = F.when(m == 0, F.lit(0)).otherwise(
-        b0 + F.aggregate(F.slice(segs, 1, m), F.lit(0), lambda a, x: a + F.length(x)))
+        body_start(s) + F.aggregate(F.slice(segs, 1, m), F.lit(0), lambda a, x: a + F.length(x)))
     p = F.call_function("locate", line, s, start + 1) - 1
     ln = F.length(line)
     k = randint(key, "chars", F.lit(1), ln, seed)
@@ -83,11 +113,10 @@ def empty_completion(s: Column, pick: Column, key: Column, seed: int) -> tuple[C
     return prefix, F.lit(""), py_slice(s, end)
 
 
-def multi_line(s: Column, key: Column, seed: int) -> tuple[Column, Column, Column, Column]:
-    """T4: 2..6 whole non-blank lines; fewer than 5 non-blank lines -> USELESS.
+def multi_line(lines: Column, key: Column, seed: int) -> tuple[Column, Column, Column, Column]:
+    """T4 over the non-blank lines (C9) of a function: 2..6 whole lines; fewer than 5 -> USELESS.
 
     Returns (prefix, middle, suffix, ok)."""
-    lines = nonblank_lines(s)
     n_l = F.size(lines)
     start = randint(key, "start", F.lit(1), n_l - 3, seed)
     n = randint(key, "n", F.lit(2), F.least(F.lit(6), n_l - start), seed)

@@ -128,13 +128,19 @@ def _block_choice(strat: Column) -> Column:
 
 
 def assemble(f: DataFrame, pk: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
-    """Join picks back and cut every function: (file_path, func_index, func_name, prefix, middle, suffix, flag)."""
+    """Join picks back and cut every function: (file_path, func_index, func_name, prefix, middle, suffix, flag).
+
+    Expensive intermediates (body lines, non-blank lines, block lines) are staged columns computed only
+    for the rows whose effective strategy needs them."""
     j = f.join(pk, KEYS, "left")
     s, key, strat = F.col("func_def"), F.col("key"), F.col("strategy")
-    j = j.withColumn("lp", L.pick_line(s, key, seed))
-    j = j.withColumn("blk", _block_choice(strat))
     has_c = F.coalesce(F.col("n_c"), F.lit(0)) > 0
-    ml_ok = F.size(L.nonblank_lines(s)) >= 5
+    need_lp = strat.isin("single_line", "empty") | (strat.isin("expression", "binary") & ~has_c)
+    need_ml = (strat == "multi_line") | (strat.isin("comment", "if", "loop", "switch") & ~has_c)
+    j = L.with_line_pick(j, "func_def", "key", seed, need=need_lp, out="lp")
+    j = j.withColumn("nbl", F.when(need_ml, L.nonblank_lines(s)))
+    j = j.withColumn("blk", _block_choice(strat))
+    ml_ok = F.size(F.col("nbl")) >= 5
     to_ml = F.when(ml_ok, "multi_line").otherwise("useless")
     to_sl = F.when(F.col("lp").isNotNull(), "single_line").otherwise("useless")
     eff = (
@@ -149,12 +155,17 @@ def assemble(f: DataFrame, pk: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame
     e = F.col("eff")
     blk = F.col("blk")
     b_st, b_en = blk["st"], blk["en"]
-    long_ = e.isin("if", "loop", "switch") & (blk["n_lines"] > BLOCK_LONG_LINES)
+    is_blk = e.isin("if", "loop", "switch")
+    j = j.withColumn("long_", is_blk & (blk["n_lines"] > BLOCK_LONG_LINES))
+    long_ = F.col("long_")
     coin = bernoulli(key, "trim", 5, seed)
-    # long block: first n in 3..10 lines of the block
+    # long block: the first n in 3..10 lines of the block
     n = randint(key, "longn", F.lit(3), F.lit(10), seed)
     part_end = b_st + F.length(F.array_join(F.slice(splitlines(py_slice(s, b_st, b_en)), 1, n), "\n"))
-    inner0 = skip_blank_forward(s, b_st + 1)
+    j = j.withColumn("part_end", F.when(long_, part_end))
+    j = j.withColumn("inner0", F.when(is_blk, skip_blank_forward(s, b_st + 1)))
+    j = j.withColumn("coin", coin)
+    inner0, part_end, coin = F.col("inner0"), F.col("part_end"), F.col("coin")
     # (i1, i2) of the three-way cut
     c2_ok = inner0 < b_en - 1
     c3_ok = inner0 < part_end
@@ -164,24 +175,28 @@ def assemble(f: DataFrame, pk: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame
     lp = F.col("lp")
     i1 = (F.when(e == "single_line", lp["snip"])
           .when(e.isin("expression", "binary", "short"), F.col("p0.st"))
-          .when(e.isin("if", "loop", "switch"), blk_i1))
+          .when(is_blk, blk_i1))
     i2 = (F.when(e == "single_line", lp["line_end"])
           .when(e.isin("expression", "binary", "short"), F.col("p0.en"))
-          .when(e.isin("if", "loop", "switch"), blk_i2))
+          .when(is_blk, blk_i2))
     j = j.withColumn("i1", i1).withColumn("i2", i2)
     i1, i2 = F.col("i1"), F.col("i2")
     # T4
-    ml_p, ml_m, ml_s, _ = L.multi_line(s, key, seed)
+    ml_p, ml_m, ml_s, _ = L.multi_line(F.col("nbl"), key, seed)
     # T10
     em_p, em_m, em_s = L.empty_completion(s, lp, key, seed)
     # T5
     c_en = F.col("p0.en")
-    rl = splitlines(py_slice(s, c_en + 1))
+    j = j.withColumn("rl", F.when(e == "comment", splitlines(py_slice(s, c_en + 1))))
+    rl = F.col("rl")
     pos = F.array_position(rl, "")
-    bi = F.when(pos > 0, pos - 1).otherwise(F.lit(0)).cast("int")
-    cm_mid0 = F.array_join(F.slice(rl, 1, bi), "\n")
+    j = j.withColumn("bi", F.when(pos > 0, pos - 1).otherwise(F.lit(0)).cast("int"))
+    bi = F.col("bi")
+    j = j.withColumn("cm_mid0", F.array_join(F.slice(rl, 1, bi), "\n"))
+    cm_mid0 = F.col("cm_mid0")
     cm_s = F.concat(F.lit("\n"), F.array_join(F.slice(rl, bi + 1, F.greatest(F.size(rl), F.lit(1))), "\n"))
-    off = F.length(leading_indent(cm_mid0))
+    j = j.withColumn("off", F.length(leading_indent(cm_mid0)))
+    off = F.col("off")
     cm_p = F.concat(py_slice(s, 0, c_en), F.lit("\n"), py_slice(cm_mid0, 0, off))
     cm_m = py_slice(cm_mid0, off)
 

@@ -29,17 +29,23 @@ def c_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The collect step's output, materialised once in the checkpoint folder (as the reference writes
+    its JSONL between the two stages), so stage 2 branches never recompute stage 1."""
+    return function_table(c_files(spark, sf_dir)).checkpoint(eager=True)
+
+
+def functions_lazy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return function_table(c_files(spark, sf_dir))
 
 
 # ------------------------------------------------------------------ Spark side
 
 def q_extract_functions(spark, sf_dir):
-    return functions(spark, sf_dir)
+    return functions_lazy(spark, sf_dir)
 
 
 def q_function_name(spark, sf_dir):
-    return functions(spark, sf_dir).select("file_path", "func_index", "func_name")
+    return functions_lazy(spark, sf_dir).select("file_path", "func_index", "func_name")
 
 
 def q_function_process(spark, sf_dir):
