@@ -5,7 +5,7 @@ Plan shape (per function key, after the single ``by_key`` shuffle):
     funcs --(draw strategy)--> F
     F[needs syntax] --tokenize/structure/blocks--> candidate rows (ctype, st, en, n_lines)
     candidates --groupBy key: min(struct(hash, ...))--> picks        (uniform choice, map-side combined)
-    picks[if, > 5 lines] --join candidates inside the pick--> nested picks (if re-pick)
+    (the if re-pick uses a window over the same candidate rows; no second pass)
     F --left join picks--> one projection computes (prefix, middle, suffix, flag)
 
 A uniform pick among a function's candidates is the candidate with the smallest hash
@@ -14,7 +14,7 @@ A uniform pick among a function's candidates is the candidate with the smallest
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.draws import DEFAULT_SEED, bernoulli, draw, fkey, randint
@@ -98,21 +98,23 @@ def _pick(h: Column) -> Column:
 
 
 def picks(cands: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
-    """Per function: candidate count, one uniform pick and two more loop tries, nested if re-pick."""
-    key, st, strat = F.col("key"), F.col("st"), F.col("strategy")
-    span = F.concat_ws(":", st.cast("string"), F.col("en").cast("string"))   # unique per candidate
+    """Per function: candidate count, one uniform pick, two more loop tries, and the if re-pick.
+
+    The first pick is also spread to every candidate row by a window over the function key, so the
+    re-pick among if/else blocks nested inside it (when it spans more than 5 lines) happens in the same
+    aggregation: the candidate table is computed once, with no join."""
+    key, st, en, strat = F.col("key"), F.col("st"), F.col("en"), F.col("strategy")
+    span = F.concat_ws(":", st.cast("string"), en.cast("string"))   # unique per candidate
     h0 = F.when(F.col("ctype") == "body", st).otherwise(draw(key, "node", seed, span))
     h1 = F.when(strat == "loop", draw(key, "try1", seed, span))
     h2 = F.when(strat == "loop", draw(key, "try2", seed, span))
-    p = cands.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n_c"), _pick(h0).alias("p0"), _pick(h1).alias("p1"),
-                                 _pick(h2).alias("p2"))
-    # if re-pick: a pick over 5 lines is replaced by a uniform pick among the if/else blocks inside it
-    big = p.filter(F.col("p0.n_lines") > IF_NEST_LINES).select(*KEYS, F.col("p0.st").alias("o_st"),
-                                                                 F.col("p0.en").alias("o_en"))
-    inner = cands.filter(F.col("ctype") == "ifelse").join(big, KEYS).filter(
-        (F.col("st") > F.col("o_st")) & (F.col("en") < F.col("o_en")))
-    nested = inner.groupBy(*KEYS).agg(_pick(draw(key, "node2", seed, span)).alias("pn"))
-    return p.join(nested, KEYS, "left")
+    c = cands.withColumn("_p0", _pick(h0).over(Window.partitionBy(*KEYS)))
+    inside = ((F.col("ctype") == "ifelse") & (F.col("_p0.n_lines") > IF_NEST_LINES)
+              & (st > F.col("_p0.st")) & (en < F.col("_p0.en")))
+    hn = F.when(inside, draw(key, "node2", seed, span))
+    return c.groupBy(*KEYS).agg(
+        F.count(F.lit(1)).alias("n_c"), F.first("_p0").alias("p0"), _pick(h1).alias("p1"), _pick(h2).alias("p2"),
+        _pick(hn).alias("pn"))
 
 
 def _block_choice(strat: Column) -> Column:

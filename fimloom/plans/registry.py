@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import oracle as O
 from ..operators.extract import function_table
 from ..operators.strategies import fim, with_strategy
-from ..session import prepare
+from ..session import materialize, prepare
 from ..sources.corpus import corpus
 from .collect import select_c_sources
 
@@ -31,7 +31,7 @@ def c_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The collect step's output, materialised once in the checkpoint folder (as the reference writes
     its JSONL between the two stages), so stage 2 branches never recompute stage 1."""
-    return function_table(c_files(spark, sf_dir)).checkpoint(eager=True)
+    return materialize(function_table(c_files(spark, sf_dir)), "functions")
 
 
 def functions_lazy(spark: SparkSession, sf_dir: str) -> DataFrame:

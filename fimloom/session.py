@@ -77,3 +77,14 @@ def _count():
 
 
 _counter = _count()
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as a parquet table in the checkpoint folder and read it back.
+
+    Cuts the lineage (a lost executor re-reads the table instead of recomputing upstream stages) and,
+    unlike ``Dataset.checkpoint``, computes the plan exactly once."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
