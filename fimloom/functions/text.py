@@ -38,6 +38,29 @@ def cut(s: Column, i: Column, j: Column) -> tuple[Column, Column, Column]:
     return py_slice(s, 0, i), py_slice(s, i, j), py_slice(s, j)
 
 
+def cut_inner(s: Column, i: Column, j: Column) -> tuple[Column, Column, Column]:
+    """Skip the opening brace and the blank after it; end just before the last char (the closing
+    brace), so trailing blank stays in the middle.  An empty block falls back to C1 (the reference
+    aborts the run there)."""
+    i1 = skip_blank_forward(s, i + 1)
+    ok = i1 < j - 1
+    a = F.when(ok, i1).otherwise(i)
+    b = F.when(ok, j - 1).otherwise(j)
+    return cut(s, a, b)
+
+
+def cut_half(s: Column, i: Column, j: Column) -> tuple[Column, Column, Column]:
+    """Skip the opening brace and the blank after it; end unchanged (C1 when nothing is left)."""
+    i1 = skip_blank_forward(s, i + 1)
+    a = F.when(i1 < j, i1).otherwise(i)
+    return cut(s, a, j)
+
+
+def rfind(s: Column, ch: str) -> Column:
+    """Python s.rfind(ch) for a one-character ch (-1 when absent)."""
+    return F.when(F.instr(s, ch) > 0, F.length(s) - F.instr(F.reverse(s), ch)).otherwise(F.lit(-1))
+
+
 def skip_blank_forward(s: Column, i: Column) -> Column:
     """First index >= i whose char is not space, tab or newline."""
     return i + F.length(F.regexp_extract(py_slice(s, i), r"^[ \t\n]*", 0))

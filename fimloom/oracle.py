@@ -535,3 +535,21 @@ def fim_ctes(src: str, strategy: str | None = None) -> str:
   FROM c3
 )""")
     return ",\n".join(parts)
+
+
+def manifest_cte() -> str:
+    dirs = "[" + ", ".join(q(d) for d in DIRS) + "][doc_id % 7 + 1]"
+    ext = "CASE WHEN doc_id % 11 = 0 THEN '.h' WHEN doc_id % 11 = 1 THEN '.C' ELSE '.c' END"
+    return f"""man AS (
+  SELECT '/corpus/' || source || '/' || {dirs} || '/doc_' || CAST(doc_id AS VARCHAR) || {ext} AS file_path, doc_id
+  FROM documents
+)"""
+
+
+def rfind_sql(s: str, ch: str) -> str:
+    return f"(CASE WHEN instr({s}, {q(ch)}) > 0 THEN length({s}) - 1 - length(regexp_extract({s}, {q('[^' + ch + ']*' + chr(92) + 'z')}, 0)) ELSE -1 END)"
+
+
+def skip_blank_sql(s: str, i: str) -> str:
+    """First index >= i whose char is not space, tab or newline."""
+    return f"(({i}) + length(regexp_extract(substring({s}, CAST(({i}) + 1 AS BIGINT)), '^[ \t\n]*', 0)))"

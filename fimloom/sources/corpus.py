@@ -102,6 +102,15 @@ def render_c_files(documents: DataFrame) -> DataFrame:
     return documents.select(path.alias("file_path"), d.alias("doc_id"), text.alias("text"))
 
 
+def render_paths(documents: DataFrame) -> DataFrame:
+    """Only the file paths of the rendered corpus (no text): a manifest for the path operators."""
+    d = F.col("doc_id")
+    dir_ = F.element_at(F.array(*[F.lit(x) for x in DIRS]), (F.pmod(d, F.lit(7)) + 1).cast("int"))
+    ext = F.when(F.pmod(d, F.lit(11)) == 0, ".h").when(F.pmod(d, F.lit(11)) == 1, ".C").otherwise(".c")
+    path = F.concat(F.lit("/corpus/"), F.col("source"), F.lit("/"), dir_, F.lit("/doc_"), d.cast("string"), ext)
+    return documents.select(path.alias("file_path"), d.alias("doc_id"))
+
+
 def load_documents(spark, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
 
