@@ -12,15 +12,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType, TimestampType
+
 from ..operators.extract import function_table
 from ..sources.decode import decode_files
 from ..sources.files import DEFAULT_SKIP_DIRS, in_skipped_dir
 from ..sources.jsonl import write_jsonl
 
 
+BINARY_FILE_SCHEMA = StructType([
+    StructField("path", StringType(), False),
+    StructField("modificationTime", TimestampType(), False),
+    StructField("length", LongType(), False),
+    StructField("content", BinaryType(), True),
+])
+
+
 def start_collect_stream(spark: SparkSession, source_dir: str, output_dir: str, checkpoint_location: str,
                          skip_dirs=DEFAULT_SKIP_DIRS, available_now: bool = True) -> StreamingQuery:
     stream = (spark.readStream.format("binaryFile")
+              .schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", "*.c")
               .option("recursiveFileLookup", "true")
               .load(source_dir))
