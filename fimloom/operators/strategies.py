@@ -66,10 +66,11 @@ def with_strategy(funcs: DataFrame, seed: int = DEFAULT_SEED, strategy: str | No
 
 
 def candidates(f: DataFrame) -> DataFrame:
-    """Candidate spans of the type each function's strategy asks for: (KEYS, strategy, key, ctype, st, en, n_lines).
+    """Candidate spans of the type each function's strategy asks for: (KEYS, strategy, ctype, st, en, n_lines).
 
-    ``f`` must be partitioned by KEYS and carry ``strategy`` and ``key``."""
-    keys = KEYS + ["strategy", "key"]
+    ``f`` must be partitioned by KEYS and carry ``strategy``.  Token rows carry only the key columns
+    and the (short) strategy; the draw key string is rebuilt after aggregation."""
+    keys = KEYS + ["strategy"]
     f = f.filter(F.col("strategy").isin(*NEEDS_SYNTAX))
     toks = tokenize(f, keys, "func_def")
     strat = F.col("strategy")
@@ -103,7 +104,7 @@ def picks(cands: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
     The first pick is also spread to every candidate row by a window over the function key, so the
     re-pick among if/else blocks nested inside it (when it spans more than 5 lines) happens in the same
     aggregation: the candidate table is computed once, with no join."""
-    key, st, en, strat = F.col("key"), F.col("st"), F.col("en"), F.col("strategy")
+    key, st, en, strat = fkey(), F.col("st"), F.col("en"), F.col("strategy")
     span = F.concat_ws(":", st.cast("string"), en.cast("string"))   # unique per candidate
     h0 = F.when(F.col("ctype") == "body", st).otherwise(draw(key, "node", seed, span))
     h1 = F.when(strat == "loop", draw(key, "try1", seed, span))

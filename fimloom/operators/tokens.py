@@ -41,25 +41,34 @@ STRUCTURAL_KINDS = ("id", "num", "op", "str", "chr", "pp")
 
 
 def _kind(tok: Column) -> Column:
-    first = F.substring(tok, 1, 1)
+    """Token kind from its first characters (code-point comparisons, no regex)."""
+    c = F.ascii(tok)                       # code of the first character
+    c2 = F.ascii(F.substring(tok, 2, 1))
+    digit = lambda x: (x >= 48) & (x <= 57)
     return (
         F.when(tok.startswith("/*") | tok.startswith("//"), "comment")
-        .when(first == '"', "str")
-        .when(first == "'", "chr")
-        .when(first == "#", "pp")
-        .when(tok.rlike(r"^[A-Za-z_]"), "id")
-        .when(tok.rlike(r"^\.?[0-9]"), "num")
-        .when(tok == "\n", "nl")
-        .when(tok.rlike(r"^[ \t\x0b\x0c\r]"), "ws")
+        .when(c == 34, "str")
+        .when(c == 39, "chr")
+        .when(c == 35, "pp")
+        .when(((c >= 65) & (c <= 90)) | ((c >= 97) & (c <= 122)) | (c == 95), "id")
+        .when(digit(c) | ((c == 46) & digit(c2)), "num")
+        .when(c == 10, "nl")
+        .when(c.isin(32, 9, 11, 12, 13), "ws")
         .otherwise("op")
     )
 
 
+# Single characters that str.splitlines() treats as line breaks (besides \n, \r, \v, \f).
+OTHER_BREAKS = ("\x1c", "\x1d", "\x1e", "\x85", "\u2028", "\u2029")
+
+
 def _breaks(tok: Column, kind: Column) -> Column:
     """Number of str.splitlines() line breaks inside one token."""
     return (
         F.when(kind == "nl", 1)
         .when(kind.isin("id", "num"), 0)
+        .when(kind == "ws", F.length(tok) - F.length(F.translate(tok, "\r\x0b\x0c", "")))
+        .when(kind == "op", F.when(tok.isin(*OTHER_BREAKS), 1).otherwise(0))
         .otherwise(F.size(F.split(tok, LINE_BREAK_RX, -1)) - 1)
     )
 
@@ -85,7 +94,8 @@ def structure(tokens: DataFrame, keys: list[str]) -> DataFrame:
     Columns added: prev_tok, prev_kind, prev2_tok, depth (enclosing braces), pdepth, hdr / hdr_kind /
     hdr2 (on ``)``: the token before its matching ``(`` and the one before that),
     close_en / close_nb (on ``{``: end and line breaks of the matching ``}``), fstart (first
-    token start of the current top-level item), phdr / phdr_kind / phdr2 (``hdr`` of the previous token).
+    token start of the current top-level item), phdr / phdr_kind / phdr2 (on ``{`` after ``)``: the
+    ``hdr`` of that ``)``).
     """
     s = tokens.filter(F.col("kind").isin(*STRUCTURAL_KINDS)).drop("en")
     tok = F.col("tok")
@@ -98,6 +108,7 @@ def structure(tokens: DataFrame, keys: list[str]) -> DataFrame:
         F.lag("tok", 1).over(seq).alias("prev_tok"),
         F.lag("kind", 1).over(seq).alias("prev_kind"),
         F.lag("tok", 2).over(seq).alias("prev2_tok"),
+        F.lead("tok", 1).over(seq).alias("next_tok"),
         F.sum(bdelta).over(run).alias("_bd"),
         F.sum(pdelta).over(run).alias("_pd"),
     )
@@ -118,22 +129,24 @@ def structure(tokens: DataFrame, keys: list[str]) -> DataFrame:
         F.when(opened, F.lag("prev_kind", 1).over(par)).alias("hdr_kind"),
         F.when(opened, F.lag("prev2_tok", 1).over(par)).alias("hdr2"),
     )
-    # matching braces: the next brace at the same depth
+    # matching braces: the next brace at the same depth.  A ')' directly before a '{' joins that
+    # brace's window group, so the '{' also reads the header of its ')' there (no extra sort).
     is_brace = tok.isin("{", "}")
-    br = Window.partitionBy(*keys, is_brace, F.col("depth")).orderBy("pos")
-    closed = (tok == "{") & (F.lead("tok", 1).over(br) == "}")
+    paren_before_brace = (tok == ")") & (F.col("next_tok") == "{")
+    grp = F.when(is_brace, F.col("depth")).when(paren_before_brace, F.col("depth"))
+    br = Window.partitionBy(*keys, grp.isNull(), grp).orderBy("pos")
+    nxt_brace = F.lead("tok", 1).over(br)
+    closed = (tok == "{") & (nxt_brace == "}")
+    after_paren = (tok == "{") & (F.col("prev_tok") == ")")
     s = s.select(
         "*",
         F.when(closed, F.lead("st", 1).over(br) + 1).alias("close_en"),
         F.when(closed, F.lead("nb", 1).over(br)).alias("close_nb"),
+        F.when(after_paren, F.lag("hdr", 1).over(br)).alias("phdr"),
+        F.when(after_paren, F.lag("hdr_kind", 1).over(br)).alias("phdr_kind"),
+        F.when(after_paren, F.lag("hdr2", 1).over(br)).alias("phdr2"),
     )
-    s = s.select(
-        "*",
-        F.lag("hdr", 1).over(seq).alias("phdr"),
-        F.lag("hdr_kind", 1).over(seq).alias("phdr_kind"),
-        F.lag("hdr2", 1).over(seq).alias("phdr2"),
-    )
-    return s
+    return s.drop("next_tok")
 
 
 def block_kind(s: Column = None) -> Column:
