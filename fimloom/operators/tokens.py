@@ -1,7 +1,7 @@
 """C lexical structure as tables: tokens, structural tokens, brace blocks.
 
 Everything here is keyed by ``keys`` (a file, or a function) and assumes the input is already
-hash-partitioned on those keys (``plans.common.by_key``): ``posexplode`` keeps that partitioning
+hash-partitioned on those keys (``operators.extract.by_key``): ``posexplode`` keeps that partitioning
 and every window below partitions by ``keys`` (+ more), so no further shuffle happens.
 """
 
