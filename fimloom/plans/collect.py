@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from ..operators.extract import function_table
 from ..sources.decode import decode_files
-from ..sources.files import DEFAULT_SKIP_DIRS, has_suffix, in_skipped_dir, read_binary_tree
+from ..sources.files import DEFAULT_SKIP_DIRS, has_suffix, in_skipped_dir, normalize_path, read_binary_tree
 from ..sources.jsonl import write_jsonl
 
 
 def collect_frame(files: DataFrame) -> DataFrame:
-    """Decoded files (file_path, text) -> (file_path, func_index, func_name, func_def)."""
+    """Decoded files (file_path, text) -> (file_path, func_index, func_name, func_def); X3 with the
+    file path normalised to '/'-separated form (S7), as the reference writes it."""
+    files = files.withColumn("file_path", normalize_path(F.col("file_path")))
     return function_table(files)
 
 

@@ -26,7 +26,7 @@ from ..sources import files as S
 from ..sources.corpus import corpus, load_documents, render_paths
 from ..sources.decode import decode_files, decode_text, encoding_of
 from ..sources.jsonl import FIM_SCHEMA, FUNC_SCHEMA, read_jsonl, write_jsonl
-from .collect import select_c_sources
+from .collect import collect_frame, select_c_sources
 from .process import random_select
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -345,6 +345,21 @@ def q_draw_bernoulli(spark, sf_dir):
                     bernoulli(k, "short", 1).alias("tenth"))
 
 
+def q_function_table(spark, sf_dir):
+    """Bytes -> decode -> functions, paths normalised."""
+    prepare(spark)
+    files = select_c_sources(corpus(spark, sf_dir)).select("file_path", F.encode("text", "UTF-8").alias("content"))
+    return collect_frame(decode_files(files))
+
+
+def _long(strategy: str, flag: str) -> Query:
+    """T6L / T7L / T8L: the rows of a forced block strategy whose block is over 20 lines."""
+    def run(spark, sf_dir):
+        return fim(functions(spark, sf_dir), strategy=strategy).filter(F.col("flag") == flag).select(*FIM_COLS)
+    run.__name__ = f"q_fim_{strategy}_long"
+    return run
+
+
 EXTRA = {
     "scan_c_sources": q_scan_c_sources,
     "scan_c_and_headers": q_scan_c_and_headers,
@@ -383,6 +398,11 @@ EXTRA = {
     "draw_choice": q_draw_choice,
     "draw_range": q_draw_range,
     "draw_bernoulli": q_draw_bernoulli,
+    "function_table": q_function_table,
+    "nodes_function_name": q_function_name,
+    "fim_if_block_long": _long("if", "IF_BLOCK_LONG"),
+    "fim_switch_case_long": _long("switch", "SWITCH_CASE_LONG"),
+    "fim_loop_block_long": _long("loop", "LOOP_BLOCK_LONG"),
 }
 
 
@@ -577,4 +597,11 @@ def oracle_sql() -> dict[str, str]:
     out.update(_syntax_sql())
     out.update(_text_sql())
     out.update(_draw_sql())
+    out["function_table"] = O.with_(funcs, ftab_sel)
+    out["nodes_function_name"] = out["function_name"]
+    for name, strategy, flag in (("fim_if_block_long", "if", "IF_BLOCK_LONG"),
+                                 ("fim_switch_case_long", "switch", "SWITCH_CASE_LONG"),
+                                 ("fim_loop_block_long", "loop", "LOOP_BLOCK_LONG")):
+        out[name] = O.with_(funcs + ",\n" + O.fim_ctes("ftab", strategy),
+                            f"SELECT {fcols}, prefix, middle, suffix, flag FROM fim WHERE flag = {O.q(flag)}")
     return out
