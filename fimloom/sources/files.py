@@ -7,6 +7,8 @@ exercise them on paths derived from the driver tables.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,16 +100,20 @@ def normalize_path(path: Column) -> Column:
 def read_binary_tree(spark: SparkSession, directory: str, suffixes=(".c",), skip_dirs=DEFAULT_SKIP_DIRS) -> DataFrame:
     """S1 / S2 / S3 on a real tree: (file_path, content).
 
-    The suffix glob prunes at listing; the skip-dir predicate is on ``_metadata.file_path`` so
-    skipped files are pruned before their bytes are read."""
+    The suffix glob prunes at listing.  The skip-dir test runs first on ``_metadata.file_path``, which
+    prunes files before their bytes are read; that column is URL-encoded (a space is ``%20``), so only
+    skip names made of characters encoding leaves alone take part there.  The exact test then runs on
+    the decoded ``path``, which is also the path returned."""
     glob = "*" + suffixes[0] if len(suffixes) == 1 else "*.{" + ",".join(s.lstrip(".") for s in suffixes) + "}"
     df = (spark.read.format("binaryFile")
           .option("recursiveFileLookup", "true")
           .option("pathGlobFilter", glob)
           .load(directory))
-    fp = F.col("_metadata.file_path")
-    local = F.regexp_replace(fp, r"^file:(//)?", "")
-    df = df.select(local.alias("file_path"), "content")
+    if skip_dirs:
+        plain = [d for d in skip_dirs if re.fullmatch(r"[A-Za-z0-9._~-]+", d)]
+        if plain:
+            df = df.filter(~in_skipped_dir(F.col("_metadata.file_path"), plain))
+    df = df.select(F.regexp_replace(F.col("path"), r"^file:(//)?", "").alias("file_path"), "content")
     if skip_dirs:
         df = df.filter(~in_skipped_dir(F.col("file_path"), skip_dirs))
     return df

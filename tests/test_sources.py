@@ -37,6 +37,7 @@ def tree():
     write(f"{root}/resource/skip.c", C_FUNC.format(n=8).encode())
     write(f"{root}/resource_x/keep.c", C_FUNC.format(n=9).encode())
     write(f"{root}/deep/webplugin/x/skip2.c", C_FUNC.format(n=10).encode())
+    write(f"{root}/odd dir/é/x y%.c", C_FUNC.format(n=11).encode())
     return root
 
 
@@ -45,7 +46,7 @@ def test_listing_and_skip(spark, tree):
     # zero-byte files are not listed by binaryFile; the reference lists them and then drops them as empty,
     # so the function rows are the same
     assert got == sorted(["src/a.c", "src/bom.c", "src/gbk.c", "src/gb18030.c", "src/crlf.c",
-                          "src/bad.c", "resource_x/keep.c"])
+                          "src/bad.c", "resource_x/keep.c", "odd dir/é/x y%.c"])
     both = sorted(os.path.relpath(r.file_path, tree) for r in S.read_binary_tree(spark, tree, (".c", ".h")).collect())
     assert "src/head.h" in both and "src/upper.C" not in both
 
@@ -65,7 +66,8 @@ def test_collect_functions_end_to_end(spark, tree):
     out = tempfile.mkdtemp(prefix="fimloom-out-") + "/funcs"
     funcs = collect_functions(spark, tree, out)
     names = sorted(r.func_name for r in funcs.collect())
-    assert names == sorted(f"f_{n}" for n in (1, 2, 3, 4, 5, 9))
+    assert names == sorted(f"f_{n}" for n in (1, 2, 3, 4, 5, 9, 11))
+    assert any(r.file_path.endswith("/odd dir/é/x y%.c") for r in funcs.collect())
     back = read_jsonl(spark, out, FUNC_SCHEMA)
     assert sorted(r.func_name for r in back.collect()) == names
 
