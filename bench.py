@@ -40,6 +40,10 @@ def main() -> None:
     run(qs["extract_functions"](spark, sf_dir))          # warm-up (JIT, file cache)
     times = {}
     rows = {}
+    # stage 1 written once (as the collect step writes its JSONL); stage-2 queries read it
+    t0 = time.time()
+    registry.functions(spark, sf_dir)
+    times["collect_write"] = round(time.time() - t0, 3)
     for name in HEADLINE:
         t0 = time.time()
         df = qs[name](spark, sf_dir)
@@ -59,6 +63,7 @@ def main() -> None:
         "sf": sf,
         "rows": rows,
         "functions_per_sec_mixture": round(n_funcs / times["function_process"], 1),
+        "functions_per_sec_end_to_end": round(n_funcs / (times["collect_write"] + times["function_process"]), 1),
         "files_per_sec_collect": round(n_files / times["extract_functions"], 1),
         "cpus": int(cpus),
     }))

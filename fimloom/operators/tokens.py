@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 
 from ..functions.text import LINE_BREAK_RX
 
-# Covering token pattern (Java regex, possessive loops keep the stack flat).
+# Blank characters, and the covering token pattern (Java regex, possessive loops keep
+# the stack flat).  Each match is a run of blanks (newlines included) followed by one token:
 # block comment | line comment | string | char | preprocessor line (with continuations) |
-# identifier | number | blank run | newline | multi-char operator | any other char
+# identifier | number | multi-char operator | any other char;  trailing blanks form a last match.
+BLANKS = " \t\n\x0b\x0c\r"
 TOKEN_RX = (
+    r"[ \t\n\x0b\x0c\r]*+(?:"
     r"/\*(?s:.*?)(?:\*/|\z)"
     r"|//[^\n]*+"
     r'|"[^"\\\n]*+(?:\\(?s:.)[^"\\\n]*+)*+"?'
@@ -23,10 +26,9 @@ TOKEN_RX = (
     r"|#[^\n\\]*+(?:\\(?s:.)[^\n\\]*+)*+"
     r"|[A-Za-z_][A-Za-z0-9_]*+"
     r"|\.?[0-9](?:[eEpP][+-]|[0-9A-Za-z_.])*+"
-    r"|[ \t\x0b\x0c\r]++"
-    r"|\n"
     r"|<<=|>>=|\.\.\.|->|\+\+|--|<<|>>|<=|>=|==|!=|&&|\|\||[-+*/%&^|]=|##"
-    r"|(?s:.)"
+    r"|(?s:.))"
+    r"|[ \t\n\x0b\x0c\r]++"
 )
 
 # C keywords that never name a function or a macro.
@@ -76,14 +78,21 @@ def _breaks(tok: Column, kind: Column) -> Column:
 def tokenize(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """c_tokens: (keys, pos, tok, kind, st, en, nb) with ``nb`` = line breaks before the token.
 
-    ``concat(tok order by pos) = text``; st/en are 0-based code-point offsets."""
-    t = df.select(*keys, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(TOKEN_RX), 0)).alias("pos", "tok"))
-    t = t.withColumn("kind", _kind(F.col("tok")))
+    Blank runs ride along with the token after them (``lead``), so they add no rows: ``text[st:en] =
+    tok`` and everything between tokens is blank.  st/en are 0-based code-point offsets."""
+    t = df.select(*keys, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(TOKEN_RX), 0)).alias("pos", "full"))
+    t = t.withColumn("tok", F.ltrim(F.col("full"), F.lit(BLANKS))).filter(F.col("tok") != "")
+    lead = F.length("full") - F.length("tok")
+    lead_str = F.substring(F.col("full"), 1, lead)
+    lead_nb = F.length(lead_str) - F.length(F.translate(lead_str, "\n\r\x0b\x0c", ""))
+    t = t.select(*keys, "pos", "full", "tok", _kind(F.col("tok")).alias("kind"), lead.alias("lead"),
+                 lead_nb.alias("lead_nb"))
     before = Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    row_nb = F.col("lead_nb") + _breaks(F.col("tok"), F.col("kind"))
     t = t.select(
         *keys, "pos", "tok", "kind",
-        F.coalesce(F.sum(F.length("tok")).over(before), F.lit(0)).alias("st"),
-        F.coalesce(F.sum(_breaks(F.col("tok"), F.col("kind"))).over(before), F.lit(0)).alias("nb"),
+        (F.coalesce(F.sum(F.length("full")).over(before), F.lit(0)) + F.col("lead")).alias("st"),
+        (F.coalesce(F.sum(row_nb).over(before), F.lit(0)) + F.col("lead_nb")).alias("nb"),
     )
     return t.withColumn("en", F.col("st") + F.length("tok"))
 

@@ -11,6 +11,7 @@ from .sources.corpus import DIRS, FILE_HEAD, FILE_TAIL, N_TEMPLATES, RET_TYPES,
 
 # The token pattern of ``operators.tokens.TOKEN_RX`` in RE2 syntax.
 TOKEN_RX_RE2 = (
+    r"[ \t\n\x0b\x0c\r]*(?:"
     r"/\*(?s:.*?)(?:\*/|\z)"
     r"|//[^\n]*"
     r'|"[^"\\\n]*(?:\\(?s:.)[^"\\\n]*)*"?'
@@ -18,11 +19,11 @@ TOKEN_RX_RE2 = (
     r"|#[^\n\\]*(?:\\(?s:.)[^\n\\]*)*"
     r"|[A-Za-z_][A-Za-z0-9_]*"
     r"|\.?[0-9](?:[eEpP][+-]|[0-9A-Za-z_.])*"
-    r"|[ \t\x0b\x0c\r]+"
-    r"|\n"
     r"|<<=|>>=|\.\.\.|->|\+\+|--|<<|>>|<=|>=|==|!=|&&|\|\||[-+*/%&^|]=|##"
-    r"|(?s:.)"
+    r"|(?s:.))"
+    r"|[ \t\n\x0b\x0c\r]+"
 )
+BLANKS_SQL = "(' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 LB_RE2 = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
 PY_SPACE_RE2 = r"[\t\n\x0b\x0c\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 SEED = DEFAULT_SEED
@@ -100,18 +101,29 @@ def tokens_cte(name: str, src: str, keys: list[str], text: str = "text") -> str:
                 WHEN regexp_matches(tok, '^[ \\t\\x0b\\x0c\\r]') THEN 'ws'
                 ELSE 'op' END"""
     return f"""{name}_raw AS (
-  SELECT {k}, unnest(t) AS tok, unnest(range(len(t))) AS pos
+  SELECT {k}, unnest(t) AS mtext, unnest(range(len(t))) AS pos
   FROM (SELECT {k}, regexp_extract_all({text}, {q(TOKEN_RX_RE2)}, 0) AS t FROM {src})
 ),
-{name}_k AS (SELECT *, {kind} AS kind FROM {name}_raw),
+{name}_l AS (
+  SELECT *, length(mtext) - length(tok) AS lead,
+         length(substring(mtext, 1, length(mtext) - length(tok)))
+           - length(translate(substring(mtext, 1, length(mtext) - length(tok)), chr(10) || chr(13) || chr(11) || chr(12), ''))
+           AS lead_nb
+  FROM (SELECT *, ltrim(mtext, {BLANKS_SQL}) AS tok FROM {name}_raw) WHERE tok <> ''
+),
+{name}_k AS (
+  SELECT *, lead_nb + CASE WHEN kind = 'nl' THEN 1 WHEN kind IN ('id', 'num') THEN 0
+                           ELSE len(regexp_split_to_array(tok, {q(LB_RE2)})) - 1 END AS row_nb
+  FROM (SELECT *, {kind} AS kind FROM {name}_l)
+),
 {name} AS (
   SELECT {k}, pos, tok, kind,
-    CAST(coalesce(sum(length(tok)) OVER (PARTITION BY {pk} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS st,
-    CAST(coalesce(sum(CASE WHEN kind = 'nl' THEN 1 WHEN kind IN ('id', 'num') THEN 0
-                      ELSE len(regexp_split_to_array(tok, {q(LB_RE2)})) - 1 END)
-             OVER (PARTITION BY {pk} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS nb,
-    CAST(coalesce(sum(length(tok)) OVER (PARTITION BY {pk} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
-      + length(tok) AS BIGINT) AS en
+    CAST(coalesce(sum(length(mtext)) OVER (PARTITION BY {pk} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+         + lead AS BIGINT) AS st,
+    CAST(coalesce(sum(row_nb) OVER (PARTITION BY {pk} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+         + lead_nb AS BIGINT) AS nb,
+    CAST(coalesce(sum(length(mtext)) OVER (PARTITION BY {pk} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+         + lead + length(tok) AS BIGINT) AS en
   FROM {name}_k
 )"""
 

@@ -21,7 +21,7 @@ from ..operators import nodes as N
 from ..operators.extract import by_key, function_spans, function_table
 from ..operators.strategies import fim, with_strategy
 from ..operators.tokens import blocks, structure, tokenize
-from ..session import materialize, prepare, scratch_path
+from ..session import prepare, scratch_path
 from ..sources import files as S
 from ..sources.corpus import corpus, load_documents, render_paths
 from ..sources.decode import decode_files, decode_text, encoding_of
@@ -39,10 +39,20 @@ def c_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_c_sources(corpus(spark, sf_dir))
 
 
+_COLLECTED: dict[tuple[str, str], str] = {}
+
+
 def functions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The collect step's output, materialised once in the checkpoint folder (as the reference writes
-    its JSONL between the two stages), so stage 2 branches never recompute stage 1."""
-    return materialize(function_table(c_files(spark, sf_dir)), "functions")
+    """The collect step's output, written once per session and input folder to the checkpoint folder
+    (as the reference writes its JSONL between the two stages) and read back by every stage-2 query,
+    so stage 2 never recomputes stage 1."""
+    k = (spark.sparkContext.applicationId, sf_dir)
+    path = _COLLECTED.get(k)
+    if path is None:
+        path = scratch_path(spark, "functions")
+        function_table(c_files(spark, sf_dir)).write.mode("overwrite").parquet(path)
+        _COLLECTED[k] = path
+    return spark.read.parquet(path)
 
 
 def functions_lazy(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -61,8 +61,15 @@ def test_tokens_cover_text(spark, texts):
         by.setdefault(r.file_path, []).append(r)
     for i, t in enumerate(texts):
         rows = sorted(by.get(f"/f{i}.c", []), key=lambda r: r.pos)
-        assert "".join(r.tok for r in rows) == t
         assert all(t[r.st:r.en] == r.tok for r in rows)
+        # tokens are disjoint, in order, and only blanks lie between them
+        gaps, prev = [], 0
+        for r in rows:
+            assert r.st >= prev
+            gaps.append(t[prev:r.st])
+            prev = r.en
+        gaps.append(t[prev:])
+        assert all(ch in " \t\n\x0b\x0c\r" for g in gaps for ch in g)
 
 
 def balanced(draw_list):
