@@ -135,7 +135,9 @@ def assemble(f: DataFrame, pk: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame
 
     Expensive intermediates (body lines, non-blank lines, block lines) are staged columns computed only
     for the rows whose effective strategy needs them."""
-    j = f.join(pk, KEYS, "left")
+    # both sides are partitioned by KEYS: a merge join needs no exchange, and the picks table (one row
+    # per function, growing with the data) is never broadcast on a size estimate
+    j = f.join(pk.hint("merge"), KEYS, "left")
     s, key, strat = F.col("func_def"), F.col("key"), F.col("strategy")
     has_c = F.coalesce(F.col("n_c"), F.lit(0)) > 0
     need_lp = strat.isin("single_line", "empty") | (strat.isin("expression", "binary") & ~has_c)

@@ -158,7 +158,7 @@ def structure(tokens: DataFrame, keys: list[str]) -> DataFrame:
     return s.drop("next_tok")
 
 
-def block_kind(s: Column = None) -> Column:
+def block_kind() -> Column:
     """Kind of a ``{`` from the token before it (see README, 'blocks')."""
     prev = F.col("prev_tok")
     phdr = F.col("phdr")

@@ -49,10 +49,6 @@ DIRS = ["resource", "webplugin", "src/sbin", "resource_x", "src", "src", "src"]
 RET_TYPES = ["char *", "static int ", "int "]
 
 
-def ext_of(i: int) -> str:
-    return ".h" if i == 0 else (".C" if i == 1 else ".c")
-
-
 FILE_HEAD = "#include <stdio.h>\n{r}doc_{id}(int x, int y);\n\n/* doc {id} */\n{r}doc_{id}(int x, int y)\n{\n" \
             + I + "int j = 0, c = 0, z = 0;\n" + I + "char *s = 0;\n"
 FILE_TAIL = I + "return x;\n}\n\nint helper_{id}(int a)\n{\n" + I + "if (a > {m}) {\n" + II + "return a - 1;\n" + I + "}\n" \

@@ -72,10 +72,6 @@ def test_tokens_cover_text(spark, texts):
         assert all(ch in " \t\n\x0b\x0c\r" for g in gaps for ch in g)
 
 
-def balanced(draw_list):
-    return draw_list
-
-
 @settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.recursive(st.just(["x;"]), lambda kids: st.lists(kids, min_size=1, max_size=3).map(
     lambda ks: ["{"] + [t for k in ks for t in k] + ["}"]), max_leaves=12))
