@@ -52,12 +52,17 @@ def prepare(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in spark.checkpoint.dir.
 
-    Only when the session leaves it unset (local tests) do we pick a scratch folder."""
+    Only when the session leaves it unset in local mode (tests) do we pick a scratch folder; on a
+    cluster an unset value is an error, never a machine-local folder."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="fimloom-ckpt-")
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: on a cluster it must name a shared folder "
+                             "(intermediate tables are written there)")
+        d = tempfile.mkdtemp(prefix="fimloom-ckpt-")      # local mode (tests) only
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
