@@ -130,3 +130,32 @@ def test_should_skip_and_regex(spark):
     df = spark.createDataFrame([("https://a.org/x",), ("http://b.com/y",), ("https://c.com/z",)], "u string")
     got = {r.u: r.s for r in df.select("u", S.should_skip(F.col("u"), "https://", ".*[.]org/").alias("s")).collect()}
     assert got == {"https://a.org/x": True, "http://b.com/y": True, "https://c.com/z": False}
+
+
+def test_process_reference_format_jsonl(spark, tree):
+    """Stage 2 from JSON lines in the reference's three-field format (no func_index)."""
+    import json
+    from fimloom.plans.process import function_process
+    src = tempfile.mkdtemp(prefix="fimloom-ref-") + "/functions.jsonl"
+    rows = [{"func_name": f"g{i}", "file_path": "/x/a.c",
+             "func_def": f"int g{i}(int a)\n{{\n    if (a) {{\n        a = {i};\n    }}\n    return a + {i};\n}}"}
+            for i in range(6)]
+    rows.append({"func_name": None, "file_path": "/x/b.c", "func_def": "char *h(void) { return 0; }"})
+    with open(src, "w", encoding="utf-8") as fh:
+        fh.write("".join(json.dumps(r) + "\n" for r in rows))
+    out = tempfile.mkdtemp(prefix="fimloom-fim-") + "/fim"
+    df = function_process(spark, src, 5, out)
+    got = read_jsonl(spark, out, df.schema).collect()
+    assert len(got) == 5
+    assert df.columns == ["file_path", "func_name", "prefix", "middle", "suffix", "flag", "func_index"]
+    assert len({(r.file_path, r.func_index) for r in got}) == 5
+    with pytest.raises(ValueError):
+        function_process(spark, src, 8, None)
+
+
+def test_command_line(spark, tree):
+    from fimloom.__main__ import main
+    base = tempfile.mkdtemp(prefix="fimloom-cli-")
+    main(["--collect_funcs", tree, f"{base}/funcs", "--function_process", f"{base}/funcs", "3", f"{base}/fim"])
+    assert read_jsonl(spark, f"{base}/funcs").count() == 7
+    assert spark.read.json(f"{base}/fim").count() == 3
