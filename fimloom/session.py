@@ -84,12 +84,17 @@ def _count():
 _counter = _count()
 
 
-def materialize(df, name: str):
-    """Write ``df`` once as a parquet table in the checkpoint folder and read it back.
+def materialize(df, name: str, partition_by: str | None = None):
+    """Write ``df`` once as a parquet table in the checkpoint folder and read it back (same columns,
+    same order).
 
     Cuts the lineage (a lost executor re-reads the table instead of recomputing upstream stages) and,
-    unlike ``Dataset.checkpoint``, computes the plan exactly once."""
+    unlike ``Dataset.checkpoint``, computes the plan exactly once.  With ``partition_by`` the table is
+    laid out in one folder per value, so filters on that column prune files."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.parquet(path)
+    return spark.read.parquet(path).select(*df.columns)
