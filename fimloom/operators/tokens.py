@@ -39,6 +39,10 @@ C_KEYWORDS = (
     "volatile", "while", "_Bool", "_Complex", "_Imaginary",
 )
 HEADER_KEYWORDS = ("if", "for", "while", "switch")
+# Keywords that start a type name, and keywords after which '(' may open a cast.
+TYPE_KEYWORDS = ("char", "const", "double", "enum", "float", "int", "long", "short", "signed", "struct",
+                 "union", "unsigned", "void", "volatile", "_Bool", "_Complex")
+CAST_BEFORE_OK = ("return", "case", "else", "do")
 STRUCTURAL_KINDS = ("id", "num", "op", "str", "chr", "pp")
 
 
@@ -137,7 +141,15 @@ def structure(tokens: DataFrame, keys: list[str]) -> DataFrame:
         F.when(opened, F.lag("prev_tok", 1).over(par)).alias("hdr"),
         F.when(opened, F.lag("prev_kind", 1).over(par)).alias("hdr_kind"),
         F.when(opened, F.lag("prev2_tok", 1).over(par)).alias("hdr2"),
+        F.when(opened, F.lag("next_tok", 1).over(par)).alias("_open_next"),
     )
+    # a ')' closing a cast: the '(' follows no operand (not a call, not sizeof) and its contents start
+    # with a type keyword or end with '*'
+    call_like = (((F.col("hdr_kind").isin("id", "num", "str", "chr")) & ~F.col("hdr").isin(*CAST_BEFORE_OK))
+                 | F.col("hdr").isin(")", "]"))
+    s = s.withColumn("cast_close", F.coalesce(
+        (tok == ")") & F.col("hdr_kind").isNotNull() & ~call_like
+        & (F.col("_open_next").isin(*TYPE_KEYWORDS) | (F.col("prev_tok") == "*")), F.lit(False))).drop("_open_next")
     # matching braces: the next brace at the same depth.  A ')' directly before a '{' joins that
     # brace's window group, so the '{' also reads the header of its ')' there (no extra sort).
     is_brace = tok.isin("{", "}")

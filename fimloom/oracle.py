@@ -128,6 +128,8 @@ def tokens_cte(name: str, src: str, keys: list[str], text: str = "text") -> str:
 )"""
 
 
+TYPE_KW_SQL = ("('char','const','double','enum','float','int','long','short','signed','struct','union',"
+               "'unsigned','void','volatile','_Bool','_Complex')")
 C_KEYWORDS_SQL = ("('auto','break','case','char','const','continue','default','do','double','else','enum','extern',"
                   "'float','for','goto','if','inline','int','long','register','restrict','return','short','signed',"
                   "'sizeof','static','struct','switch','typedef','union','unsigned','void','volatile','while',"
@@ -139,6 +141,7 @@ def structure_cte(name: str, toks: str, keys: list[str]) -> str:
     return f"""{name}_a AS (
   SELECT {k}, pos, tok, kind, st, nb,
     lag(tok, 1) OVER w AS prev_tok, lag(kind, 1) OVER w AS prev_kind, lag(tok, 2) OVER w AS prev2_tok,
+    lead(tok, 1) OVER w AS next_tok,
     CAST(sum(CASE WHEN tok = '{{' THEN 1 WHEN tok = '}}' THEN -1 ELSE 0 END) OVER wr AS BIGINT) AS bd,
     CAST(sum(CASE WHEN tok = '(' THEN 1 WHEN tok = ')' THEN -1 ELSE 0 END) OVER wr AS BIGINT) AS pd
   FROM {toks} WHERE kind IN ('id', 'num', 'op', 'str', 'chr', 'pp')
@@ -164,15 +167,23 @@ def structure_cte(name: str, toks: str, keys: list[str]) -> str:
   SELECT *,
     CASE WHEN tok = ')' AND lag(tok) OVER wp = '(' THEN lag(prev_tok) OVER wp END AS hdr,
     CASE WHEN tok = ')' AND lag(tok) OVER wp = '(' THEN lag(prev_kind) OVER wp END AS hdr_kind,
-    CASE WHEN tok = ')' AND lag(tok) OVER wp = '(' THEN lag(prev2_tok) OVER wp END AS hdr2
+    CASE WHEN tok = ')' AND lag(tok) OVER wp = '(' THEN lag(prev2_tok) OVER wp END AS hdr2,
+    CASE WHEN tok = ')' AND lag(tok) OVER wp = '(' THEN lag(next_tok) OVER wp END AS open_next
   FROM {name}_d
   WINDOW wp AS (PARTITION BY {k}, tok IN ('(', ')'), pdepth ORDER BY pos)
 ),
+{name}_e2 AS (
+  SELECT *, coalesce(tok = ')' AND hdr_kind IS NOT NULL
+                     AND NOT ((hdr_kind IN ('id', 'num', 'str', 'chr') AND hdr NOT IN ('return', 'case', 'else', 'do'))
+                              OR hdr IN (')', ']'))
+                     AND (open_next IN {TYPE_KW_SQL} OR prev_tok = '*'), false) AS cast_close
+  FROM {name}_e
+),
 {name}_f AS (
   SELECT *,
     CASE WHEN tok = '{{' AND lead(tok) OVER wb = '}}' THEN lead(st) OVER wb + 1 END AS close_en,
     CASE WHEN tok = '{{' AND lead(tok) OVER wb = '}}' THEN lead(nb) OVER wb END AS close_nb
-  FROM {name}_e
+  FROM {name}_e2
   WINDOW wb AS (PARTITION BY {k}, tok IN ('{{', '}}'), depth ORDER BY pos)
 ),
 {name} AS (
@@ -330,7 +341,8 @@ def binary_cte(name: str, stmts: str, keys: list[str]) -> str:
     wrr = f"(PARTITION BY {k}, x ORDER BY pos DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     prev_operand = (f"((prev_kind IN ('id', 'num', 'str', 'chr') AND prev_tok NOT IN {C_KEYWORDS_SQL}) "
                     f"OR prev_tok IN (']', '++', '--') "
-                    f"OR (prev_tok = ')' AND NOT coalesce(phdr IN ('if', 'for', 'while', 'switch'), false)))")
+                    f"OR (prev_tok = ')' AND NOT coalesce(phdr IN ('if', 'for', 'while', 'switch'), false) "
+                    f"AND NOT coalesce(prev_cast, false)))")
     next_operand = f"(k1 IN ('id', 'num', 'str', 'chr') OR t1 IN {OPERAND_START_SQL})"
     binop = (f"(tok IN {BINOPS_SQL} AND depth >= 1 AND {next_operand} AND NOT pointer_star "
              f"AND (tok NOT IN ('*', '&', '-', '+') OR {prev_operand}))")
@@ -345,7 +357,8 @@ def binary_cte(name: str, stmts: str, keys: list[str]) -> str:
     rarr = "[" + ", ".join(f"r{q}" for q in range(1, 11)) + "]"
     return f"""{name}_n AS (
   SELECT *, CAST(sum(CASE WHEN tok IN ('(', '[') THEN 1 WHEN tok IN (')', ']') THEN -1 ELSE 0 END) OVER {wr} AS BIGINT) AS nd_raw,
-         lead(st, 1) OVER {w} AS next_st, lag(st + length(tok), 1) OVER {w} AS prev_en
+         lead(st, 1) OVER {w} AS next_st, lag(st + length(tok), 1) OVER {w} AS prev_en,
+         lag(cast_close, 1) OVER {w} AS prev_cast
   FROM {stmts}
 ),
 {name}_x AS (

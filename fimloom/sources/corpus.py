@@ -51,8 +51,9 @@ RET_TYPES = ["char *", "static int ", "int "]
 
 FILE_HEAD = "#include <stdio.h>\n{r}doc_{id}(int x, int y);\n\n/* doc {id} */\n{r}doc_{id}(int x, int y)\n{\n" \
             + I + "int j = 0, c = 0, z = 0;\n" + I + "char *s = 0;\n"
-FILE_TAIL = I + "return x;\n}\n\nint helper_{id}(int a)\n{\n" + I + "if (a > {m}) {\n" + II + "return a - 1;\n" + I + "}\n" \
-            + I + "return a * 2;\n}\n\nstatic int tail_{id}(int v) { return v + {id}; }\n"
+FILE_TAIL = I + "return x;\n}\n\nint helper_{id}(int a)\n{\n" + I + "char *s = (char *)&a;\n" \
+            + I + "if (a > {m}) {\n" + II + "return a - 1;\n" + I + "}\n" \
+            + I + "return (int)s[0] * 2 + -a;\n}\n\nstatic int tail_{id}(int v) { return v + {id}; }\n"
 
 
 def split_template(t: str) -> list[tuple[str, str]]:
