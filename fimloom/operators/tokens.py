@@ -125,9 +125,13 @@ def structure(tokens: DataFrame, keys: list[str]) -> DataFrame:
         F.sum(bdelta).over(run).alias("_bd"),
         F.sum(pdelta).over(run).alias("_pd"),
     )
+    # paren depth restarts at every brace: parentheses never span braces in C, so a stray quote or
+    # paren (as in hand-edited or macro-heavy code) cannot derail the rest of the file
+    s = s.withColumn("_pd0", F.coalesce(F.last(F.when(tok.isin("{", "}"), F.col("_pd")), ignorenulls=True).over(run),
+                                        F.lit(0)))
     s = s.withColumn("depth", F.when(tok == "{", F.col("_bd") - 1).otherwise(F.col("_bd"))) \
-         .withColumn("pdepth", F.when(tok == "(", F.col("_pd") - 1).otherwise(F.col("_pd"))) \
-         .drop("_bd", "_pd")
+         .withColumn("pdepth", F.when(tok == "(", F.col("_pd") - 1).otherwise(F.col("_pd")) - F.col("_pd0")) \
+         .drop("_bd", "_pd", "_pd0")
     # top-level item starts: first token after a depth-0 ';' / '}' or a preprocessor line
     is_bnd = ((tok.isin(";", "}")) & (F.col("depth") == 0)) | (F.col("kind") == "pp")
     s = s.withColumn("_is_start", F.coalesce(F.lag(is_bnd, 1).over(seq), F.lit(True)) & (F.col("kind") != "pp"))

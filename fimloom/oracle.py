@@ -150,7 +150,9 @@ def structure_cte(name: str, toks: str, keys: list[str]) -> str:
 ),
 {name}_b AS (
   SELECT *, CASE WHEN tok = '{{' THEN bd - 1 ELSE bd END AS depth,
-            CASE WHEN tok = '(' THEN pd - 1 ELSE pd END AS pdepth
+            (CASE WHEN tok = '(' THEN pd - 1 ELSE pd END)
+              - coalesce(last_value(CASE WHEN tok IN ('{{', '}}') THEN pd END IGNORE NULLS)
+                           OVER (PARTITION BY {k} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS pdepth
   FROM {name}_a
 ),
 {name}_c AS (
@@ -337,8 +339,8 @@ def binary_cte(name: str, stmts: str, keys: list[str]) -> str:
     k = ", ".join(keys)
     w = f"(PARTITION BY {k} ORDER BY pos)"
     wr = f"(PARTITION BY {k} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    wl = f"(PARTITION BY {k}, x ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    wrr = f"(PARTITION BY {k}, x ORDER BY pos DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    wl = f"(PARTITION BY {k}, seg, x ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    wrr = f"(PARTITION BY {k}, seg, x ORDER BY pos DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     prev_operand = (f"((prev_kind IN ('id', 'num', 'str', 'chr') AND prev_tok NOT IN {C_KEYWORDS_SQL}) "
                     f"OR prev_tok IN (']', '++', '--') "
                     f"OR (prev_tok = ')' AND NOT coalesce(phdr IN ('if', 'for', 'while', 'switch'), false) "
@@ -357,19 +359,22 @@ def binary_cte(name: str, stmts: str, keys: list[str]) -> str:
     rarr = "[" + ", ".join(f"r{q}" for q in range(1, 11)) + "]"
     return f"""{name}_n AS (
   SELECT *, CAST(sum(CASE WHEN tok IN ('(', '[') THEN 1 WHEN tok IN (')', ']') THEN -1 ELSE 0 END) OVER {wr} AS BIGINT) AS nd_raw,
+         CAST(sum(CASE WHEN tok IN ('{{', '}}') THEN 1 ELSE 0 END) OVER {wr} AS BIGINT) AS seg,
          lead(st, 1) OVER {w} AS next_st, lag(st + length(tok), 1) OVER {w} AS prev_en,
          lag(cast_close, 1) OVER {w} AS prev_cast
   FROM {stmts}
 ),
 {name}_x AS (
   SELECT *, CASE WHEN tok IN ('(', '[', ')', ']') THEN nd + 1 ELSE nd END AS x,
-         {binop} AS binop, CASE WHEN {binop} THEN {PREC_SQL} END AS prec
+         {binop} AS binop, CASE WHEN {binop} THEN {PREC_SQL} END AS prec,
+         last_value(CASE WHEN tok IN ('{{', '}}') THEN next_st END IGNORE NULLS) OVER {wr} AS seg_st
   FROM (SELECT *, CASE WHEN tok IN ('(', '[') THEN nd_raw - 1 ELSE nd_raw END AS nd FROM {name}_n)
 ),
 {name}_l AS (SELECT *, {lefts} FROM {name}_x),
 {name}_r AS (SELECT *, {rights} FROM {name}_l),
 {name} AS (
-  SELECT {k}, coalesce({larr}[prec], 0) AS st, {rarr}[prec] AS en, tok AS op FROM {name}_r WHERE binop
+  SELECT {k}, coalesce({larr}[prec], seg_st, 0) AS st, {rarr}[prec] AS en, tok AS op FROM {name}_r
+  WHERE binop AND {rarr}[prec] IS NOT NULL
 )"""
 
 
