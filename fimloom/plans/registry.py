@@ -48,10 +48,14 @@ def functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     so stage 2 never recomputes stage 1."""
     k = (spark.sparkContext.applicationId, sf_dir)
     path = _COLLECTED.get(k)
-    if path is None:
-        path = scratch_path(spark, "functions")
-        function_table(c_files(spark, sf_dir)).write.mode("overwrite").parquet(path)
-        _COLLECTED[k] = path
+    if path is not None:
+        try:
+            return spark.read.parquet(path)
+        except Exception:          # the folder was cleaned up: write it again
+            _COLLECTED.pop(k, None)
+    path = scratch_path(spark, "functions")
+    function_table(c_files(spark, sf_dir)).write.mode("overwrite").parquet(path)
+    _COLLECTED[k] = path
     return spark.read.parquet(path)
 
 
