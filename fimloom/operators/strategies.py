@@ -77,8 +77,8 @@ def candidates(f: DataFrame) -> DataFrame:
     strat = F.col("strategy")
     comments = toks.filter((strat == "comment") & (F.col("kind") == "comment")).select(
         *keys, F.lit("comment").alias("ctype"), "st", "en", F.lit(None).cast("long").alias("n_lines"))
-    sig = structure(toks.filter(strat != "comment"), keys)
-    blk = blocks(sig.filter(strat.isin("short", "if", "loop", "switch")), keys)
+    blk = blocks(structure(toks.filter(strat.isin("short", "if", "loop", "switch")), keys, skeleton=True), keys)
+    sig = structure(toks.filter(strat.isin("expression", "binary")), keys)
     kind = F.col("kind")
     ctype = (
         F.when((strat == "short") & (kind == "function") & (F.col("depth") == 0), "body")

@@ -39,6 +39,7 @@ C_KEYWORDS = (
     "volatile", "while", "_Bool", "_Complex", "_Imaginary",
 )
 HEADER_KEYWORDS = ("if", "for", "while", "switch")
+SKELETON_TOKENS = ("{", "}", "(", ")", ";", "case", "default")
 # Keywords that start a type name, and keywords after which '(' may open a cast.
 TYPE_KEYWORDS = ("char", "const", "double", "enum", "float", "int", "long", "short", "signed", "struct",
                  "union", "unsigned", "void", "volatile", "_Bool", "_Complex")
@@ -101,9 +102,12 @@ def tokenize(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     return t.withColumn("en", F.col("st") + F.length("tok"))
 
 
-def structure(tokens: DataFrame, keys: list[str]) -> DataFrame:
+def structure(tokens: DataFrame, keys: list[str], skeleton: bool = False) -> DataFrame:
     """Structural tokens with brace/paren depth, neighbours and header information.
 
+    ``skeleton=True`` keeps only braces, parens, ``;``, case labels, preprocessor lines and item starts
+    after the first pass (enough for ``blocks``; not for statement or expression spans).
+
     Columns added: prev_tok, prev_kind, prev2_tok, depth (enclosing braces), pdepth, hdr / hdr_kind /
     hdr2 (on ``)``: the token before its matching ``(`` and the one before that),
     close_en / close_nb (on ``{``: end and line breaks of the matching ``}``), fstart (first
@@ -135,6 +139,10 @@ def structure(tokens: DataFrame, keys: list[str]) -> DataFrame:
     # top-level item starts: first token after a depth-0 ';' / '}' or a preprocessor line
     is_bnd = ((tok.isin(";", "}")) & (F.col("depth") == 0)) | (F.col("kind") == "pp")
     s = s.withColumn("_is_start", F.coalesce(F.lag(is_bnd, 1).over(seq), F.lit(True)) & (F.col("kind") != "pp"))
+    if skeleton:
+        # block detection needs only these rows (each already carries its neighbours from the full
+        # pass above): the remaining windows sort a fraction of the tokens
+        s = s.filter(tok.isin(*SKELETON_TOKENS) | (F.col("kind") == "pp") | F.col("_is_start"))
     s = s.withColumn("fstart", F.last(F.when(F.col("_is_start"), F.col("st")), ignorenulls=True).over(run)).drop("_is_start")
     # matching parens: the previous paren at the same paren depth
     is_paren = tok.isin("(", ")")
