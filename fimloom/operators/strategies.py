@@ -2,14 +2,14 @@
 
 Plan shape (per function key, after the single ``by_key`` shuffle):
 
-    funcs --(draw strategy)--> F
+    funcs --(draw strategy; mixture: written once, partitioned by strategy)--> F
     F[needs syntax] --tokenize/structure/blocks--> candidate rows (ctype, st, en, n_lines)
     candidates --groupBy key: min(struct(hash, ...))--> picks        (uniform choice, map-side combined)
     (the if re-pick uses a window over the same candidate rows; no second pass)
     F --left join picks--> one projection computes (prefix, middle, suffix, flag)
 
 A uniform pick among a function's candidates is the candidate with the smallest hash
-``draw(key, salt, st)``: no counting, ordering or collecting of the group is needed.
+``draw(key, salt, "st:en")``: no counting, ordering or collecting of the group is needed.
 """
 
 from __future__ import annotations
@@ -87,10 +87,9 @@ def candidates(f: DataFrame) -> DataFrame:
         .when((strat == "loop") & kind.isin("for", "while", "macro", "bare"), "loop")
     )
     blk = blk.select(*keys, ctype.alias("ctype"), "st", "en", "n_lines").filter(F.col("ctype").isNotNull())
-    spans = sig.filter(strat.isin("expression", "binary"))
-    ex = expression_statement_spans(spans.filter(strat == "expression"), keys).select(
+    ex = expression_statement_spans(sig.filter(strat == "expression"), keys).select(
         *keys, F.lit("expr").alias("ctype"), "st", "en", F.lit(None).cast("long").alias("n_lines"))
-    bi = binary_spans(spans.filter(strat == "binary"), keys).select(
+    bi = binary_spans(sig.filter(strat == "binary"), keys).select(
         *keys, F.lit("binary").alias("ctype"), "st", "en", F.lit(None).cast("long").alias("n_lines"))
     return comments.unionByName(blk).unionByName(ex).unionByName(bi)
 
