@@ -122,3 +122,46 @@ def test_short_function_and_empty(spark):
     assert r.flag == "EMPTY" and r.middle == ""
     assert r.prefix in (text[:text.index("a;") + 2], text[:text.index("a;") + 2] + "\n    ")
     assert r.suffix == text[text.index("a;") + 2:]
+
+
+def test_loop_all_long_falls_to_long_variant(spark):
+    body = "        x++;\n" * 21
+    text = "int f(void)\n{\n    while (a) {\n" + body + "    }\n    for (;;) {\n" + body + "    }\n}"
+    r = run(spark, [text], "loop")[0]
+    assert r.flag == "LOOP_BLOCK_LONG" and r.prefix + r.middle + r.suffix == text
+
+
+def test_long_case_block(spark):
+    text = "int f(int x)\n{\n    switch (x) {\n    case 1: {\n" + "        x++;\n" * 22 + "    }\n    }\n}"
+    r = run(spark, [text], "switch")[0]
+    assert r.flag == "SWITCH_CASE_LONG" and r.prefix + r.middle + r.suffix == text
+    assert r.prefix.endswith(("case 1: ", "case 1: {\n        "))
+
+
+def test_comment_at_end_of_function(spark):
+    text = "int f(void)\n{\n    x = 1;\n} // tail"
+    r = run(spark, [text], "comment")[0]
+    assert (r.prefix, r.middle, r.suffix, r.flag) == (text + "\n", "", "\n", "COMMENT_BLOCK")
+
+
+def test_multi_line_exactly_five(spark):
+    text = "int f(void)\n{\n    a();\n    b();\n}"
+    r = run(spark, [text], "multi_line")[0]
+    lines = text.splitlines()
+    assert r.flag == "RANDOM_MULTI_LINE"
+    # start line 1 or 2, two or more lines, prefix/middle/suffix rebuild the non-blank lines
+    assert r.prefix.split("\n")[0] == lines[0]
+    assert (r.prefix + r.middle + r.suffix).split("\n")[:5] == lines
+
+
+def test_random_select_exact(spark):
+    from fimloom.plans.process import random_select
+    import pytest
+    texts = [f"int f{i}(void) {{ return {i}; }}" for i in range(50)]
+    df = funcs_df(spark, texts)
+    a = random_select(df, 17).collect()
+    b = random_select(df.repartition(7), 17).collect()
+    assert len(a) == 17 and sorted(r.func_index for r in a) == sorted(r.func_index for r in b)
+    assert random_select(df, 50).count() == 50 and random_select(df, 0).count() == 0
+    with pytest.raises(ValueError):
+        random_select(df, 51)
