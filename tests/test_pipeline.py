@@ -75,3 +75,37 @@ def test_streaming_collect(spark):
     assert sorted(r.func_name for r in got) == ["one", "three", "two"]
     batches = [d for d in os.listdir(out) if d.startswith("batch=")]
     assert len(batches) == 2
+
+
+def test_checkpoint_dir_rules():
+    """The session's folder is used; a scratch folder only in local mode; never on a cluster."""
+    import pytest
+    from fimloom.session import checkpoint_dir
+
+    class Conf(dict):
+        def get(self, k, default=None):
+            return dict.get(self, k, default)
+
+        def set(self, k, v):
+            self[k] = v
+
+    class SC:
+        def __init__(self, master):
+            self.master = master
+            self.dirs = []
+
+        def getConf(self):
+            return Conf()
+
+        def setCheckpointDir(self, d):
+            self.dirs.append(d)
+
+    class Sess:
+        def __init__(self, master, d=None):
+            self.conf = Conf({"spark.checkpoint.dir": d} if d else {})
+            self.sparkContext = SC(master)
+
+    assert checkpoint_dir(Sess("yarn", "hdfs:///shared/ck")) == "hdfs:///shared/ck"
+    assert checkpoint_dir(Sess("local[2]")).startswith("/")
+    with pytest.raises(ValueError):
+        checkpoint_dir(Sess("spark://master:7077"))
