@@ -118,7 +118,9 @@ def structure(tokens: DataFrame, keys: list[str], skeleton: bool = False) -> Dat
     tok = F.col("tok")
     seq = Window.partitionBy(*keys).orderBy("pos")
     run = seq.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bdelta = F.when(tok == "{", 1).when(tok == "}", -1).otherwise(0)
+    # the brace of `extern "C" {` does not nest: it adds no depth and its '}' is clamped away below
+    linkage = (tok == "{") & (F.lag("kind", 1).over(seq) == "str") & (F.lag("tok", 2).over(seq) == "extern")
+    bdelta = F.when(linkage, 0).when(tok == "{", 1).when(tok == "}", -1).otherwise(0)
     pdelta = F.when(tok == "(", 1).when(tok == ")", -1).otherwise(0)
     s = s.select(
         "*",
@@ -129,6 +131,9 @@ def structure(tokens: DataFrame, keys: list[str], skeleton: bool = False) -> Dat
         F.sum(bdelta).over(run).alias("_bd"),
         F.sum(pdelta).over(run).alias("_pd"),
     )
+    # brace depth never goes below zero: clamped running sum = S - min(0, running min of S)
+    s = s.withColumn("_bd", F.col("_bd") - F.least(F.lit(0), F.min("_bd").over(run)))
+    s = s.withColumn("_linkage", (tok == "{") & (F.col("prev_kind") == "str") & (F.col("prev2_tok") == "extern"))
     # paren depth restarts at every brace: parentheses never span braces in C, so a stray quote or
     # paren (as in hand-edited or macro-heavy code) cannot derail the rest of the file
     s = s.withColumn("_pd0", F.coalesce(F.last(F.when(tok.isin("{", "}"), F.col("_pd")), ignorenulls=True).over(run),
@@ -137,13 +142,14 @@ def structure(tokens: DataFrame, keys: list[str], skeleton: bool = False) -> Dat
          .withColumn("pdepth", F.when(tok == "(", F.col("_pd") - 1).otherwise(F.col("_pd")) - F.col("_pd0")) \
          .drop("_bd", "_pd", "_pd0")
     # top-level item starts: first token after a depth-0 ';' / '}' or a preprocessor line
-    is_bnd = ((tok.isin(";", "}")) & (F.col("depth") == 0)) | (F.col("kind") == "pp")
+    is_bnd = ((tok.isin(";", "}")) & (F.col("depth") == 0)) | (F.col("kind") == "pp") | F.col("_linkage")
     s = s.withColumn("_is_start", F.coalesce(F.lag(is_bnd, 1).over(seq), F.lit(True)) & (F.col("kind") != "pp"))
     if skeleton:
         # block detection needs only these rows (each already carries its neighbours from the full
         # pass above): the remaining windows sort a fraction of the tokens
         s = s.filter(tok.isin(*SKELETON_TOKENS) | (F.col("kind") == "pp") | F.col("_is_start"))
-    s = s.withColumn("fstart", F.last(F.when(F.col("_is_start"), F.col("st")), ignorenulls=True).over(run)).drop("_is_start")
+    s = s.withColumn("fstart", F.last(F.when(F.col("_is_start"), F.col("st")), ignorenulls=True).over(run)) \
+         .drop("_is_start", "_linkage")
     # matching parens: the previous paren at the same paren depth
     is_paren = tok.isin("(", ")")
     par = Window.partitionBy(*keys, is_paren, F.col("pdepth")).orderBy("pos")

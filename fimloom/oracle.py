@@ -138,25 +138,35 @@ C_KEYWORDS_SQL = ("('auto','break','case','char','const','continue','default','d
 
 def structure_cte(name: str, toks: str, keys: list[str]) -> str:
     k = ", ".join(keys)
-    return f"""{name}_a AS (
+    return f"""{name}_p AS (
   SELECT {k}, pos, tok, kind, st, nb,
     lag(tok, 1) OVER w AS prev_tok, lag(kind, 1) OVER w AS prev_kind, lag(tok, 2) OVER w AS prev2_tok,
-    lead(tok, 1) OVER w AS next_tok,
-    CAST(sum(CASE WHEN tok = '{{' THEN 1 WHEN tok = '}}' THEN -1 ELSE 0 END) OVER wr AS BIGINT) AS bd,
-    CAST(sum(CASE WHEN tok = '(' THEN 1 WHEN tok = ')' THEN -1 ELSE 0 END) OVER wr AS BIGINT) AS pd
+    lead(tok, 1) OVER w AS next_tok
   FROM {toks} WHERE kind IN ('id', 'num', 'op', 'str', 'chr', 'pp')
-  WINDOW w AS (PARTITION BY {k} ORDER BY pos),
-         wr AS (PARTITION BY {k} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  WINDOW w AS (PARTITION BY {k} ORDER BY pos)
+),
+{name}_a AS (
+  SELECT *,
+    CAST(sum(CASE WHEN tok = '{{' AND prev_kind = 'str' AND prev2_tok = 'extern' THEN 0
+                  WHEN tok = '{{' THEN 1 WHEN tok = '}}' THEN -1 ELSE 0 END) OVER wr AS BIGINT) AS bd_raw,
+    CAST(sum(CASE WHEN tok = '(' THEN 1 WHEN tok = ')' THEN -1 ELSE 0 END) OVER wr AS BIGINT) AS pd
+  FROM {name}_p
+  WINDOW wr AS (PARTITION BY {k} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+),
+{name}_a2 AS (
+  SELECT *, bd_raw - least(0, min(bd_raw) OVER (PARTITION BY {k} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS bd,
+         tok = '{{' AND prev_kind = 'str' AND prev2_tok = 'extern' AS linkage
+  FROM {name}_a
 ),
 {name}_b AS (
   SELECT *, CASE WHEN tok = '{{' THEN bd - 1 ELSE bd END AS depth,
             (CASE WHEN tok = '(' THEN pd - 1 ELSE pd END)
               - coalesce(last_value(CASE WHEN tok IN ('{{', '}}') THEN pd END IGNORE NULLS)
                            OVER (PARTITION BY {k} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS pdepth
-  FROM {name}_a
+  FROM {name}_a2
 ),
 {name}_c AS (
-  SELECT *, coalesce(lag((tok IN (';', '}}') AND depth = 0) OR kind = 'pp', 1) OVER (PARTITION BY {k} ORDER BY pos), true)
+  SELECT *, coalesce(lag((tok IN (';', '}}') AND depth = 0) OR kind = 'pp' OR linkage, 1) OVER (PARTITION BY {k} ORDER BY pos), true)
             AND kind <> 'pp' AS is_start
   FROM {name}_b
 ),

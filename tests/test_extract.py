@@ -97,3 +97,13 @@ def test_offsets_are_code_points(spark):
     text = "int f(void)\n{\n    // \U0001F600\U0001F600 é\n    if (x) { y(); }\n}"
     ifs = N.nodes_if_else_block(funcs_df(spark, [text])).collect()
     assert _spans(ifs, text) == ["{ y(); }"]
+
+
+def test_extern_c_and_stray_brace(spark):
+    text = ('#ifdef __cplusplus\nextern "C" {\n#endif\nint a(void) { return 1; }\nstatic int b(int x)\n{\n'
+            '    return x;\n}\n#ifdef __cplusplus\n}\n#endif\n}\nint c(void) { return 3; }\n')
+    out = function_table(files_df(spark, [("/p/e.c", text)])).orderBy("func_index").collect()
+    assert [r.func_name for r in out] == ["a", "b", "c"]
+    assert out[0].func_def == "int a(void) { return 1; }"
+    assert out[1].func_def == "static int b(int x)\n{\n    return x;\n}"
+    assert out[2].func_def == "int c(void) { return 3; }"

@@ -53,3 +53,25 @@ def test_blocks_twin(spark, duck):
     from fimloom.operators.nodes import function_blocks
     got = rows(function_blocks(funcs_df(spark, TEXTS)), FK + ["st", "en", "kind"])
     assert got == sorted(duck.sql(sql).fetchall())
+
+
+FILES = [
+    ("/p/e.c", '#ifdef __cplusplus\nextern "C" {\n#endif\nint a(void) { return 1; }\nstatic int b(int x)\n{\n'
+               '    return x;\n}\n#ifdef __cplusplus\n}\n#endif\n}\nint c(void) { return 3; }\n'),
+    ("/p/f.c", 'char *g(void) { return "}"; }\nstruct s { int a; };\nint h(int a) { if (a) { return (int)-a; } return 0; }\n'),
+]
+
+
+def test_function_extraction_twin(spark):
+    from conftest import files_df
+    from fimloom.operators.extract import function_table
+    con = duckdb.connect()
+    con.execute("CREATE TABLE files (file_path VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO files VALUES (?, ?)", FILES)
+    k = ["file_path"]
+    sql = chain(O.tokens_cte("ftok", "files", k), O.structure_cte("fsig", "ftok", k), O.blocks_cte("fblk", "fsig", k),
+                """fspan AS (SELECT file_path, row_number() OVER (PARTITION BY file_path ORDER BY fstart) - 1 AS func_index,
+                   fstart AS st, en, name AS func_name FROM fblk WHERE kind = 'function' AND depth = 0)""") + \
+        f"\nSELECT s.file_path, s.func_index, s.func_name, {O.sl('c.text', 's.st', 's.en')} FROM fspan s JOIN files c USING (file_path)"
+    got = rows(function_table(files_df(spark, FILES)), ["file_path", "func_index", "func_name", "func_def"])
+    assert got == sorted(duck_rows := con.sql(sql).fetchall()) and len(duck_rows) == 5
