@@ -24,7 +24,7 @@ def function_spans(files: DataFrame, keys: list[str] = ("file_path",), text: str
 
     ``files`` must be partitioned by ``keys`` (see ``by_key``)."""
     keys = list(keys)
-    b = blocks(structure(tokenize(files, keys, text), keys, skeleton=True), keys)
+    b = blocks(structure(tokenize(files, keys, text), keys, skeleton=True, clamp=True), keys)
     f = b.filter((F.col("kind") == "function") & (F.col("depth") == 0))
     w = Window.partitionBy(*keys).orderBy("fstart")
     return f.select(

@@ -14,12 +14,13 @@ from ..functions.text import LINE_BREAK_RX
 
 # Blank characters, and the covering token pattern (Java regex, possessive loops keep
 # the stack flat).  Each match is a run of blanks (newlines included) followed by one token:
-# block comment | line comment | string | char | preprocessor line (with continuations) |
+# `extern "C" {` (one token: the linkage brace does not nest) | block comment | line comment | string | char | preprocessor line (with continuations) |
 # identifier | number | multi-char operator | any other char;  trailing blanks form a last match.
 BLANKS = " \t\n\x0b\x0c\r"
 TOKEN_RX = (
     r"[ \t\n\x0b\x0c\r]*+(?:"
-    r"/\*(?s:.*?)(?:\*/|\z)"
+    r'extern[ \t\n\x0b\x0c\r]*+"C"[ \t\n\x0b\x0c\r]*+\{'
+    r"|/\*(?s:.*?)(?:\*/|\z)"
     r"|//[^\n]*+"
     r'|"[^"\\\n]*+(?:\\(?s:.)[^"\\\n]*+)*+"?'
     r"|'[^'\\\n]*+(?:\\(?s:.)[^'\\\n]*+)*+'?"
@@ -54,6 +55,7 @@ def _kind(tok: Column) -> Column:
     digit = lambda x: (x >= 48) & (x <= 57)
     return (
         F.when(tok.startswith("/*") | tok.startswith("//"), "comment")
+        .when(tok.startswith("extern") & tok.endswith("{"), "pp")
         .when(c == 34, "str")
         .when(c == 39, "chr")
         .when(c == 35, "pp")
@@ -102,11 +104,12 @@ def tokenize(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     return t.withColumn("en", F.col("st") + F.length("tok"))
 
 
-def structure(tokens: DataFrame, keys: list[str], skeleton: bool = False) -> DataFrame:
+def structure(tokens: DataFrame, keys: list[str], skeleton: bool = False, clamp: bool = False) -> DataFrame:
     """Structural tokens with brace/paren depth, neighbours and header information.
 
     ``skeleton=True`` keeps only braces, parens, ``;``, case labels, preprocessor lines and item starts
-    after the first pass (enough for ``blocks``; not for statement or expression spans).
+    after the first pass (enough for ``blocks``; not for statement or expression spans).  ``clamp=True``
+    (whole files) keeps brace depth from going negative; function texts are balanced and skip it.
 
     Columns added: prev_tok, prev_kind, prev2_tok, depth (enclosing braces), pdepth, hdr / hdr_kind /
     hdr2 (on ``)``: the token before its matching ``(`` and the one before that),
@@ -118,9 +121,8 @@ def structure(tokens: DataFrame, keys: list[str], skeleton: bool = False) -> Dat
     tok = F.col("tok")
     seq = Window.partitionBy(*keys).orderBy("pos")
     run = seq.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # the brace of `extern "C" {` does not nest: it adds no depth and its '}' is clamped away below
-    linkage = (tok == "{") & (F.lag("kind", 1).over(seq) == "str") & (F.lag("tok", 2).over(seq) == "extern")
-    bdelta = F.when(linkage, 0).when(tok == "{", 1).when(tok == "}", -1).otherwise(0)
+    # `extern "C" {` is one token (kind pp): it adds no depth, and its '}' is clamped away below
+    bdelta = F.when(tok == "{", 1).when(tok == "}", -1).otherwise(0)
     pdelta = F.when(tok == "(", 1).when(tok == ")", -1).otherwise(0)
     s = s.select(
         "*",
@@ -131,25 +133,30 @@ def structure(tokens: DataFrame, keys: list[str], skeleton: bool = False) -> Dat
         F.sum(bdelta).over(run).alias("_bd"),
         F.sum(pdelta).over(run).alias("_pd"),
     )
-    # brace depth never goes below zero: clamped running sum = S - min(0, running min of S)
-    s = s.withColumn("_bd", F.col("_bd") - F.least(F.lit(0), F.min("_bd").over(run)))
-    s = s.withColumn("_linkage", (tok == "{") & (F.col("prev_kind") == "str") & (F.col("prev2_tok") == "extern"))
+    # brace depth never goes below zero (file level, ``clamp``): clamped running sum = S - min(0, running
+    # min of S), which closes `extern "C" {` blocks and absorbs stray '}';
     # paren depth restarts at every brace: parentheses never span braces in C, so a stray quote or
-    # paren (as in hand-edited or macro-heavy code) cannot derail the rest of the file
-    s = s.withColumn("_pd0", F.coalesce(F.last(F.when(tok.isin("{", "}"), F.col("_pd")), ignorenulls=True).over(run),
-                                        F.lit(0)))
+    # paren (as in hand-edited or macro-heavy code) cannot derail the rest of the file.
+    # (one window operator for both)
+    extra = [F.min("_bd").over(run).alias("_bdmin")] if clamp else []
+    s = s.select(
+        "*", *extra,
+        F.coalesce(F.last(F.when(tok.isin("{", "}"), F.col("_pd")), ignorenulls=True).over(run), F.lit(0)).alias("_pd0"),
+    )
+    if clamp:
+        s = s.withColumn("_bd", F.col("_bd") - F.least(F.lit(0), F.col("_bdmin"))).drop("_bdmin")
     s = s.withColumn("depth", F.when(tok == "{", F.col("_bd") - 1).otherwise(F.col("_bd"))) \
          .withColumn("pdepth", F.when(tok == "(", F.col("_pd") - 1).otherwise(F.col("_pd")) - F.col("_pd0")) \
          .drop("_bd", "_pd", "_pd0")
     # top-level item starts: first token after a depth-0 ';' / '}' or a preprocessor line
-    is_bnd = ((tok.isin(";", "}")) & (F.col("depth") == 0)) | (F.col("kind") == "pp") | F.col("_linkage")
+    is_bnd = ((tok.isin(";", "}")) & (F.col("depth") == 0)) | (F.col("kind") == "pp")
     s = s.withColumn("_is_start", F.coalesce(F.lag(is_bnd, 1).over(seq), F.lit(True)) & (F.col("kind") != "pp"))
     if skeleton:
         # block detection needs only these rows (each already carries its neighbours from the full
         # pass above): the remaining windows sort a fraction of the tokens
         s = s.filter(tok.isin(*SKELETON_TOKENS) | (F.col("kind") == "pp") | F.col("_is_start"))
     s = s.withColumn("fstart", F.last(F.when(F.col("_is_start"), F.col("st")), ignorenulls=True).over(run)) \
-         .drop("_is_start", "_linkage")
+         .drop("_is_start")
     # matching parens: the previous paren at the same paren depth
     is_paren = tok.isin("(", ")")
     par = Window.partitionBy(*keys, is_paren, F.col("pdepth")).orderBy("pos")

@@ -12,7 +12,8 @@ from .sources.corpus import DIRS, FILE_HEAD, FILE_TAIL, N_TEMPLATES, RET_TYPES,
 # The token pattern of ``operators.tokens.TOKEN_RX`` in RE2 syntax.
 TOKEN_RX_RE2 = (
     r"[ \t\n\x0b\x0c\r]*(?:"
-    r"/\*(?s:.*?)(?:\*/|\z)"
+    r'extern[ \t\n\x0b\x0c\r]*"C"[ \t\n\x0b\x0c\r]*\{'
+    r"|/\*(?s:.*?)(?:\*/|\z)"
     r"|//[^\n]*"
     r'|"[^"\\\n]*(?:\\(?s:.)[^"\\\n]*)*"?'
     r"|'[^'\\\n]*(?:\\(?s:.)[^'\\\n]*)*'?"
@@ -92,6 +93,7 @@ def tokens_cte(name: str, src: str, keys: list[str], text: str = "text") -> str:
     k = ", ".join(keys)
     pk = ", ".join(keys)
     kind = """CASE WHEN starts_with(tok, '/*') OR starts_with(tok, '//') THEN 'comment'
+                WHEN starts_with(tok, 'extern') AND ends_with(tok, '{{') THEN 'pp'
                 WHEN left(tok, 1) = '"' THEN 'str'
                 WHEN left(tok, 1) = '''' THEN 'chr'
                 WHEN left(tok, 1) = '#' THEN 'pp'
@@ -136,8 +138,10 @@ C_KEYWORDS_SQL = ("('auto','break','case','char','const','continue','default','d
                   "'_Bool','_Complex','_Imaginary')")
 
 
-def structure_cte(name: str, toks: str, keys: list[str]) -> str:
+def structure_cte(name: str, toks: str, keys: list[str], clamp: bool = False) -> str:
     k = ", ".join(keys)
+    bd_expr = (f"bd_raw - least(0, min(bd_raw) OVER (PARTITION BY {k} ORDER BY pos "
+               f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))") if clamp else "bd_raw"
     return f"""{name}_p AS (
   SELECT {k}, pos, tok, kind, st, nb,
     lag(tok, 1) OVER w AS prev_tok, lag(kind, 1) OVER w AS prev_kind, lag(tok, 2) OVER w AS prev2_tok,
@@ -147,15 +151,13 @@ def structure_cte(name: str, toks: str, keys: list[str]) -> str:
 ),
 {name}_a AS (
   SELECT *,
-    CAST(sum(CASE WHEN tok = '{{' AND prev_kind = 'str' AND prev2_tok = 'extern' THEN 0
-                  WHEN tok = '{{' THEN 1 WHEN tok = '}}' THEN -1 ELSE 0 END) OVER wr AS BIGINT) AS bd_raw,
+    CAST(sum(CASE WHEN tok = '{{' THEN 1 WHEN tok = '}}' THEN -1 ELSE 0 END) OVER wr AS BIGINT) AS bd_raw,
     CAST(sum(CASE WHEN tok = '(' THEN 1 WHEN tok = ')' THEN -1 ELSE 0 END) OVER wr AS BIGINT) AS pd
   FROM {name}_p
   WINDOW wr AS (PARTITION BY {k} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 ),
 {name}_a2 AS (
-  SELECT *, bd_raw - least(0, min(bd_raw) OVER (PARTITION BY {k} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS bd,
-         tok = '{{' AND prev_kind = 'str' AND prev2_tok = 'extern' AS linkage
+  SELECT *, {bd_expr} AS bd
   FROM {name}_a
 ),
 {name}_b AS (
@@ -166,7 +168,7 @@ def structure_cte(name: str, toks: str, keys: list[str]) -> str:
   FROM {name}_a2
 ),
 {name}_c AS (
-  SELECT *, coalesce(lag((tok IN (';', '}}') AND depth = 0) OR kind = 'pp' OR linkage, 1) OVER (PARTITION BY {k} ORDER BY pos), true)
+  SELECT *, coalesce(lag((tok IN (';', '}}') AND depth = 0) OR kind = 'pp', 1) OVER (PARTITION BY {k} ORDER BY pos), true)
             AND kind <> 'pp' AS is_start
   FROM {name}_b
 ),
@@ -250,7 +252,7 @@ def functions_ctes(source_filter: str | None = None) -> str:
     ctes = [corpus_cte()] + ([source_filter] if source_filter else [])
     return ",\n".join(ctes + [
         tokens_cte("ftok", src, ["file_path"]),
-        structure_cte("fsig", "ftok", ["file_path"]),
+        structure_cte("fsig", "ftok", ["file_path"], clamp=True),
         blocks_cte("fblk", "fsig", ["file_path"]),
         """fspan AS (
   SELECT file_path, row_number() OVER (PARTITION BY file_path ORDER BY fstart) - 1 AS func_index,

@@ -233,7 +233,7 @@ def q_c_tokens(spark, sf_dir):
 
 def q_c_blocks(spark, sf_dir):
     files = by_key(c_files(spark, sf_dir).select("file_path", "text"), ["file_path"])
-    b = blocks(structure(tokenize(files, ["file_path"], "text"), ["file_path"], skeleton=True), ["file_path"])
+    b = blocks(structure(tokenize(files, ["file_path"], "text"), ["file_path"], skeleton=True, clamp=True), ["file_path"])
     return b.select("file_path", "st", "en", "depth", "kind", "parent_kind", "n_lines")
 
 
