@@ -378,15 +378,14 @@ def binary_cte(name: str, stmts: str, keys: list[str]) -> str:
 ),
 {name}_x AS (
   SELECT *, CASE WHEN tok IN ('(', '[', ')', ']') THEN nd + 1 ELSE nd END AS x,
-         {binop} AS binop, CASE WHEN {binop} THEN {PREC_SQL} END AS prec,
-         last_value(CASE WHEN tok IN ('{{', '}}') THEN next_st END IGNORE NULLS) OVER {wr} AS seg_st
+         {binop} AS binop, CASE WHEN {binop} THEN {PREC_SQL} END AS prec
   FROM (SELECT *, CASE WHEN tok IN ('(', '[') THEN nd_raw - 1 ELSE nd_raw END AS nd FROM {name}_n)
 ),
 {name}_l AS (SELECT *, {lefts} FROM {name}_x),
 {name}_r AS (SELECT *, {rights} FROM {name}_l),
 {name} AS (
-  SELECT {k}, coalesce({larr}[prec], seg_st, 0) AS st, {rarr}[prec] AS en, tok AS op FROM {name}_r
-  WHERE binop AND {rarr}[prec] IS NOT NULL
+  SELECT {k}, {larr}[prec] AS st, {rarr}[prec] AS en, tok AS op FROM {name}_r
+  WHERE binop AND {larr}[prec] IS NOT NULL AND {rarr}[prec] IS NOT NULL
 )"""
 
 
