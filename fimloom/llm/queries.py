@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, langid, license_scan, packing, quality, sharding, simhash, url_rules
+from . import bpe, exact_dedup, hmm_lm, langid, license_scan, packing, quality, sharding, simhash, url_rules
 from .common import crc_mod, documents
 
 # The listed URL rules (host, path, verdict).
@@ -56,6 +56,15 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(documents(spark, sf_dir), vocabulary())
 
 
+def op8_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    learn = hmm_lm.training_rows(docs)
+    counts = hmm_lm.written(hmm_lm.word_counts(learn), "word-counts")
+    model = hmm_lm.train(learn, counts)
+    held_out = F.coalesce(crc_mod("doc_id", 5) == 1, F.lit(False)).alias("held_out")
+    return hmm_lm.score(docs.select("doc_id", held_out, "text"), model, counts, carry=["held_out"])
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir), [1.0] * 16, [1.0] * 17)
 
@@ -70,7 +79,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (op1_url_rules, op2_packing, op3_exact_dedup, op4_simhash, op5_license_scan, op6_language_id,
-                                    op7_bpe, op9_sharding, op10_quality_rules)}
+                                    op7_bpe, op8_hmm_lm, op9_sharding, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
