@@ -33,14 +33,17 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and (text.isalpha() or any(map(str.isalpha, text)))
 
 
-def grams(raw: np.ndarray, bins: int = BINS) -> list[np.ndarray]:
-    """Bins of the 1-, 2- and 3-grams that start at each byte (the last ones run into what follows)."""
+def grams(raw: np.ndarray, starts: np.ndarray, bins: int = BINS) -> list[np.ndarray]:
+    """Bins of the 1-, 2- and 3-grams at each byte; those that run into the next text have the bin ``bins``."""
     shift = np.uint32(32 - (bins.bit_length() - 1))
     code, out = raw.astype(np.uint32), []
     for n, mix in zip(ORDERS, MIX):
         if n > 1:
             code = code[:-1] << np.uint32(8) | raw[n - 1:]
-        out.append((code * np.uint32(mix) ^ np.uint32(n * 0x9E3779B9 & 0xFFFFFFFF)) * np.uint32(MIX[0]) >> shift)
+        found = (code * np.uint32(mix) ^ np.uint32(n * 0x9E3779B9 & 0xFFFFFFFF)) * np.uint32(MIX[0]) >> shift
+        for k in range(1, n):
+            found[starts[1:] - k] = bins
+        out.append(found)
     return out
 
 
@@ -67,15 +70,14 @@ def train(docs: DataFrame, lang: Column, text_col: str = "text", bins: int = BIN
     sample = rows.where(F.col("lang").isin(langs)).where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < part * (1 << 20))
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros((len(langs), bins), dtype=np.int64)
+        seen = np.zeros((len(langs), bins + 1), dtype=np.int64)
         at = {x: i for i, x in enumerate(langs)}
         for part_, texts in text_slices(batches):
             of = part_.column("lang").to_pylist()
             for x in set(of):
-                raw, _ = joined([t for t, y in zip(texts, of) if y == x])
-                for g in grams(raw, bins):
-                    seen[at[x]] += np.bincount(g, minlength=bins)
-        i, b = np.nonzero(seen)
+                for g in grams(*joined([t for t, y in zip(texts, of) if y == x]), bins):
+                    seen[at[x]] += np.bincount(g, minlength=bins + 1)
+        i, b = np.nonzero(seen[:, :bins])
         if len(i):
             yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(b, pa.int32()), pa.array(seen[i, b], pa.int64())],
                                              names=["language", "bin", "n"])
@@ -97,7 +99,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
     with_worker_path(spark)
     langs, matrix = model
     bins = len(matrix)
-    shared = spark.sparkContext.broadcast(matrix)
+    shared = spark.sparkContext.broadcast(np.concatenate([matrix, np.zeros((1, len(langs)), dtype=np.float32)]))
     carry = carry or []
     # private names: the input's own may clash
     source = docs.select(*[docs[c].alias(f"llm_c{i}__") for i, c in enumerate(carry)], docs[text_col].alias("llm_text__"))
@@ -111,7 +113,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
             if langs:
                 raw, starts = joined(texts)
                 total = np.zeros((len(raw), len(langs)), dtype=np.float32)
-                for g in grams(raw, bins):
+                for g in grams(raw, starts, bins):
                     total[:len(g)] += table[g]
                 sums = np.add.reduceat(total, starts, axis=0, dtype=np.float64)
                 mean = sums / np.diff(np.append(starts, len(raw)))[:, None]
