@@ -69,15 +69,16 @@ def sl(s: str, i: str | None = None, j: str | None = None) -> str:
 
 
 def corpus_cte() -> str:
-    w = "substring(regexp_replace(l, '[^A-Za-z\\x{C0}-\\x{FF} ]', '', 'g'), 1, 40)"
+    c = "replace(l, '*/', '* /')"
+    s = "replace(replace(l, chr(92), chr(92) || chr(92)), '\"', chr(92) || '\"')"
     k = "CAST(length(l) AS VARCHAR)"
-    cases = " ".join(f"WHEN {n} THEN {_render(t, {'w': w, 'k': k})}" for n, t in enumerate(STATEMENTS))
+    cases = " ".join(f"WHEN {n} THEN {_render(t, {'c': c, 's': s, 'k': k})}" for n, t in enumerate(STATEMENTS))
     stmt = f"CASE (doc_id + i - 1) % {N_TEMPLATES} {cases} END"
     ret = "[" + ", ".join(q(r) for r in RET_TYPES) + "][doc_id % 3 + 1]"
     vals = {"id": "CAST(doc_id AS VARCHAR)", "r": ret, "m": "CAST(doc_id % 100 AS VARCHAR)"}
     dirs = "[" + ", ".join(q(d) for d in DIRS) + "][doc_id % 7 + 1]"
     ext = "CASE WHEN doc_id % 11 = 0 THEN '.h' WHEN doc_id % 11 = 1 THEN '.C' ELSE '.c' END"
-    body = f"array_to_string(list_transform(string_split(text, chr(10)), lambda l, i: {stmt}), '')"
+    body = f"array_to_string(list_transform(string_split(coalesce(text, ''), chr(10)), lambda l, i: {stmt}), '')"
     return f"""corpus AS (
   SELECT '/corpus/' || source || '/' || {dirs} || '/doc_' || CAST(doc_id AS VARCHAR) || {ext} AS file_path,
          doc_id,

@@ -21,7 +21,7 @@ from ..operators import nodes as N
 from ..operators.extract import by_key, function_spans, function_table
 from ..operators.strategies import fim, with_strategy
 from ..operators.tokens import blocks, structure, tokenize
-from ..session import prepare, scratch_path
+from ..session import decoding, scratch_path
 from ..sources import files as S
 from ..sources.corpus import corpus, load_documents, render_paths
 from ..sources.decode import decode_files, decode_text, encoding_of
@@ -34,9 +34,9 @@ FIM_COLS = ["file_path", "func_index", "func_name", "prefix", "middle", "suffix"
 
 
 def c_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The collect step's input: rendered ``.c`` files outside the skipped directories."""
-    prepare(spark)
-    return select_c_sources(corpus(spark, sf_dir))
+    """Every rendered file, whatever its directory and suffix (which files the collect step takes is the
+    work of S1-S3 and X4 alone)."""
+    return corpus(spark, sf_dir)
 
 
 _COLLECTED: dict[tuple[str, str], str] = {}
@@ -144,18 +144,17 @@ def q_find_files_depth(spark, sf_dir):
     return S.find_files_depth(manifest(spark, sf_dir), WALK_ROOT, None, WALK_EXCLUDE_RX, WALK_DEPTH)
 
 
+# What un-normalised paths begin and end with, by page_id.
+PATH_HEADS = ["../../", "//", "/../data/", "/data/./", "s3a://bucket/./x/../", "hdfs://nn:8020/../", "file:///srv//"]
+PATH_TAILS = ["", "/..", "/."]
+
+
 def raw_page_paths(pages: DataFrame) -> DataFrame:
-    """Un-normalised paths built from page URLs: '//', '.', '..' and relative forms by page_id."""
-    host = F.regexp_extract("url", r"^https?://([^/]+)", 1)
-    lang = F.regexp_extract("url", r"^https?://[^/]+/([^/#?]+)", 1)
-    num = F.regexp_extract("url", r"^https?://[^/]+/[^/]+/([0-9]+)", 1)
-    tail = F.when(F.pmod("page_id", F.lit(3)) == 0, "/..").when(F.pmod("page_id", F.lit(3)) == 1, "/.").otherwise("")
-    head = (F.when(F.pmod("page_id", F.lit(5)) == 0, "../../")
-            .when(F.pmod("page_id", F.lit(5)) == 1, "//")
-            .when(F.pmod("page_id", F.lit(5)) == 2, "/../data/")
-            .otherwise("/data/./"))
-    raw = F.concat(head, host, F.lit("//"), lang, F.lit("/../"), lang, F.lit("/"), num, tail)
-    return pages.select("page_id", raw.alias("raw_path"))
+    """Un-normalised paths that hold a page's whole URL after its scheme: '//', '.', '..', relative forms
+    and cluster paths by page_id."""
+    url = F.regexp_replace(F.coalesce("url", F.lit("")), "^[a-z]+://", "")
+    pick = lambda xs: F.element_at(F.array(*[F.lit(x) for x in xs]), (F.pmod("page_id", F.lit(len(xs))) + 1).cast("int"))
+    return pages.select("page_id", F.concat(pick(PATH_HEADS), url, pick(PATH_TAILS)).alias("raw_path"))
 
 
 def q_normalize_path(spark, sf_dir):
@@ -166,31 +165,51 @@ def q_normalize_path(spark, sf_dir):
 
 def encoded_documents(spark, sf_dir):
     """Documents as bytes: UTF-8, UTF-8 with a BOM, or GB18030 by doc_id % 3."""
-    prepare(spark)
     d = load_documents(spark, sf_dir)
     m = F.pmod("doc_id", F.lit(3))
     content = (F.when(m == 0, F.encode("text", "UTF-8"))
                .when(m == 1, F.concat(F.unhex(F.lit("EFBBBF")), F.encode("text", "UTF-8")))
                .otherwise(F.encode("text", "GB18030")))
-    return d.select("doc_id", content.alias("content"))
+    with decoding(spark):
+        return d.select("doc_id", content.alias("content"))
 
 
 def q_decode_text(spark, sf_dir):
     e = encoded_documents(spark, sf_dir)
-    return e.select("doc_id", decode_text(F.col("content")).alias("text"))
+    with decoding(spark):
+        return e.select("doc_id", decode_text(F.col("content")).alias("text"))
+
+
+# Bytes (hex) whose charset is known, by doc_id % 8; they follow the document's text in hex digits.
+ENCODED_SAMPLES = [
+    ("C3A9E4B8AD", "utf-8"),            # e acute, a Chinese character
+    ("", "utf-8"),
+    ("D6D0CEC4", "gb2312"),             # two characters of the first level
+    ("E946", "gbk"),                    # a character that GBK adds
+    ("95328236", "gb18030"),            # four bytes: only GB18030 has it
+    ("636166E920", "windows-1252"),     # "caf" and e acute
+    ("FF81", None),                     # no charset of the chain has it
+    ("", "utf-16"),                     # the whole file in UTF-16 with its mark
+]
 
 
 def q_decode_encoding(spark, sf_dir):
-    e = encoded_documents(spark, sf_dir)
-    return e.select("doc_id", encoding_of(F.col("content")).alias("encoding"))
+    """S9 on bytes of known charsets: every member of the chain, and one that nothing decodes."""
+    d = load_documents(spark, sf_dir)
+    m = F.pmod("doc_id", F.lit(len(ENCODED_SAMPLES)))
+    whole = F.hex(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
+    sample = F.element_at(F.array(*[F.lit(x) for x, _ in ENCODED_SAMPLES]), (m + 1).cast("int"))
+    content = F.when(m == len(ENCODED_SAMPLES) - 1, F.concat(F.unhex(F.lit("FFFE")), F.encode(whole, "UTF-16LE"))).otherwise(
+        F.concat(F.encode(whole, "UTF-8"), F.unhex(sample)))
+    with decoding(spark):
+        return d.select("doc_id", content.alias("content")).select("doc_id", encoding_of(F.col("content")).alias("encoding"))
 
 
 def q_drop_empty_files(spark, sf_dir):
-    prepare(spark)
     d = load_documents(spark, sf_dir)
     m = F.pmod("doc_id", F.lit(9))
     content = (F.when(m == 0, F.unhex(F.lit("")))
-               .when(m == 1, F.concat(F.unhex(F.lit("FF")), F.encode("text", "UTF-8")))
+               .when(m == 1, F.concat(F.unhex(F.lit("FF81")), F.encode("text", "UTF-8")))
                .otherwise(F.encode("text", "UTF-8")))
     files = d.select(F.col("doc_id").cast("string").alias("file_path"), content.alias("content"))
     return decode_files(files).select(F.col("file_path").cast("long").alias("doc_id"))
@@ -213,7 +232,6 @@ def q_read_jsonl(spark, sf_dir):
 
 def q_collect_functions(spark, sf_dir):
     """X4 end to end on the rendered corpus: S1+S3 on the manifest, bytes -> decode -> extract -> JSONL."""
-    prepare(spark)
     files = select_c_sources(corpus(spark, sf_dir)).select("file_path", F.encode("text", "UTF-8").alias("content"))
     funcs = function_table(decode_files(files))
     path = scratch_path(spark, "collect-jsonl")
@@ -361,8 +379,7 @@ def q_draw_bernoulli(spark, sf_dir):
 
 def q_function_table(spark, sf_dir):
     """Bytes -> decode -> functions, paths normalised."""
-    prepare(spark)
-    files = select_c_sources(corpus(spark, sf_dir)).select("file_path", F.encode("text", "UTF-8").alias("content"))
+    files = c_files(spark, sf_dir).select("file_path", F.encode("text", "UTF-8").alias("content"))
     return collect_frame(decode_files(files))
 
 
@@ -435,10 +452,6 @@ def queries() -> dict[str, Query]:
 
 # ------------------------------------------------------------------ DuckDB side
 
-def _funcs_sql() -> str:
-    return O.functions_ctes()
-
-
 def _c_files_filter() -> str:
     return ("ftab_in AS (SELECT * FROM corpus WHERE suffix(file_path, '.c') AND NOT list_has_any(string_split(file_path, '/'), "
             "['grpcplugin', 'resource', 'webplugin', 'verifysuite']))")
@@ -476,23 +489,25 @@ wp AS (SELECT list_transform(range(1, least(len(rel), {WALK_DEPTH}) + 1),
                              lambda i: {O.q(root + '/')} || array_to_string(rel[1:i], '/')) AS prefixes FROM wm)"""
     out["find_files_depth"] = O.with_(walk, "SELECT DISTINCT prefixes[-1] AS path FROM wp WHERE "
                                             f"list_bool_and(list_transform(prefixes, lambda x: NOT {_rx('x', WALK_EXCLUDE_RX)}))")
-    head = ("CASE page_id % 5 WHEN 0 THEN '../../' WHEN 1 THEN '//' WHEN 2 THEN '/../data/' ELSE '/data/./' END")
-    tail = "CASE page_id % 3 WHEN 0 THEN '/..' WHEN 1 THEN '/.' ELSE '' END"
-    host = "regexp_extract(url, '^https?://([^/]+)', 1)"
-    lang = "regexp_extract(url, '^https?://[^/]+/([^/#?]+)', 1)"
-    num = "regexp_extract(url, '^https?://[^/]+/[^/]+/([0-9]+)', 1)"
+    pick = lambda xs: f"[{', '.join(O.q(x) for x in xs)}][page_id % {len(xs)} + 1]"
     step = ("CASE WHEN x = '..' AND acc <> '' AND NOT (acc = '..' OR ends_with(acc, '/..')) THEN "
             "CASE WHEN contains(acc, '/') THEN regexp_replace(acc, '/[^/]*$', '') ELSE '' END "
             "WHEN x = '..' AND acc = '' AND absolute THEN acc "
             "WHEN acc = '' THEN x ELSE acc || '/' || x END")
-    norm = f"""raw AS (SELECT page_id, {head} || {host} || '//' || {lang} || '/../' || {lang} || '/' || {num} || {tail} AS raw_path
+    norm = f"""raw AS (SELECT page_id, {pick(PATH_HEADS)} || regexp_replace(coalesce(url, ''), '^[a-z]+://', '') || {pick(PATH_TAILS)} AS raw_path
               FROM pages),
-n1 AS (SELECT page_id, raw_path, starts_with(p, '/') AS absolute, starts_with(p, '//') AND NOT starts_with(p, '///') AS two,
-              list_filter(string_split(p, '/'), lambda x: x <> '' AND x <> '.') AS parts
+n0 AS (SELECT *, regexp_extract(p, '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*') AS store
        FROM (SELECT *, regexp_replace(raw_path, '^file:', '') AS p FROM raw)),
+n1 AS (SELECT page_id, raw_path, store, store <> '' OR starts_with(r, '/') AS absolute,
+              store = '' AND starts_with(r, '//') AND NOT starts_with(r, '///') AS two,
+              list_filter(string_split(r, '/'), lambda x: x <> '' AND x <> '.') AS parts
+       FROM (SELECT *, substr(p, length(store) + 1) AS r FROM n0)),
 n2 AS (SELECT *, list_reduce(list_prepend('', parts), lambda acc, x: {step}) AS body FROM n1),
-n3 AS (SELECT page_id, raw_path, (CASE WHEN two THEN '//' WHEN absolute THEN '/' ELSE '' END) || body AS out FROM n2)"""
+n3 AS (SELECT page_id, raw_path, (CASE WHEN store <> '' AND body = '' THEN store WHEN store <> '' THEN store || '/'
+                                       WHEN two THEN '//' WHEN absolute THEN '/' ELSE '' END) || body AS out FROM n2)"""
     out["normalize_path"] = O.with_(norm, "SELECT page_id, raw_path, CASE WHEN out = '' THEN '.' ELSE out END AS path FROM n3")
+    known = " ".join(f"WHEN {i} THEN {O.q(name) if name else 'NULL'}" for i, (_, name) in enumerate(ENCODED_SAMPLES))
+    out["decode_encoding"] = f"SELECT doc_id, CASE doc_id % {len(ENCODED_SAMPLES)} {known} END AS encoding FROM documents"
     out["decode_text"] = "SELECT doc_id, regexp_replace(text, '\r\n?', chr(10), 'g') AS text FROM documents"
     out["drop_empty_files"] = ("SELECT doc_id FROM documents WHERE doc_id % 9 NOT IN (0, 1) "
                                "AND length(regexp_replace(text, '\r\n?', chr(10), 'g')) > 0")
@@ -500,7 +515,7 @@ n3 AS (SELECT page_id, raw_path, (CASE WHEN two THEN '//' WHEN absolute THEN '/'
 
 
 def _syntax_sql() -> dict[str, str]:
-    funcs = O.functions_ctes(source_filter=_c_files_filter())
+    funcs = O.functions_ctes()
     fk = ["file_path", "func_index"]
     node = ",\n".join([funcs, O.tokens_cte("ntok", "ftab", fk, "func_def"), O.structure_cte("nsig", "ntok", fk),
                        O.blocks_cte("nblk", "nsig", fk)])
@@ -527,7 +542,7 @@ def _syntax_sql() -> dict[str, str]:
 
 
 def _text_sql() -> dict[str, str]:
-    funcs = O.functions_ctes(source_filter=_c_files_filter())
+    funcs = O.functions_ctes()
     fi = "file_path, CAST(func_index AS INTEGER) AS func_index"
     s = "func_def"
     br = f"""{funcs},
@@ -572,7 +587,7 @@ fsample AS (
 
 
 def _draw_sql() -> dict[str, str]:
-    funcs = O.functions_ctes(source_filter=_c_files_filter())
+    funcs = O.functions_ctes()
     fi = "file_path, CAST(func_index AS INTEGER) AS func_index"
     fk = f"""{funcs},
 fk AS (SELECT *, file_path || '#' || CAST(func_index AS VARCHAR) AS key, CAST(len({O.splitlines('func_def')}) AS INTEGER) AS n_lines
@@ -590,7 +605,7 @@ fk AS (SELECT *, file_path || '#' || CAST(func_index AS VARCHAR) AS key, CAST(le
 
 
 def oracle_sql() -> dict[str, str]:
-    funcs = O.functions_ctes(source_filter=_c_files_filter())
+    funcs = O.functions_ctes()
     fcols = "file_path, CAST(func_index AS INTEGER) AS func_index, func_name"
     out = {
         "extract_functions": O.with_(funcs, f"SELECT {fcols}, func_def FROM ftab"),
@@ -605,7 +620,7 @@ def oracle_sql() -> dict[str, str]:
                             f"SELECT {fcols}, prefix, middle, suffix, flag FROM fim")
     ftab_sel = f"SELECT {fcols}, func_def FROM ftab"
     out["read_jsonl"] = O.with_(funcs, ftab_sel)
-    out["collect_functions"] = O.with_(funcs, ftab_sel)
+    out["collect_functions"] = O.with_(O.functions_ctes(source_filter=_c_files_filter()), ftab_sel)
     out["write_jsonl"] = out["function_process"]
     out.update(_sources_sql())
     out.update(_syntax_sql())

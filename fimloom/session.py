@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-import os
+import atexit
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings the decode chain needs (GB charsets, bad bytes -> U+FFFD instead of a failed job).
@@ -24,29 +28,40 @@ BASE_CONF = {
 }
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "fimloom",
+def build_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "fimloom",
                   extra: dict | None = None) -> SparkSession:
+    """A session with our defaults wherever the cluster (or a session that is already there) sets nothing.
+
+    Only what the caller asks for (``shuffle_partitions``, ``extra``) overrides the cluster's settings."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    conf = dict(BASE_CONF)
-    conf.update(DECODE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf = {}
+    if SparkSession.getActiveSession() is None:
+        given = SparkConf()
+        conf = {k: v for k, v in BASE_CONF.items() if not given.contains(k)}
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    prepare(spark)
+    checkpoint_dir(spark)
     return spark
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Runtime settings for a session we did not build (e.g. the driver's)."""
-    for k, v in DECODE_CONF.items():
-        spark.conf.set(k, v)
-    checkpoint_dir(spark)
-    return spark
+@contextmanager
+def decoding(spark: SparkSession) -> Iterator[None]:
+    """The settings of the decode chain, while a plan with it is analysed; the session's own come back after."""
+    before = {k: spark.conf.get(k, None) for k in DECODE_CONF}
+    try:
+        for k, v in DECODE_CONF.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -69,19 +84,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the checkpoint folder for a written intermediate table."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/fimloom/{name}-{os.getpid()}-{next(_counter)}"
+    """A fresh sub-folder of the checkpoint folder for a written intermediate table.
+
+    Folders are those of one application, and their names are unique, so jobs that share the checkpoint
+    folder never meet; they go when the application's driver ends (``release``)."""
+    if not _RELEASED:
+        atexit.register(release, spark)
+        _RELEASED.append(True)
+    return f"{_application_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+_RELEASED: list[bool] = []
 
 
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
+def _application_dir(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/fimloom/{spark.sparkContext.applicationId}"
 
 
-_counter = _count()
+def release(spark: SparkSession) -> None:
+    """Delete this application's scratch tables (nothing to do once its context has ended)."""
+    context = spark.sparkContext
+    if context._jsc is None or context._jsc.sc().isStopped():
+        return
+    path = context._jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df, name: str, partition_by: str | None = None):

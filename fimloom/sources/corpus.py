@@ -1,10 +1,10 @@
 """A C corpus derived from the ``documents`` table.
 
 The driver tables hold no C source, so every registered query first renders one C file per
-document.  Each line of a document becomes one statement chosen by ``(doc_id + line_no) % 16``;
-``{w}`` is the line reduced to letters and spaces (at most 40 characters) and ``{k}`` its length.
-The same templates are rendered by the DuckDB oracle (``fimloom.oracle``), so the whole corpus
-grows with the documents table.
+document.  Each line of a document becomes one statement chosen by ``(doc_id + line_no) % 16`` that
+holds the line's whole text: ``{c}`` in a comment (``*/`` is split), ``{s}`` in a string (``\\`` and
+``"`` are escaped); ``{k}`` is the line's length.  The same templates are rendered by the DuckDB
+oracle (``fimloom.oracle``), so the whole corpus grows with the documents table.
 """
 
 from __future__ import annotations
@@ -14,32 +14,29 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Characters kept in {w}.
-WORD_KEEP_RX = r"[^A-Za-z\x{C0}-\x{FF} ]"
-
 I = "    "
 II = "        "
 
 # Statement templates, indexed by (doc_id + line_no) % 16.
 STATEMENTS = [
-    I + "// {w}\n",
-    I + "/* {w} } */\n" + I + "x = {k};\n\n",
-    I + "x += y * {k} + 1;\n",
-    I + "if (x > {k})\n" + I + "{\n" + II + 'puts("{w} }");\n' + I + "}\n",
-    I + "if (x < {k}) {\n" + (II + "x = x + 1;\n") * 22 + I + "} else {\n" + II + "y = {k};\n" + I + "}\n",
-    I + "for (j = 0; j < {k}; j++)\n" + I + "{\n" + II + "if (j == 2) { c = '}'; }\n" + I + "}\n",
-    I + "while (x > {k}) {\n" + II + "x = x - 1;\n" + I + "} /* {w} */\n",
-    I + "switch (x % 3) {\n" + I + "case 0: {\n" + II + "y = {k};\n" + II + "break;\n" + I + "}\n"
+    I + "// {c} .\n",
+    I + "/* {c} } */\n" + I + "x = {k};\n\n",
+    I + 'x += y * size("{s}") + {k};\n',
+    I + "if (x > {k})\n" + I + "{\n" + II + 'puts("{s} }");\n' + I + "}\n",
+    I + "if (x < {k}) {\n" + (II + "x = x + 1;\n") * 22 + I + "} else {\n" + II + 'y = size("{s}");\n' + I + "}\n",
+    I + "for (j = 0; j < {k}; j++)\n" + I + "{\n" + II + "if (j == 2) { c = '}'; } /* {c} */\n" + I + "}\n",
+    I + "while (x > {k}) {\n" + II + "x = x - 1;\n" + I + "} /* {c} */\n",
+    I + "switch (x % 3) {\n" + I + "case 0: {\n" + II + 'y = size("{s}");\n' + II + "break;\n" + I + "}\n"
     + I + "case 1:\n" + II + "y = 1;\n" + II + "break;\n" + I + "default: {\n" + II + "y = 2;\n" + I + "}\n" + I + "}\n",
-    I + "LIST_FOR_EACH(node, head) {\n" + II + "y += {k};\n" + I + "}\n\n",
-    I + "do {\n" + II + "x--;\n" + I + "} while (x > {k});\n",
-    I + "x = (x + {k}) * (y - 1);\n\n",
-    I + "if (!x) {}\n",
-    I + "while (y < {k}) {\n" + (II + "y = y * 2 + 1;\n") * 21 + I + "}\n",
-    I + "switch (y) {\n" + I + "case {k}: {\n" + (II + "y = y - 1;\n") * 20 + I + "}\n" + I + "}\n",
+    I + "LIST_FOR_EACH(node, head) {\n" + II + 'y += size("{s}");\n' + I + "}\n\n",
+    I + "do {\n" + II + "x--; // {c} .\n" + I + "} while (x > {k});\n",
+    I + 'x = (x + size("{s}")) * (y - {k});\n\n',
+    I + "if (!x) { /* {c} */ }\n",
+    I + "while (y < {k}) {\n" + (II + "y = y * 2 + 1;\n") * 21 + II + 'puts("{s}");\n' + I + "}\n",
+    I + "switch (y) {\n" + I + "case {k}: {\n" + (II + "y = y - 1;\n") * 20 + II + 'puts("{s}");\n' + I + "}\n" + I + "}\n",
     I + "if (x == {k}) {\n" + II + "x = 0;\n" + I + "} else if (y != {k} && x >= 2) {\n" + II + "y = x << 1;\n"
-    + I + "} else {\n" + II + "z = -x + ~y;\n" + I + "}\n",
-    I + "int arr[3] = {1, 2, {k}};\n" + I + 's = "{w} \\" }";\n' + I + "CALL_MACRO(a, \\\n" + I + "           b);\n",
+    + I + "} else {\n" + II + 'z = -x + ~size("{s}");\n' + I + "}\n",
+    I + "int arr[3] = {1, 2, {k}};\n" + I + 's = "{s} \\" }";\n' + I + "CALL_MACRO(a, \\\n" + I + "           b);\n",
 ]
 
 N_TEMPLATES = len(STATEMENTS)
@@ -59,10 +56,10 @@ FILE_TAIL = I + "return x;\n}\n\nint helper_{id}(int a)\n{\n" + I + "char *s = (
 def split_template(t: str) -> list[tuple[str, str]]:
     """Template -> [(kind, text)] with kind 'lit' or a placeholder name."""
     out = []
-    for part in re.split(r"(\{w\}|\{k\}|\{id\}|\{r\}|\{m\})", t):
+    for part in re.split(r"(\{c\}|\{s\}|\{k\}|\{id\}|\{r\}|\{m\})", t):
         if not part:
             continue
-        if part in ("{w}", "{k}", "{id}", "{r}", "{m}"):
+        if part in ("{c}", "{s}", "{k}", "{id}", "{r}", "{m}"):
             out.append(("ph", part[1:-1]))
         else:
             out.append(("lit", part))
@@ -80,18 +77,19 @@ def render_c_files(documents: DataFrame) -> DataFrame:
     did = d.cast("string")
 
     def stmt(line: Column, i: Column) -> Column:
-        w = F.substring(F.regexp_replace(line, WORD_KEEP_RX, ""), 1, 40)
+        c = F.replace(line, F.lit("*/"), F.lit("* /"))
+        s = F.replace(F.replace(line, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
         k = F.length(line).cast("string")
         t = F.pmod(d + i, F.lit(N_TEMPLATES))
         expr = None
         for n, tpl in enumerate(STATEMENTS):
-            r = _render(tpl, {"w": w, "k": k})
+            r = _render(tpl, {"c": c, "s": s, "k": k})
             expr = F.when(t == n, r) if expr is None else expr.when(t == n, r)
         return expr
 
     ret = F.element_at(F.array(*[F.lit(r) for r in RET_TYPES]), (F.pmod(d, F.lit(3)) + 1).cast("int"))
     vals = {"id": did, "r": ret, "m": F.pmod(d, F.lit(100)).cast("string")}
-    body = F.array_join(F.transform(F.split(F.col("text"), "\n", -1), stmt), "")
+    body = F.array_join(F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), stmt), "")
     text = F.concat(_render(FILE_HEAD, vals), body, _render(FILE_TAIL, vals))
     dir_ = F.element_at(F.array(*[F.lit(x) for x in DIRS]), (F.pmod(d, F.lit(7)) + 1).cast("int"))
     ext = F.when(F.pmod(d, F.lit(11)) == 0, ".h").when(F.pmod(d, F.lit(11)) == 1, ".C").otherwise(".c")

@@ -1,10 +1,10 @@
 """Bytes -> text with an encoding fallback chain, all as Column expressions.
 
-Order tried: UTF-8 (strict), GB2312, GBK, GB18030.  A charset "decodes" when the result holds no
-U+FFFD replacement character (``spark.sql.legacy.codingErrorAction=true`` turns bad bytes into
-U+FFFD instead of failing the task; ``spark.sql.legacy.javaCharsets=true`` enables the GB charsets).
-Text is then normalised like a Python text-mode read: a leading BOM is dropped and ``\\r\\n`` / ``\\r``
-become ``\\n``.  Nothing decodes -> empty text (the file yields no rows).
+Order tried: UTF-8 (strict), UTF-16 (only with its byte order mark), GB2312, GBK, GB18030, Windows-1252.
+A charset "decodes" when the result holds no U+FFFD replacement character.  The chain needs the two
+settings of ``session.decoding`` while its plan is analysed (GB charsets, U+FFFD for bad bytes);
+``decode_files`` sees to that.  Text is then normalised like a Python text-mode read: a leading BOM is
+dropped and ``\\r\\n`` / ``\\r`` become ``\\n``.  Nothing decodes -> empty text (the file yields no rows).
 """
 
 from __future__ import annotations
@@ -12,16 +12,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The fallback chain after strict UTF-8.
-GB_CHAIN = ("GB2312", "GBK", "GB18030")
-REPLACEMENT = "�"
+from ..session import decoding
+
+# The fallback chain after strict UTF-8 and marked UTF-16.
+CHAIN = ("GB2312", "GBK", "GB18030", "windows-1252")
+REPLACEMENT = "\ufffd"
+
+
+def _decodes(content: Column, charset: str) -> Column:
+    return ~F.decode(content, charset).contains(REPLACEMENT)
 
 
 def encoding_of(content: Column) -> Column:
     """The first charset of the chain that decodes the bytes cleanly (null if none)."""
-    out = F.when(F.is_valid_utf8(content), F.lit("utf-8"))
-    for cs in GB_CHAIN:
-        out = out.when(~F.decode(content, cs).contains(REPLACEMENT), F.lit(cs.lower()))
+    marked = F.hex(F.substring(content, 1, 2)).isin("FFFE", "FEFF")
+    out = F.when(F.is_valid_utf8(content), F.lit("utf-8")).when(marked & _decodes(content, "UTF-16"), F.lit("utf-16"))
+    for cs in CHAIN:
+        out = out.when(_decodes(content, cs), F.lit(cs.lower()))
     return out
 
 
@@ -31,16 +38,17 @@ def newline_normalize(text: Column) -> Column:
 
 def decode_text(content: Column) -> Column:
     """Decoded, BOM-stripped, newline-normalised text; '' when nothing decodes."""
-    enc = encoding_of(content)
-    raw = F.when(enc == "utf-8", F.decode(content, "UTF-8"))
-    for cs in GB_CHAIN:
-        raw = raw.when(enc == cs.lower(), F.decode(content, cs))
-    raw = F.coalesce(raw, F.lit(""))
-    return newline_normalize(F.regexp_replace(raw, "^﻿", ""))
+    marked = F.hex(F.substring(content, 1, 2)).isin("FFFE", "FEFF")
+    raw = F.when(F.is_valid_utf8(content), F.decode(content, "UTF-8")).when(
+        marked & _decodes(content, "UTF-16"), F.decode(content, "UTF-16"))
+    for cs in CHAIN:
+        raw = raw.when(_decodes(content, cs), F.decode(content, cs))
+    return newline_normalize(F.regexp_replace(F.coalesce(raw, F.lit("")), "^\ufeff", ""))
 
 
 def decode_files(files: DataFrame, content: str = "content") -> DataFrame:
     """(file_path, content) -> (file_path, encoding, text); S10 drops files with empty text."""
     c = F.col(content)
-    out = files.select("file_path", encoding_of(c).alias("encoding"), decode_text(c).alias("text"))
+    with decoding(files.sparkSession):
+        out = files.select("file_path", encoding_of(c).alias("encoding"), decode_text(c).alias("text"))
     return out.filter(F.length("text") > 0)

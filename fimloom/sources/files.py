@@ -77,11 +77,14 @@ def normalize_path(path: Column) -> Column:
     """Os.path.normpath for '/'-separated paths, then '/' separators.
 
     Collapses repeated separators and '.', folds 'x/..' pairs; a leading '..' stays on relative paths
-    and vanishes at the root, as in POSIX normpath (which keeps exactly two leading slashes)."""
+    and vanishes at the root, as in POSIX normpath (which keeps exactly two leading slashes).  Of a
+    cluster's path (``scheme://authority/path``) only the path is folded; ``file:`` is dropped."""
     p = F.regexp_replace(path, r"^file:", "")
-    absolute = p.startswith("/")
-    two = p.startswith("//") & ~p.startswith("///")
-    parts = F.filter(F.split(p, "/", -1), lambda x: (x != "") & (x != "."))
+    store = F.regexp_extract(p, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*", 0)
+    rest = F.substring(p, F.length(store) + 1, F.length(p))
+    absolute = rest.startswith("/") | (store != "")
+    two = (store == "") & rest.startswith("//") & ~rest.startswith("///")
+    parts = F.filter(F.split(rest, "/", -1), lambda x: (x != "") & (x != "."))
 
     def step(acc, x):
         pop = (x == "..") & (F.size(acc) > 0) & (F.element_at(acc, -1) != "..")
@@ -92,28 +95,72 @@ def normalize_path(path: Column) -> Column:
 
     folded = F.aggregate(parts, F.array().cast("array<string>"), step)
     body = F.array_join(folded, "/")
-    lead = F.when(two, "//").when(absolute, "/").otherwise("")
+    lead = (F.when((store != "") & (body == ""), store).when(store != "", F.concat(store, F.lit("/")))
+            .when(two, "//").when(absolute, "/").otherwise(""))
     out = F.concat(lead, body)
     return F.when(out == "", F.lit(".")).otherwise(out)
 
 
+def local_path(path: Column) -> Column:
+    """A listed file's path without the scheme of the local file system."""
+    return F.regexp_replace(path, r"^file:(//)?", "")
+
+
+def unskipped(files: DataFrame, encoded: Column, skip_dirs=DEFAULT_SKIP_DIRS) -> DataFrame:
+    """S3 before any bytes are read: a test on the listing's ``_metadata.file_path`` prunes files.
+
+    That column is URL-encoded (a space is ``%20``), so only skip names made of characters that
+    encoding leaves alone take part; the exact test on the decoded path must follow."""
+    plain = [d for d in skip_dirs or () if re.fullmatch(r"[A-Za-z0-9._~-]+", d)]
+    return files.filter(~in_skipped_dir(encoded, plain)) if plain else files
+
+
+def hidden_files(spark: SparkSession, directory: str, suffixes=(".c",), skip_dirs=DEFAULT_SKIP_DIRS) -> DataFrame | None:
+    """(file_path, content) of files that Spark's listing passes over because they, or a directory
+    above them, are named ``_..`` or ``.``; null when there are none.
+
+    The listing is Hadoop's own on the driver, as Spark's is; the bytes are read in tasks, a file at a time."""
+    jvm, context = spark.sparkContext._jvm, spark.sparkContext
+    root = jvm.org.apache.hadoop.fs.Path(directory)
+    fs = root.getFileSystem(context._jsc.hadoopConfiguration())
+    base = fs.makeQualified(root).toUri().getPath().rstrip("/")
+    found, listing = [], fs.listFiles(root, True)
+    while listing.hasNext():
+        uri = listing.next().getPath().toUri()
+        below = uri.getPath()[len(base) + 1:].split("/")
+        if any(x[0] in "_." for x in below) and below[-1].endswith(tuple(suffixes)) and not set(skip_dirs or ()) & set(uri.getPath().split("/")):
+            found.append((uri.toString(),))
+    if not found:
+        return None
+
+    def read(batches):
+        import pyarrow as pa
+        from pyarrow import fs as stores
+        for batch in batches:
+            for uri in batch.column("uri").to_pylist():
+                store, path = stores.FileSystem.from_uri(uri if not uri.startswith("file:/") else "file://" + re.sub("^file:/+", "/", uri))
+                with store.open_input_stream(path) as f:
+                    yield pa.RecordBatch.from_arrays([pa.array([uri]), pa.array([f.read()], pa.binary())], names=["uri", "content"])
+
+    few = spark.createDataFrame(found, "uri string").repartition(max(1, min(len(found), context.defaultParallelism)))
+    read_in = few.mapInArrow(read, "uri string, content binary")
+    path = F.try_url_decode(F.replace("uri", F.lit("+"), F.lit("%2B")))
+    return read_in.select(local_path(path).alias("file_path"), "content")
+
+
 def read_binary_tree(spark: SparkSession, directory: str, suffixes=(".c",), skip_dirs=DEFAULT_SKIP_DIRS) -> DataFrame:
     """S1 / S2 / S3 on a real tree: (file_path, content).
 
-    The suffix glob prunes at listing.  The skip-dir test runs first on ``_metadata.file_path``, which
-    prunes files before their bytes are read; that column is URL-encoded (a space is ``%20``), so only
-    skip names made of characters encoding leaves alone take part there.  The exact test then runs on
-    the decoded ``path``, which is also the path returned."""
+    The suffix glob prunes at listing, the skip-dir test before bytes are read (``unskipped``); the exact
+    test then runs on the decoded ``path``, which is also the path returned.  Files that Spark's listing
+    leaves out by name are added (``hidden_files``)."""
     glob = "*" + suffixes[0] if len(suffixes) == 1 else "*.{" + ",".join(s.lstrip(".") for s in suffixes) + "}"
     df = (spark.read.format("binaryFile")
           .option("recursiveFileLookup", "true")
           .option("pathGlobFilter", glob)
           .load(directory))
-    if skip_dirs:
-        plain = [d for d in skip_dirs if re.fullmatch(r"[A-Za-z0-9._~-]+", d)]
-        if plain:
-            df = df.filter(~in_skipped_dir(F.col("_metadata.file_path"), plain))
-    df = df.select(F.regexp_replace(F.col("path"), r"^file:(//)?", "").alias("file_path"), "content")
+    df = unskipped(df, F.col("_metadata.file_path"), skip_dirs).select(local_path(F.col("path")).alias("file_path"), "content")
     if skip_dirs:
         df = df.filter(~in_skipped_dir(F.col("file_path"), skip_dirs))
-    return df
+    hidden = hidden_files(spark, directory, suffixes, skip_dirs)
+    return df if hidden is None else df.unionByName(hidden)

@@ -14,9 +14,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType, TimestampType
 
-from ..operators.extract import function_table
+from ..plans.collect import collect_frame
 from ..sources.decode import decode_files
-from ..sources.files import DEFAULT_SKIP_DIRS, in_skipped_dir
+from ..sources.files import DEFAULT_SKIP_DIRS, in_skipped_dir, local_path, unskipped
 from ..sources.jsonl import write_jsonl
 
 
@@ -35,13 +35,12 @@ def start_collect_stream(spark: SparkSession, source_dir: str, output_dir: str,
               .option("pathGlobFilter", "*.c")
               .option("recursiveFileLookup", "true")
               .load(source_dir))
-    path = F.regexp_replace(F.col("path"), r"^file:(//)?", "")
-    files = stream.select(path.alias("file_path"), "content")
+    files = unskipped(stream, F.col("_metadata.file_path"), skip_dirs).select(local_path(F.col("path")).alias("file_path"), "content")
     if skip_dirs:
         files = files.filter(~in_skipped_dir(F.col("file_path"), skip_dirs))
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        funcs = function_table(decode_files(df))
+        funcs = collect_frame(decode_files(df))
         write_jsonl(funcs.select("func_name", "file_path", "func_def", "func_index"),
                     f"{output_dir.rstrip('/')}/batch={batch_id}")
 

@@ -31,7 +31,14 @@ def tree():
     write(f"{root}/src/gb18030.c", ("/* \U00020000 */\n" + C_FUNC.format(n=4)).encode("gb18030"))
     write(f"{root}/src/crlf.c", C_FUNC.format(n=5).replace("\n", "\r\n").encode("utf-8"))
     write(f"{root}/src/empty.c", b"")
-    write(f"{root}/src/bad.c", b"\xff\xfe\xfa" + b"\x80" * 10)
+    write(f"{root}/src/bad.c", b"\xff\x81" + C_FUNC.format(n=12).encode())
+    write(f"{root}/src/latin.c", ("/* caf\u00e9 \u00fcber */\n" + C_FUNC.format(n=13)).encode("latin-1"))
+    write(f"{root}/src/utf16.c", ("/* \u4e2d */\n" + C_FUNC.format(n=14)).encode("utf-16"))
+    write(f"{root}/src/utf16be.c", b"\xfe\xff" + C_FUNC.format(n=15).encode("utf-16-be"))
+    write(f"{root}/src/_exit.c", C_FUNC.format(n=16).encode())
+    write(f"{root}/src/.x y%.c", C_FUNC.format(n=17).encode())
+    write(f"{root}/_build/in.c", C_FUNC.format(n=18).encode())
+    write(f"{root}/_build/resource/in.c", C_FUNC.format(n=19).encode())
     write(f"{root}/src/upper.C", C_FUNC.format(n=6).encode())
     write(f"{root}/src/head.h", C_FUNC.format(n=7).encode())
     write(f"{root}/resource/skip.c", C_FUNC.format(n=8).encode())
@@ -46,7 +53,8 @@ def test_listing_and_skip(spark, tree):
     # zero-byte files are not listed by binaryFile; the reference lists them and then drops them as empty,
     # so the function rows are the same
     assert got == sorted(["src/a.c", "src/bom.c", "src/gbk.c", "src/gb18030.c", "src/crlf.c",
-                          "src/bad.c", "resource_x/keep.c", "odd dir/é/x y%.c"])
+                          "src/bad.c", "resource_x/keep.c", "odd dir/é/x y%.c", "src/latin.c", "src/utf16.c", "src/utf16be.c",
+                          "src/_exit.c", "src/.x y%.c", "_build/in.c"])
     both = sorted(os.path.relpath(r.file_path, tree) for r in S.read_binary_tree(spark, tree, (".c", ".h")).collect())
     assert "src/head.h" in both and "src/upper.C" not in both
 
@@ -59,6 +67,9 @@ def test_decode_chain(spark, tree):
     assert got["bom.c"] == ("utf-8", C_FUNC.format(n=2))       # BOM dropped
     assert got["gbk.c"][0] in ("gb2312", "gbk") and got["gbk.c"][1].startswith("/* 中文注释 */")
     assert got["gb18030.c"] == ("gb18030", "/* \U00020000 */\n" + C_FUNC.format(n=4))
+    assert got["latin.c"] == ("windows-1252", "/* caf\u00e9 \u00fcber */\n" + C_FUNC.format(n=13))
+    assert got["utf16.c"] == ("utf-16", "/* \u4e2d */\n" + C_FUNC.format(n=14))
+    assert got["utf16be.c"] == ("utf-16", C_FUNC.format(n=15))
     assert got["crlf.c"][1] == C_FUNC.format(n=5)              # \r\n -> \n
 
 
@@ -66,7 +77,7 @@ def test_collect_functions_end_to_end(spark, tree):
     out = tempfile.mkdtemp(prefix="fimloom-out-") + "/funcs"
     funcs = collect_functions(spark, tree, out)
     names = sorted(r.func_name for r in funcs.collect())
-    assert names == sorted(f"f_{n}" for n in (1, 2, 3, 4, 5, 9, 11))
+    assert names == sorted(f"f_{n}" for n in (1, 2, 3, 4, 5, 9, 11, 13, 14, 15, 16, 17, 18))
     assert any(r.file_path.endswith("/odd dir/é/x y%.c") for r in funcs.collect())
     back = read_jsonl(spark, out, FUNC_SCHEMA)
     assert sorted(r.func_name for r in back.collect()) == names
@@ -157,5 +168,61 @@ def test_command_line(spark, tree):
     from fimloom.__main__ import main
     base = tempfile.mkdtemp(prefix="fimloom-cli-")
     main(["--collect_funcs", tree, f"{base}/funcs", "--function_process", f"{base}/funcs", "3", f"{base}/fim"])
-    assert read_jsonl(spark, f"{base}/funcs").count() == 7
+    assert read_jsonl(spark, f"{base}/funcs").count() == 13
     assert spark.read.json(f"{base}/fim").count() == 3
+
+
+def test_cluster_paths_keep_their_store(spark):
+    cases = {"s3a://b/x/./a.c": "s3a://b/x/a.c", "hdfs://nn:8020/x/../a//b.c": "hdfs://nn:8020/a/b.c", "hdfs://nn:8020/../..": "hdfs://nn:8020",
+             "s3a://b": "s3a://b", "file:///a/./b": "/a/b", "file:/a/b": "/a/b", "x/s3a:/y": "x/s3a:/y", "viewfs://c/": "viewfs://c"}
+    df = spark.createDataFrame([(k,) for k in cases], "p string")
+    assert {r.p: r.n for r in df.select("p", S.normalize_path(F.col("p")).alias("n")).collect()} == cases
+
+
+def test_decoding_leaves_the_session_as_it_was(spark, tree):
+    """The chain works on a session that knows nothing of it, and changes none of its settings."""
+    from fimloom.session import DECODE_CONF
+    other = spark.newSession()
+    before = {k: other.conf.get(k) for k in DECODE_CONF}
+    files = S.read_binary_tree(other, f"{tree}/src")
+    got = {os.path.basename(r.file_path): r.encoding for r in decode_files(files).collect()}
+    assert got["gb18030.c"] == "gb18030" and got["latin.c"] == "windows-1252"
+    assert {k: other.conf.get(k) for k in DECODE_CONF} == before
+
+
+def test_stream_equals_batch(spark, tree):
+    from fimloom.streaming.collect_stream import start_collect_stream
+    root = tempfile.mkdtemp(prefix="fimloom-stream-")
+    for sub, name in (("src", "a.c"), ("src", "gbk.c"), ("resource", "skip.c"), ("odd dir/\u00e9", "x y%.c")):
+        with open(f"{tree}/{sub}/{name}", "rb") as fh:
+            write(f"{root}/in/{sub}/{name}", fh.read())
+    start_collect_stream(spark, f"{root}/in", f"{root}/out", f"{root}/ck").awaitTermination()
+    key = lambda df: sorted(tuple(r) for r in df.select("file_path", "func_index", "func_name", "func_def").collect())
+    assert key(spark.read.schema(FUNC_SCHEMA).json(f"{root}/out/*")) == key(collect_functions(spark, f"{root}/in"))
+
+
+def test_session_settings_win(spark):
+    from fimloom.session import build_session, scratch_path
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    try:
+        assert build_session().conf.get("spark.sql.shuffle.partitions") == "5"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    paths = {scratch_path(spark, "t") for _ in range(50)}
+    assert len(paths) == 50 and all(spark.sparkContext.applicationId in p for p in paths)
+
+
+def test_release_deletes_only_own_scratch(spark):
+    from fimloom import session
+    other = f"{session.checkpoint_dir(spark)}/fimloom/another-application/t"
+    path = session.scratch_path(spark, "t")
+    for p in (path, other):
+        spark.range(1).write.parquet(p)
+    own = session._application_dir(spark)
+    moved = session._application_dir
+    session._application_dir = lambda s: path                 # this test's table alone
+    try:
+        session.release(spark)
+    finally:
+        session._application_dir = moved
+    assert own in path and not os.path.exists(path.removeprefix("file:")) and os.path.exists(other.removeprefix("file:"))
