@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, hmm_lm, langid, license_scan, packing, quality, sharding, simhash, url_rules
+from . import bpe, exact_dedup, hmm_lm, langid, license_scan, packing, quality, sharding, simhash, sql, url_rules
 from .common import crc_mod, documents
 
 # The listed URL rules (host, path, verdict).
@@ -83,4 +83,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The other queries train a model, tokenize, or hash by XXH64: tests hold them against brute force."""
+    return {"op1_url_rules": sql.url_rules(LISTED), "op3_exact_dedup": sql.EXACT_DEDUP, "op5_license_scan": sql.license_scan(),
+            "op9_sharding": sql.sharding()}
