@@ -19,11 +19,17 @@ SALTS = (
 )
 
 
-def fkey(file_path: str | Column = "file_path", func_index: str | Column = "func_index") -> Column:
-    """Row key of a function: ``file_path#func_index``."""
-    fp = F.col(file_path) if isinstance(file_path, str) else file_path
-    fi = F.col(func_index) if isinstance(func_index, str) else func_index
-    return F.concat_ws("#", fp, fi.cast("string"))
+def fkey(file_path: str | Column = "file_path", func_index: str | Column = "func_index",
+         func_def: str | Column | None = None) -> Column:
+    """Row key of a function: ``file_path#func_index``.
+
+    With ``func_def``, a row without an index (the reference's own format has none) takes the hash of
+    its text instead."""
+    col = lambda x: F.col(x) if isinstance(x, str) else x
+    index = col(func_index).cast("string")
+    if func_def is not None:
+        index = F.coalesce(index, F.md5(F.encode(col(func_def), "UTF-8")))
+    return F.concat_ws("#", col(file_path), index)
 
 
 def draw(key: Column, salt: str, seed: int = DEFAULT_SEED, extra: Column | None = None) -> Column:

@@ -82,22 +82,6 @@ def with_line_pick(df, s: str, key: str, seed: int, need: Column | None = None,
     return df.withColumn(out, lp).drop("_segs", "_elig", "_ch", "_line", "_lstart", "_p")
 
 
-def pick_line(s: Column, key: Column, seed: int) -> Column:
-    """C7 as a single expression (for one-off use; ``with_line_pick`` is the staged, faster form)."""
-    segs = body_segments(s)
-    elig = eligible_lines(segs)
-    n = F.size(elig)
-    chosen = F.get(elig, choice_index(key, "line", F.greatest(n, F.lit(1)), seed))
-    m = chosen["i"]
-    line = py_strip(chosen["x"])
-    start = F.when(m == 0, F.lit(0)).otherwise(
-        body_start(s) + F.aggregate(F.slice(segs, 1, m), F.lit(0), lambda a, x: a + F.length(x)))
-    p = F.call_function("locate", line, s, start + 1) - 1
-    ln = F.length(line)
-    k = randint(key, "chars", F.lit(1), ln, seed)
-    return F.when(n > 0, F.struct(p.alias("p"), (p + k - 1).alias("snip"), (p + ln).alias("line_end")))
-
-
 def single_line(s: Column, pick: Column) -> tuple[Column, Column, Column]:
     """The tail of one line is the middle."""
     snip, end = pick["snip"], pick["line_end"]

@@ -1,12 +1,16 @@
 """FIM strategies T1-T10 and the weighted mixture (M2, M3), as one DataFrame plan.
 
-Plan shape (per function key, after the single ``by_key`` shuffle):
+Plan shape:
 
     funcs --(draw strategy; mixture: written once, partitioned by strategy)--> F
-    F[needs syntax] --tokenize/structure/blocks--> candidate rows (ctype, st, en, n_lines)
+    F[row-local strategies] --> one projection, no shuffle
+    F[needs syntax] --by_key shuffle--> one row per content --tokenize/structure/blocks--> candidate rows
     candidates --groupBy key: min(struct(hash, ...))--> picks        (uniform choice, map-side combined)
     (the if re-pick uses a window over the same candidate rows; no second pass)
-    F --left join picks--> one projection computes (prefix, middle, suffix, flag)
+    F[needs syntax] --by_key shuffle, left join picks--> one projection computes (prefix, middle, suffix, flag)
+
+Syntax work is keyed by content (a 128-bit hash of path, index and text), so functions that share a
+path and index never mix; equal rows share the work and each keeps its row.
 
 A uniform pick among a function's candidates is the candidate with the smallest hash
 ``draw(key, salt, "st:en")``: no counting, ordering or collecting of the group is needed.
@@ -24,7 +28,7 @@ from . import lines as L
 from .spans import binary_spans, expression_statement_spans
 from .tokens import blocks, structure, tokenize
 
-KEYS = ["file_path", "func_index"]
+KEYS = ["ck", "key"]           # content key and draw key
 
 # Mixture weights in twentieths (single_line .25, expression .20, binary .05,
 # comment .10, if .10, loop .15, switch .05, empty .10), and the short-function gate.
@@ -36,6 +40,7 @@ BLOCK_LONG_LINES = 20
 IF_NEST_LINES = 5
 LOOP_TRIES = 3
 
+LOCAL = ("single_line", "empty", "multi_line")      # cut without syntax
 STRATEGIES = ("short", "single_line", "expression", "binary", "comment", "if", "loop", "switch", "empty")
 NEEDS_SYNTAX = {"short": "body", "expression": "expr", "binary": "binary", "comment": "comment",
                 "if": "ifelse", "loop": "loop", "switch": "case"}
@@ -61,7 +66,7 @@ def drawn_strategy(key: Column, n_lines: Column, seed: int = DEFAULT_SEED) -> Co
 
 def with_strategy(funcs: DataFrame, seed: int = DEFAULT_SEED, strategy: str | None = None) -> DataFrame:
     """(file_path, func_index, func_name, func_def) + key, n_lines, strategy."""
-    f = funcs.withColumn("key", fkey()).withColumn("n_lines", line_count("func_def"))
+    f = funcs.withColumn("key", fkey(func_def="func_def")).withColumn("n_lines", line_count("func_def"))
     s = F.lit(strategy) if strategy else drawn_strategy(F.col("key"), F.col("n_lines"), seed)
     return f.withColumn("strategy", s)
 
@@ -72,7 +77,7 @@ def candidates(f: DataFrame) -> DataFrame:
     ``f`` must be partitioned by KEYS and carry ``strategy``.  Token rows carry only the key columns
     and the (short) strategy; the draw key string is rebuilt after aggregation."""
     keys = KEYS + ["strategy"]
-    f = f.filter(F.col("strategy").isin(*NEEDS_SYNTAX))
+    f = f.filter(F.col("strategy").isin(*NEEDS_SYNTAX)).select(*keys, "func_def").dropDuplicates(keys)
     toks = tokenize(f, keys, "func_def")
     strat = F.col("strategy")
     comments = toks.filter((strat == "comment") & (F.col("kind") == "comment")).select(
@@ -104,7 +109,7 @@ def picks(cands: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
     The first pick is also spread to every candidate row by a window over the function key, so the
     re-pick among if/else blocks nested inside it (when it spans more than 5 lines) happens in the same
     aggregation: the candidate table is computed once, with no join."""
-    key, st, en, strat = fkey(), F.col("st"), F.col("en"), F.col("strategy")
+    key, st, en, strat = F.col("key"), F.col("st"), F.col("en"), F.col("strategy")
     span = F.concat_ws(":", st.cast("string"), en.cast("string"))   # unique per candidate
     h0 = F.when(F.col("ctype") == "body", st).otherwise(draw(key, "node", seed, span))
     h1 = F.when(strat == "loop", draw(key, "try1", seed, span))
@@ -130,14 +135,21 @@ def _block_choice(strat: Column) -> Column:
     return F.when(strat == "if", if_).when(strat == "loop", loop).otherwise(p0)
 
 
-def assemble(f: DataFrame, pk: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
-    """Join picks back and cut every function: (file_path, func_index, func_name, prefix, middle, suffix, flag).
+def with_picks(f: DataFrame, pk: DataFrame | None) -> DataFrame:
+    """``f`` with the picks of its functions (null columns for strategies that need none)."""
+    if pk is None:
+        pick = F.lit(None).cast("struct<h:bigint,st:bigint,en:bigint,n_lines:bigint>")
+        return f.withColumns({"n_c": F.lit(None).cast("bigint"), **{p: pick for p in ("p0", "p1", "p2", "pn")}})
+    # both sides are partitioned by KEYS: a merge join needs no exchange, and the picks table (one row
+    # per function, growing with the data) is never broadcast on a size estimate
+    return f.join(pk.hint("merge"), KEYS, "left")
+
+
+def assemble(j: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
+    """Cut every function (with its picks): (file_path, func_index, func_name, prefix, middle, suffix, flag).
 
     Expensive intermediates (body lines, non-blank lines, block lines) are staged columns computed only
     for the rows whose effective strategy needs them."""
-    # both sides are partitioned by KEYS: a merge join needs no exchange, and the picks table (one row
-    # per function, growing with the data) is never broadcast on a size estimate
-    j = f.join(pk.hint("merge"), KEYS, "left")
     s, key, strat = F.col("func_def"), F.col("key"), F.col("strategy")
     has_c = F.coalesce(F.col("n_c"), F.lit(0)) > 0
     need_lp = strat.isin("single_line", "empty") | (strat.isin("expression", "binary") & ~has_c)
@@ -224,11 +236,19 @@ def fim(funcs: DataFrame, seed: int = DEFAULT_SEED, strategy: str | None = None,
     """M4 core: function rows -> FIM rows (plus the drawn ``strategy`` column, for tests)."""
     from .extract import by_key
     drawn = with_strategy(funcs, seed, strategy)
+    if strategy in LOCAL:
+        return assemble(with_picks(drawn, None), seed)
     if strategy is None and stage:
-        # the mixture's candidate branches each read only their own strategy's functions: write the
-        # drawn table once, partitioned by strategy, so every branch is a pruned scan (one write and
-        # about two reads of the function texts instead of five scans and five draws)
-        drawn = materialize(drawn, "drawn", partition_by="strategy")
-    f = by_key(drawn, KEYS)
-    pk = picks(candidates(f), seed)
-    return assemble(f, pk, seed)
+        # the mixture's branches each read only their own strategies' functions: write the drawn table
+        # once, partitioned by strategy, so every branch is a pruned scan.  A task writes a file per
+        # strategy, so as many fewer tasks write (no shuffle): about one file per input partition
+        n = drawn.rdd.getNumPartitions()
+        few = max(min(n, funcs.sparkSession.sparkContext.defaultParallelism), n // len(STRATEGIES))
+        drawn = materialize(drawn.coalesce(few) if few < n else drawn, "drawn", partition_by="strategy")
+    syntax = drawn.filter(F.col("strategy").isin(*NEEDS_SYNTAX)).withColumn("ck", F.unhex(F.md5(F.encode(
+        F.concat_ws("\x00", "file_path", F.col("func_index").cast("string"), "func_def"), "UTF-8"))))
+    f = by_key(syntax, KEYS)
+    picked = with_picks(f, picks(candidates(f), seed)).drop("ck")
+    if strategy is None:
+        picked = picked.unionByName(with_picks(drawn.filter(F.col("strategy").isin(*LOCAL)), None))
+    return assemble(picked, seed)

@@ -25,6 +25,8 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # no call site per Column: these plans have thousands, and building them took longer than running them
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -19,7 +19,7 @@ def test_mixture_shuffles_only_by_function_key(spark):
     assert exchanges, plan
     for kind, cols in exchanges:
         assert kind == "hashpartitioning", (kind, cols)
-        assert re.fullmatch(r"file_path#\d+, func_index#\d+, \d+", cols.strip()), cols
+        assert re.fullmatch(r"ck#\d+, key#\d+, \d+", cols.strip()), cols
     assert "BroadcastExchange" not in plan
 
 
@@ -37,3 +37,18 @@ def test_scan_prunes_columns(spark):
     plan = plan_of(registry.functions_lazy(spark, SF_SMALL))
     schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", plan)
     assert schemas and all(s == "struct<doc_id:bigint,text:string,source:string>" for s in schemas), schemas
+
+
+def test_row_local_strategies_do_not_shuffle(spark):
+    for strategy in ("single_line", "empty", "multi_line"):
+        plan = plan_of(fim(registry.functions(spark, SF_SMALL), strategy=strategy))
+        assert "Exchange" not in plan and "Sort" not in plan, plan
+
+
+def test_mixture_reads_row_local_functions_without_exchange(spark):
+    """Every text that needs syntax crosses two exchanges (its branch's and the join's), the others none."""
+    plan = plan_of(fim(registry.functions(spark, SF_SMALL)))
+    union = plan.split("Union")
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 5
+    local = [x for x in re.split(r"\n(?=\S* *[:+]- )", plan) if "single_line" in x and "PartitionFilters" in x]
+    assert local and len(union) >= 2
