@@ -26,7 +26,7 @@ from ..functions.draws import DEFAULT_SEED, bernoulli, draw, fkey, randint
 from ..functions.text import leading_indent, line_count, py_slice, skip_blank_forward, splitlines
 from . import lines as L
 from .spans import binary_spans, expression_statement_spans
-from .tokens import blocks, structure, tokenize
+from .tokens import blocks, comments, structure, tokenize
 
 KEYS = ["ck", "key"]           # content key and draw key
 
@@ -80,7 +80,7 @@ def candidates(f: DataFrame) -> DataFrame:
     f = f.filter(F.col("strategy").isin(*NEEDS_SYNTAX)).select(*keys, "func_def").dropDuplicates(keys)
     toks = tokenize(f, keys, "func_def")
     strat = F.col("strategy")
-    comments = toks.filter((strat == "comment") & (F.col("kind") == "comment")).select(
+    notes = comments(toks.filter(strat == "comment"), keys).select(
         *keys, F.lit("comment").alias("ctype"), "st", "en", F.lit(None).cast("long").alias("n_lines"))
     blk = blocks(structure(toks.filter(strat.isin("short", "if", "loop", "switch")), keys, skeleton=True), keys)
     sig = structure(toks.filter(strat.isin("expression", "binary")), keys)
@@ -96,7 +96,7 @@ def candidates(f: DataFrame) -> DataFrame:
         *keys, F.lit("expr").alias("ctype"), "st", "en", F.lit(None).cast("long").alias("n_lines"))
     bi = binary_spans(sig.filter(strat == "binary"), keys).select(
         *keys, F.lit("binary").alias("ctype"), "st", "en", F.lit(None).cast("long").alias("n_lines"))
-    return comments.unionByName(blk).unionByName(ex).unionByName(bi)
+    return notes.unionByName(blk).unionByName(ex).unionByName(bi)
 
 
 def _pick(h: Column) -> Column:

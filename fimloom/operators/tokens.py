@@ -14,17 +14,19 @@ from ..functions.text import LINE_BREAK_RX
 
 # Blank characters, and the covering token pattern (Java regex, possessive loops keep
 # the stack flat).  Each match is a run of blanks (newlines included) followed by one token:
-# `extern "C" {` (one token: the linkage brace does not nest) | block comment | line comment | string | char | preprocessor line (with continuations) |
+# `extern "C" {` (one token: the linkage brace does not nest) | block comment | line comment (with
+# continuations) | string | char | preprocessor line (with continuations, and whole with its comments) |
 # identifier | number | multi-char operator | any other char;  trailing blanks form a last match.
 BLANKS = " \t\n\x0b\x0c\r"
 TOKEN_RX = (
     r"[ \t\n\x0b\x0c\r]*+(?:"
     r'extern[ \t\n\x0b\x0c\r]*+"C"[ \t\n\x0b\x0c\r]*+\{'
     r"|/\*(?s:.*?)(?:\*/|\z)"
-    r"|//[^\n]*+"
+    r"|//[^\\\n]*+(?:\\(?s:.)[^\\\n]*+)*+"
     r'|"[^"\\\n]*+(?:\\(?s:.)[^"\\\n]*+)*+"?'
     r"|'[^'\\\n]*+(?:\\(?s:.)[^'\\\n]*+)*+'?"
-    r"|#[^\n\\]*+(?:\\(?s:.)[^\n\\]*+)*+"
+    r'|#[^\n\\/"]*+(?:(?://[^\\\n]*+(?:\\(?s:.)[^\\\n]*+)*+|/\*(?s:.*?)(?:\*/|\z)|"[^"\\\n]*+(?:\\(?s:.)[^"\\\n]*+)*+"?'
+    r'|\\(?s:.)|/)[^\n\\/"]*+)*+'
     r"|[A-Za-z_][A-Za-z0-9_]*+"
     r"|\.?[0-9](?:[eEpP][+-]|[0-9A-Za-z_.])*+"
     r"|<<=|>>=|\.\.\.|->|\+\+|--|<<|>>|<=|>=|==|!=|&&|\|\||[-+*/%&^|]=|##"
@@ -32,6 +34,10 @@ TOKEN_RX = (
     r"|[ \t\n\x0b\x0c\r]++"
 )
 
+# The pieces of a preprocessor line (comment, string, run, any other char).
+DIRECTIVE_RX = (r'//[^\\\n]*+(?:\\(?s:.)[^\\\n]*+)*+|/\*(?s:.*?)(?:\*/|\z)|"[^"\\\n]*+(?:\\(?s:.)[^"\\\n]*+)*+"?'
+                r'|\\(?s:.)|[^/"\\]++|(?s:.)')
+
 # C keywords that never name a function or a macro.
 C_KEYWORDS = (
     "auto", "break", "case", "char", "const", "continue", "default", "do", "double", "else", "enum",
@@ -45,6 +51,9 @@ SKELETON_TOKENS = ("{", "}", "(", ")", ";", "case", "default")
 TYPE_KEYWORDS = ("char", "const", "double", "enum", "float", "int", "long", "short", "signed", "struct",
                  "union", "unsigned", "void", "volatile", "_Bool", "_Complex")
 CAST_BEFORE_OK = ("return", "case", "else", "do")
+# What stands before a name without naming, and paren groups that name no function.
+QUALIFIERS = ("const", "volatile", "restrict")
+ATTRIBUTES = ("__attribute__", "__attribute", "__declspec", "__asm__", "__asm", "asm", "_Alignas", "alignas")
 STRUCTURAL_KINDS = ("id", "num", "op", "str", "chr", "pp")
 
 
@@ -104,6 +113,17 @@ def tokenize(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     return t.withColumn("en", F.col("st") + F.length("tok"))
 
 
+def comments(tokens: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, st, en) of all comments, those on preprocessor lines included."""
+    own = tokens.filter(F.col("kind") == "comment").select(*keys, "st", "en")
+    lines = tokens.filter((F.col("kind") == "pp") & (F.col("tok").contains("/*") | F.col("tok").contains("//")))
+    parts = lines.select(*keys, "pos", "st", F.posexplode(F.regexp_extract_all(F.col("tok"), F.lit(DIRECTIVE_RX), 0)).alias("i", "part"))
+    before = Window.partitionBy(*keys, "pos").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("st", F.col("st") + F.coalesce(F.sum(F.length("part")).over(before), F.lit(0)))
+    inside = parts.filter(F.col("part").startswith("/*") | F.col("part").startswith("//"))
+    return own.unionByName(inside.select(*keys, "st", (F.col("st") + F.length("part")).alias("en")))
+
+
 def structure(tokens: DataFrame, keys: list[str], skeleton: bool = False, clamp: bool = False) -> DataFrame:
     """Structural tokens with brace/paren depth, neighbours and header information.
 
@@ -112,7 +132,8 @@ def structure(tokens: DataFrame, keys: list[str], skeleton: bool = False, clamp:
     (whole files) keeps brace depth from going negative; function texts are balanced and skip it.
 
     Columns added: prev_tok, prev_kind, prev2_tok, depth (enclosing braces), pdepth, hdr / hdr_kind /
-    hdr2 (on ``)``: the token before its matching ``(`` and the one before that),
+    hdr2 (on ``)``: the token before its matching ``(``, and the last one before that which is no
+    qualifier), head (file level: the last paren group that may be a function's, see ``_head``),
     close_en / close_nb (on ``{``: end and line breaks of the matching ``}``), fstart (first
     token start of the current top-level item), phdr / phdr_kind / phdr2 (on ``{`` after ``)``: the
     ``hdr`` of that ``)``).
@@ -129,6 +150,7 @@ def structure(tokens: DataFrame, keys: list[str], skeleton: bool = False, clamp:
         F.lag("tok", 1).over(seq).alias("prev_tok"),
         F.lag("kind", 1).over(seq).alias("prev_kind"),
         F.lag("tok", 2).over(seq).alias("prev2_tok"),
+        F.last(F.when(~tok.isin(*QUALIFIERS), tok), ignorenulls=True).over(seq.rowsBetween(Window.unboundedPreceding, -2)).alias("_real2"),
         F.lead("tok", 1).over(seq).alias("next_tok"),
         F.sum(bdelta).over(run).alias("_bd"),
         F.sum(pdelta).over(run).alias("_pd"),
@@ -165,7 +187,7 @@ def structure(tokens: DataFrame, keys: list[str], skeleton: bool = False, clamp:
         "*",
         F.when(opened, F.lag("prev_tok", 1).over(par)).alias("hdr"),
         F.when(opened, F.lag("prev_kind", 1).over(par)).alias("hdr_kind"),
-        F.when(opened, F.lag("prev2_tok", 1).over(par)).alias("hdr2"),
+        F.when(opened, F.lag("_real2", 1).over(par)).alias("hdr2"),
         F.when(opened, F.lag("next_tok", 1).over(par)).alias("_open_next"),
     )
     # a ')' closing a cast: the '(' follows no operand (not a call, not sizeof) and its contents start
@@ -175,6 +197,12 @@ def structure(tokens: DataFrame, keys: list[str], skeleton: bool = False, clamp:
     s = s.withColumn("cast_close", F.coalesce(
         (tok == ")") & F.col("hdr_kind").isNotNull() & ~call_like
         & (F.col("_open_next").isin(*TYPE_KEYWORDS) | (F.col("prev_tok") == "*")), F.lit(False))).drop("_open_next")
+    # the last ')' outside all braces that closes a possible parameter list: what follows it up to a '{'
+    # may be attributes or macros, or the parameter declarations of an old-style definition
+    named = ((tok == ")") & (F.col("depth") == 0) & (F.col("pdepth") == 0) & (F.col("hdr_kind") == "id")
+             & ~F.col("hdr").isin(*C_KEYWORDS) & ~F.col("hdr").isin(*ATTRIBUTES))
+    s = s.withColumn("head", F.last(F.when(named, F.struct("hdr", "hdr2", "fstart", F.col("next_tok").alias("nxt"))),
+                                    ignorenulls=True).over(run))
     # matching braces: the next brace at the same depth.  A ')' directly before a '{' joins that
     # brace's window group, so the '{' also reads the header of its ')' there (no extra sort).
     is_brace = tok.isin("{", "}")
@@ -192,7 +220,19 @@ def structure(tokens: DataFrame, keys: list[str], skeleton: bool = False, clamp:
         F.when(after_paren, F.lag("hdr_kind", 1).over(br)).alias("phdr_kind"),
         F.when(after_paren, F.lag("hdr2", 1).over(br)).alias("phdr2"),
     )
-    return s.drop("next_tok")
+    return s.drop("next_tok", "_real2")
+
+
+def head_kind() -> Column:
+    """How a ``{`` outside all braces follows its function's paren group, if not directly: "late" (attributes
+    or macros between) or "old" (parameter declarations between); null if it does not."""
+    prev, head = F.col("prev_tok"), F.col("head")
+    macro = ((F.col("prev_kind") == "id") & ~prev.isin(*C_KEYWORDS)
+             & ~F.coalesce(F.col("prev2_tok").isin("struct", "union", "enum"), F.lit(False)))
+    late = ((prev == ")") & F.col("phdr").isin(*ATTRIBUTES)) | macro
+    return F.when((F.col("depth") == 0) & head.isNotNull(),
+                  F.when(late & (head["fstart"] == F.col("fstart")), "late")
+                  .when((prev == ";") & head["nxt"].rlike("^[A-Za-z_]"), "old"))
 
 
 def block_kind() -> Column:
@@ -200,7 +240,7 @@ def block_kind() -> Column:
     prev = F.col("prev_tok")
     phdr = F.col("phdr")
     depth = F.col("depth")
-    named = (F.col("phdr_kind") == "id") & ~phdr.isin(*C_KEYWORDS)
+    named = (F.col("phdr_kind") == "id") & ~phdr.isin(*C_KEYWORDS) & ~((depth == 0) & phdr.isin(*ATTRIBUTES))
     after_paren = (
         F.when(phdr.isin(*HEADER_KEYWORDS), phdr)
         .when(named, F.when(depth == 0, "function").otherwise("macro"))
@@ -208,7 +248,8 @@ def block_kind() -> Column:
         .otherwise("other")
     )
     return (
-        F.when(prev == ")", after_paren)
+        F.when(head_kind().isNotNull(), "function")
+        .when(prev == ")", after_paren)
         .when(prev == "else", "else")
         .when(prev == "do", "do")
         .when((depth > 0) & prev.isin(";", "{", "}", ":", "("), "bare")
@@ -224,6 +265,11 @@ def blocks(structured: DataFrame, keys: list[str]) -> DataFrame:
     s = structured
     tok = F.col("tok")
     s = s.withColumn("bkind", F.when((tok == "{") & F.col("close_en").isNotNull(), block_kind()))
+    by_head = (tok == "{") & head_kind().isNotNull()
+    s = s.withColumn("phdr_kind", F.when(by_head, "id").otherwise(F.col("phdr_kind")))
+    s = s.withColumn("phdr2", F.when(by_head, F.col("head.hdr2")).otherwise(F.col("phdr2")))
+    s = s.withColumn("fstart", F.when(by_head, F.col("head.fstart")).otherwise(F.col("fstart")))
+    s = s.withColumn("phdr", F.when(by_head, F.col("head.hdr")).otherwise(F.col("phdr"))).drop("head")
     s = s.filter(((tok == "{") & (F.col("bkind") != "other")) | tok.isin("case", "default"))
     # parent lookup: each '{' is an entry for its own level (depth+1) and a probe for its container
     # level (depth); case labels are entries of the level they sit in.  One window, no join, no shuffle.

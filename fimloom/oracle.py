@@ -14,16 +14,19 @@ TOKEN_RX_RE2 = (
     r"[ \t\n\x0b\x0c\r]*(?:"
     r'extern[ \t\n\x0b\x0c\r]*"C"[ \t\n\x0b\x0c\r]*\{'
     r"|/\*(?s:.*?)(?:\*/|\z)"
-    r"|//[^\n]*"
+    r"|//[^\\\n]*(?:\\(?s:.)[^\\\n]*)*"
     r'|"[^"\\\n]*(?:\\(?s:.)[^"\\\n]*)*"?'
     r"|'[^'\\\n]*(?:\\(?s:.)[^'\\\n]*)*'?"
-    r"|#[^\n\\]*(?:\\(?s:.)[^\n\\]*)*"
+    r'|#[^\n\\/"]*(?:(?://[^\\\n]*(?:\\(?s:.)[^\\\n]*)*|/\*(?s:.*?)(?:\*/|\z)|"[^"\\\n]*(?:\\(?s:.)[^"\\\n]*)*"?'
+    r'|\\(?s:.)|/)[^\n\\/"]*)*'
     r"|[A-Za-z_][A-Za-z0-9_]*"
     r"|\.?[0-9](?:[eEpP][+-]|[0-9A-Za-z_.])*"
     r"|<<=|>>=|\.\.\.|->|\+\+|--|<<|>>|<=|>=|==|!=|&&|\|\||[-+*/%&^|]=|##"
     r"|(?s:.))"
     r"|[ \t\n\x0b\x0c\r]+"
 )
+DIRECTIVE_RE2 = (r'//[^\\\n]*(?:\\(?s:.)[^\\\n]*)*|/\*(?s:.*?)(?:\*/|\z)|"[^"\\\n]*(?:\\(?s:.)[^"\\\n]*)*"?'
+                 r'|\\(?s:.)|[^/"\\]+|(?s:.)')
 BLANKS_SQL = "(' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 LB_RE2 = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
 PY_SPACE_RE2 = r"[\t\n\x0b\x0c\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -139,6 +142,26 @@ C_KEYWORDS_SQL = ("('auto','break','case','char','const','continue','default','d
                   "'_Bool','_Complex','_Imaginary')")
 
 
+def comments_cte(name: str, toks: str, keys: list[str]) -> str:
+    k = ", ".join(keys)
+    return f"""{name}_p AS (
+  SELECT {k}, pos, st, unnest(p) AS part, unnest(range(len(p))) AS i
+  FROM (SELECT *, regexp_extract_all(tok, {q(DIRECTIVE_RE2)}, 0) AS p FROM {toks} WHERE kind = 'pp')
+),
+{name} AS (
+  SELECT {k}, st, en FROM {toks} WHERE kind = 'comment'
+  UNION ALL
+  SELECT {k}, s0 AS st, s0 + length(part) AS en
+  FROM (SELECT *, CAST(st + coalesce(sum(length(part)) OVER (PARTITION BY {k}, pos ORDER BY i
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS s0 FROM {name}_p)
+  WHERE starts_with(part, '/*') OR starts_with(part, '//')
+)"""
+
+
+QUALIFIERS_SQL = "('const', 'volatile', 'restrict')"
+ATTRIBUTES_SQL = "('__attribute__', '__attribute', '__declspec', '__asm__', '__asm', 'asm', '_Alignas', 'alignas')"
+
+
 def structure_cte(name: str, toks: str, keys: list[str], clamp: bool = False) -> str:
     k = ", ".join(keys)
     bd_expr = (f"bd_raw - least(0, min(bd_raw) OVER (PARTITION BY {k} ORDER BY pos "
@@ -146,6 +169,8 @@ def structure_cte(name: str, toks: str, keys: list[str], clamp: bool = False) ->
     return f"""{name}_p AS (
   SELECT {k}, pos, tok, kind, st, nb,
     lag(tok, 1) OVER w AS prev_tok, lag(kind, 1) OVER w AS prev_kind, lag(tok, 2) OVER w AS prev2_tok,
+    last_value(CASE WHEN tok NOT IN {QUALIFIERS_SQL} THEN tok END IGNORE NULLS)
+      OVER (PARTITION BY {k} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) AS real2,
     lead(tok, 1) OVER w AS next_tok
   FROM {toks} WHERE kind IN ('id', 'num', 'op', 'str', 'chr', 'pp')
   WINDOW w AS (PARTITION BY {k} ORDER BY pos)
@@ -182,7 +207,7 @@ def structure_cte(name: str, toks: str, keys: list[str], clamp: bool = False) ->
   SELECT *,
     CASE WHEN tok = ')' AND lag(tok) OVER wp = '(' THEN lag(prev_tok) OVER wp END AS hdr,
     CASE WHEN tok = ')' AND lag(tok) OVER wp = '(' THEN lag(prev_kind) OVER wp END AS hdr_kind,
-    CASE WHEN tok = ')' AND lag(tok) OVER wp = '(' THEN lag(prev2_tok) OVER wp END AS hdr2,
+    CASE WHEN tok = ')' AND lag(tok) OVER wp = '(' THEN lag(real2) OVER wp END AS hdr2,
     CASE WHEN tok = ')' AND lag(tok) OVER wp = '(' THEN lag(next_tok) OVER wp END AS open_next
   FROM {name}_d
   WINDOW wp AS (PARTITION BY {k}, tok IN ('(', ')'), pdepth ORDER BY pos)
@@ -196,6 +221,10 @@ def structure_cte(name: str, toks: str, keys: list[str], clamp: bool = False) ->
 ),
 {name}_f AS (
   SELECT *,
+    last_value(CASE WHEN tok = ')' AND depth = 0 AND pdepth = 0 AND hdr_kind = 'id' AND hdr NOT IN {C_KEYWORDS_SQL}
+                         AND hdr NOT IN {ATTRIBUTES_SQL}
+                    THEN {{'hdr': hdr, 'hdr2': hdr2, 'fstart': fstart, 'nxt': next_tok}} END IGNORE NULLS)
+      OVER (PARTITION BY {k} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS head,
     CASE WHEN tok = '{{' AND lead(tok) OVER wb = '}}' THEN lead(st) OVER wb + 1 END AS close_en,
     CASE WHEN tok = '{{' AND lead(tok) OVER wb = '}}' THEN lead(nb) OVER wb END AS close_nb
   FROM {name}_e2
@@ -210,17 +239,28 @@ def structure_cte(name: str, toks: str, keys: list[str], clamp: bool = False) ->
 
 def blocks_cte(name: str, struct: str, keys: list[str]) -> str:
     k = ", ".join(keys)
-    bkind = f"""CASE WHEN prev_tok = ')' THEN
+    hkind = f"""CASE WHEN depth = 0 AND head IS NOT NULL THEN
+         CASE WHEN ((prev_tok = ')' AND phdr IN {ATTRIBUTES_SQL}) OR (prev_kind = 'id' AND prev_tok NOT IN {C_KEYWORDS_SQL}
+                       AND coalesce(prev2_tok, '') NOT IN ('struct', 'union', 'enum')))
+                   AND head.fstart = fstart THEN 'late'
+              WHEN prev_tok = ';' AND regexp_matches(head.nxt, '^[A-Za-z_]') THEN 'old' END END"""
+    bkind = f"""CASE WHEN hkind IS NOT NULL THEN 'function'
+       WHEN prev_tok = ')' THEN
          CASE WHEN phdr IN ('if', 'for', 'while', 'switch') THEN phdr
-              WHEN phdr_kind = 'id' AND phdr NOT IN {C_KEYWORDS_SQL} THEN CASE WHEN depth = 0 THEN 'function' ELSE 'macro' END
+              WHEN phdr_kind = 'id' AND phdr NOT IN {C_KEYWORDS_SQL} AND NOT (depth = 0 AND phdr IN {ATTRIBUTES_SQL}) THEN CASE WHEN depth = 0 THEN 'function' ELSE 'macro' END
               WHEN depth = 0 AND phdr = ')' THEN 'function'
               ELSE 'other' END
        WHEN prev_tok = 'else' THEN 'else'
        WHEN prev_tok = 'do' THEN 'do'
        WHEN depth > 0 AND prev_tok IN (';', '{{', '}}', ':', '(') THEN 'bare'
        ELSE 'other' END"""
-    return f"""{name}_a AS (
-  SELECT *, CASE WHEN tok = '{{' AND close_en IS NOT NULL THEN {bkind} END AS bkind FROM {struct}
+    return f"""{name}_h AS (SELECT *, CASE WHEN tok = '{{' THEN {hkind} END AS hkind FROM {struct}),
+{name}_a AS (
+  SELECT * REPLACE (CASE WHEN hkind IS NULL THEN phdr_kind ELSE 'id' END AS phdr_kind,
+                    CASE WHEN hkind IS NULL THEN phdr2 ELSE head.hdr2 END AS phdr2,
+                    CASE WHEN hkind IS NULL THEN fstart ELSE head.fstart END AS fstart,
+                    CASE WHEN hkind IS NULL THEN phdr ELSE head.hdr END AS phdr),
+         CASE WHEN tok = '{{' AND close_en IS NOT NULL THEN {bkind} END AS bkind FROM {name}_h
 ),
 {name}_b AS (
   SELECT *, unnest(CASE WHEN tok = '{{' THEN [{{'x': depth + 1, 'role': 0}}, {{'x': depth, 'role': 1}}]
@@ -425,6 +465,7 @@ def fim_ctes(src: str, strategy: str | None = None) -> str:
 )""",
              """fsyn AS (SELECT * FROM fs WHERE strategy IN ('short', 'expression', 'binary', 'comment', 'if', 'loop', 'switch'))""",
              tokens_cte("gtok", "fsyn", K2, "func_def"),
+             comments_cte("gcom", "gtok", K2),
              """gtok_nc AS (SELECT * FROM gtok WHERE strategy <> 'comment')""",
              structure_cte("gsig", "gtok_nc", K2),
              """gsel_blk AS (SELECT * FROM gsig WHERE strategy IN ('short', 'if', 'loop', 'switch'))""",
@@ -436,7 +477,7 @@ def fim_ctes(src: str, strategy: str | None = None) -> str:
              statements_cte("gst_x", "gsel_x", K2),
              binary_cte("gbin", "gst_x", K2),
              f"""cands AS (
-  SELECT {kk}, 'comment' AS ctype, st, en, CAST(NULL AS BIGINT) AS n_lines FROM gtok WHERE strategy = 'comment' AND kind = 'comment'
+  SELECT {kk}, 'comment' AS ctype, st, en, CAST(NULL AS BIGINT) AS n_lines FROM gcom WHERE strategy = 'comment'
   UNION ALL
   SELECT * FROM (
     SELECT {kk}, CASE WHEN strategy = 'short' AND kind = 'function' AND depth = 0 THEN 'body'

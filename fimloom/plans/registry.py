@@ -536,8 +536,8 @@ def _syntax_sql() -> dict[str, str]:
         "nodes_case_block": O.with_(node, f"SELECT {fi}, st, en, n_lines FROM nblk WHERE kind = 'case'"),
         "nodes_compound": O.with_(node, f"SELECT {fi}, st, en, kind, n_lines FROM nblk "
                                         "WHERE kind IN ('for', 'while', 'macro', 'bare')"),
-        "nodes_comment": O.with_(",\n".join([funcs, O.tokens_cte("ntok", "ftab", fk, "func_def")]),
-                                 f"SELECT {fi}, st, en FROM ntok WHERE kind = 'comment'"),
+        "nodes_comment": O.with_(",\n".join([funcs, O.tokens_cte("ntok", "ftab", fk, "func_def"), O.comments_cte("ncom", "ntok", fk)]),
+                                 f"SELECT {fi}, st, en FROM ncom"),
     }
 
 
