@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import py_slice
-from .tokens import blocks, structure, tokenize
+from .tokens import LARGE_TEXT, blocks, structure, tokenize
+
+#: Code points of a piece of a large file.
+PIECE = 1 << 16
 
 
 def by_key(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -42,8 +45,14 @@ def function_table(files: DataFrame) -> DataFrame:
     spans = function_spans(files, ["file_path"], "text")
     # both sides are hash-partitioned on file_path already: a merge join needs no exchange, and the
     # file texts are never broadcast whatever the size estimate says
-    j = spans.join(files.hint("merge"), "file_path")
-    return j.select(
-        "file_path", "func_index", "func_name",
-        py_slice(F.col("text"), F.col("st"), F.col("en")).alias("func_def"),
-    )
+    # a slice is counted off from the start of its string: a large file is held in pieces, so that its
+    # many functions do not each walk the whole file
+    text = F.col("text")
+    pieces = F.when(F.length(text) > LARGE_TEXT, F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}+"), 0)).otherwise(F.array(text))
+    j = spans.join(files.select("file_path", pieces.alias("pieces")).hint("merge"), "file_path")
+    st, en = F.col("st"), F.col("en")
+    first = F.when(F.size("pieces") == 1, F.lit(0)).otherwise(F.floor(st / PIECE))
+    last = F.when(F.size("pieces") == 1, F.lit(0)).otherwise(F.floor((en - 1) / PIECE))
+    part = F.array_join(F.slice("pieces", (first + 1).cast("int"), (last - first + 1).cast("int")), "")
+    return j.select("file_path", "func_index", "func_name",
+                    py_slice(part, st - first * PIECE, en - first * PIECE).alias("func_def"))

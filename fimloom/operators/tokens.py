@@ -34,6 +34,10 @@ TOKEN_RX = (
     r"|[ \t\n\x0b\x0c\r]++"
 )
 
+#: Code points from which a text is cut into runs before it is tokenised, and the tokens of a run (every
+#: run but the last has exactly so many, which keeps positions consecutive).
+LARGE_TEXT, RUN_TOKENS = 1 << 20, 256
+
 # The pieces of a preprocessor line (comment, string, run, any other char).
 DIRECTIVE_RX = (r'//[^\\\n]*+(?:\\(?s:.)[^\\\n]*+)*+|/\*(?s:.*?)(?:\*/|\z)|"[^"\\\n]*+(?:\\(?s:.)[^"\\\n]*+)*+"?'
                 r'|\\(?s:.)|[^/"\\]++|(?s:.)')
@@ -95,8 +99,15 @@ def tokenize(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """c_tokens: (keys, pos, tok, kind, st, en, nb) with ``nb`` = line breaks before the token.
 
     Blank runs ride along with the token after them (``lead``), so they add no rows: ``text[st:en] =
-    tok`` and everything between tokens is blank.  st/en are 0-based code-point offsets."""
-    t = df.select(*keys, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(TOKEN_RX), 0)).alias("pos", "full"))
+    tok`` and everything between tokens is blank.  st/en are 0-based code-point offsets.
+
+    A text over LARGE_TEXT is first cut into runs of RUN_TOKENS whole tokens, so no task ever holds the
+    token array of a large file, only that of one run beside the text."""
+    whole = F.col(text)
+    runs = F.when(F.length(whole) > LARGE_TEXT, F.regexp_extract_all(whole, F.lit(f"(?:{TOKEN_RX}){{1,{RUN_TOKENS}}}+"), 0))
+    t = df.select(*keys, F.posexplode(runs.otherwise(F.array(whole))).alias("_run", "_text"))
+    t = t.select(*keys, "_run", F.posexplode(F.regexp_extract_all("_text", F.lit(TOKEN_RX), 0)).alias("_at", "full"))
+    t = t.select(*keys, (F.col("_run") * RUN_TOKENS + F.col("_at")).alias("pos"), "full")
     t = t.withColumn("tok", F.ltrim(F.col("full"), F.lit(BLANKS))).filter(F.col("tok") != "")
     lead = F.length("full") - F.length("tok")
     lead_str = F.substring(F.col("full"), 1, lead)

@@ -125,4 +125,5 @@ def materialize(df, name: str, partition_by: str | None = None):
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
-    return spark.read.parquet(path).select(*df.columns)
+    back = spark.read.parquet(path)
+    return back.select(*df.columns) if partition_by else back      # partition columns come last
