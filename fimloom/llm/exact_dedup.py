@@ -56,7 +56,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # the bytes of every member against those of its group's best row
     members = written(rows.select("_id", "_hash", "_text").join(
         groups.where("_size > 1").select("_hash", "_keep"), "_hash"), "members")
-    first = members.where(F.col("_id").eqNullSafe(F.col("_keep"))).groupBy("_hash").agg(F.min("_text").alias("_other"))
+    first = written(members.where(F.col("_id").eqNullSafe(F.col("_keep"))).groupBy("_hash").agg(
+        F.min("_text").alias("_other")), "first-texts")
     differ = written(members.join(first, "_hash").where("_text != _other").select("_hash", "_text"), "collisions")
     whole = digests.join(groups, "_hash")
     if not differ.isEmpty():
