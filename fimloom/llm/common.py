@@ -48,6 +48,15 @@ def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text",
             yield part, part.column(column).to_pylist()
 
 
+def named(name: str) -> str:
+    """A column's name as it stands, also with dots or backticks."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    return [F.col(named(c)) for c in df.columns]
+
+
 def crc_mod(doc_id: Column | str, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus`` (null id: null)."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import columns_of, written
 
 
 NUMBER = "llm_row_number__"
@@ -76,6 +76,6 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
     """The rows of ``docs`` that stay, with their columns."""
-    numbered = written(docs.select(F.monotonically_increasing_id().alias(NUMBER), *[docs[c] for c in docs.columns]), "numbered")
+    numbered = written(docs.select(F.monotonically_increasing_id().alias(NUMBER), *columns_of(docs)), "numbered")
     stay = exact_groups(numbered, id_col, text_col, keep, row_number=NUMBER).where("kept")
-    return numbered.join(stay.select(F.col("row_number").alias(NUMBER)), NUMBER, "left_semi").select(*docs.columns)
+    return numbered.join(stay.select(F.col("row_number").alias(NUMBER)), NUMBER, "left_semi").select(*columns_of(docs))

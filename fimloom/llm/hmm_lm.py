@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, text_slices, with_worker_path, written
+from .common import crc_mod, named, text_slices, with_worker_path, written
 
 STATES, SYMBOLS, ROUNDS, WINDOW = 6, 2048, 2, 1024
 #: Most frequent words whose counts every task holds, and the longest of them in bytes.
@@ -236,7 +236,7 @@ def score(docs: DataFrame, p: Parameters, counts: DataFrame, id_col: str = "doc_
     shared = spark.sparkContext.broadcast(p)
     carry = carry or []
     source = docs.select(F.monotonically_increasing_id().alias("row"), docs[id_col].alias("id"),
-                         *[docs[c].alias(f"carried_{i}") for i, c in enumerate(carry)], docs[text_col].alias("text"))
+                         *[docs[named(c)].alias(f"carried_{i}") for i, c in enumerate(carry)], docs[text_col].alias("text"))
     kept = source.columns[:-1]
     schema = ", ".join([*[f"{c} {t}" for c, t in source.dtypes[:-1]], "n_tokens bigint, known bigint, base double, model double, "
                         "rare array<binary>, times array<int>"])

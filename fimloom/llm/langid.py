@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, text_slices, with_worker_path
+from .common import crc_mod, named, text_slices, with_worker_path
 
 BINS = 1 << 16
 ORDERS = (1, 2, 3)
@@ -102,7 +102,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
     shared = spark.sparkContext.broadcast(np.concatenate([matrix, np.zeros((1, len(langs)), dtype=np.float32)]))
     carry = carry or []
     # private names: the input's own may clash
-    source = docs.select(*[docs[c].alias(f"llm_c{i}__") for i, c in enumerate(carry)], docs[text_col].alias("llm_text__"))
+    source = docs.select(*[docs[named(c)].alias(f"llm_c{i}__") for i, c in enumerate(carry)], docs[text_col].alias("llm_text__"))
     columns = source.columns if keep_text else source.columns[:-1]
     schema = ", ".join([*[f"{c} {t}" for c, t in source.dtypes[:len(columns)]], "llm_pred__ string, llm_score__ double"])
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_slices, with_worker_path, written
+from .common import named, text_slices, with_worker_path, written
 
 SYMBOLS = "#*$%&|<>"
 WHITE = " \t\n\v\f\r"
@@ -71,7 +71,7 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", st
     """The id, stratum (string), COUNTS and MEASURES of every row, and the columns ``carry`` as carried_0, carried_1 .."""
     with_worker_path(docs.sparkSession)
     source = docs.select(docs[id_col].alias("llm_id__"), (F.lit(None) if stratum is None else stratum).cast("string").alias("stratum"),
-                         *[docs[c].alias(f"carried_{i}") for i, c in enumerate(carry or [])], docs[text_col].alias("llm_text__"))
+                         *[docs[named(c)].alias(f"carried_{i}") for i, c in enumerate(carry or [])], docs[text_col].alias("llm_text__"))
     names = [c for c in source.columns if c != "llm_text__"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_slices, with_worker_path, written
+from .common import columns_of, text_slices, with_worker_path, written
 
 NUMBER = "llm_row_number__"
 BLOCK = 16
@@ -183,8 +183,8 @@ def drop_near_copies(docs: DataFrame, words_per_shingle: int = 3, max_bits: int
     """The rows of ``docs`` with the smallest id of their component, with their columns.
 
     Of rows that share that id the one with the smallest row number stays; without any id, the first row."""
-    numbered = written(docs.select(F.monotonically_increasing_id().alias(NUMBER), *[docs[c] for c in docs.columns]), "numbered")
+    numbered = written(docs.select(F.monotonically_increasing_id().alias(NUMBER), *columns_of(docs)), "numbered")
     by_row = near_duplicates(numbered.select(NUMBER, text_col), words_per_shingle, max_bits, id_col=NUMBER, text_col=text_col)
     ids = numbered.select(NUMBER, F.col(id_col).alias("id")).join(by_row.select(NUMBER, "component_id"), NUMBER)
     stay = ids.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", NUMBER))[NUMBER].alias(NUMBER))
-    return numbered.join(stay.select(NUMBER), NUMBER, "left_semi").select(*docs.columns)
+    return numbered.join(stay.select(NUMBER), NUMBER, "left_semi").select(*columns_of(docs))

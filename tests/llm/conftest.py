@@ -12,6 +12,7 @@ SCHEMA = T.StructType([
     T.StructField("row", T.LongType()), T.StructField("score", T.DoubleType()), T.StructField("kept", T.BooleanType()),
     T.StructField("fp", T.LongType()), T.StructField("ids", T.StringType()), T.StructField("word", T.StringType()),
     T.StructField("stratum", T.StringType()), T.StructField("shard", T.StringType()), T.StructField("component_id", T.StringType()),
+    T.StructField("a.b `c`", T.StringType()),
 ])
 EN = "the house and river of many small towns where people walk under old trees while rain falls slowly on their gardens".split()
 DE = "der hund und die katze sitzen im großen garten während kinder über grüne wiesen laufen und vögel schön singen".split()
@@ -36,11 +37,11 @@ def sample_rows() -> list[tuple]:
               ("word " * 300, "en"), ("x" * 20000, None), ("日本語のテキスト " * 40, None), ("<|endoftext|> a<|endoftext|>", "en"),
               ("line one here\nline one here\n\nline one here", "en"), ("Released under the MIT License. CC BY-NC 4.0", "en"),
               ("a  b   c \n d\x1c e f ", "de"), ("It's we'll THEY'VE don't", "en"), ("# * $ % & | < > " * 40, "en")]
-    rows = [(i, t, lang, f"s{i % 3}", len(t or ""), "x", i % 4, 0.5, True, 7, "y", "z", "w", "v", "u") for i, (t, lang) in enumerate(texts)]
+    rows = [(i, t, lang, f"s{i % 3}", len(t or ""), "x", i % 4, 0.5, True, 7, "y", "z", "w", "v", "u", "t") for i, (t, lang) in enumerate(texts)]
     rows.append(rows[5])                                   # a row twice
     rows.append((5, "another text under the same id", *rows[5][2:]))
-    rows.append((None, "a text without an id", "en", *[None] * 12))
-    rows.append((None, None, None, *[None] * 12))
+    rows.append((None, "a text without an id", "en", *[None] * 13))
+    rows.append((None, None, None, *[None] * 13))
     return rows
 
 
