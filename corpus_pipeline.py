@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fimloom.llm import exact_dedup, langid, packing, quality, queries, simhash
-from fimloom.llm.common import documents, written
+from fimloom.llm.common import columns_of, documents, written
 
 #: A document whose language is less certain than this is rejected.
 LEAST_LANGUAGE_SCORE = 0.5
@@ -20,7 +20,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents with a recognised language (operator 6); null or letterless texts and doubtful ones go."""
     model = langid.train(langid.training_rows(docs), F.col("lang"))
     judged = langid.predict(docs, model, carry=[c for c in docs.columns if c != "text"], names=("llm_pred__", "llm_score__"), keep_text=True)
-    return judged.where((F.col("llm_pred__") != langid.UNKNOWN) & (F.col("llm_score__") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+    return judged.where((F.col("llm_pred__") != langid.UNKNOWN) & (F.col("llm_score__") >= LEAST_LANGUAGE_SCORE)).select(*columns_of(docs))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
