@@ -144,7 +144,7 @@ def structure(tokens: DataFrame, keys: list[str], skeleton: bool = False, clamp:
 
     Columns added: prev_tok, prev_kind, prev2_tok, depth (enclosing braces), pdepth, hdr / hdr_kind /
     hdr2 (on ``)``: the token before its matching ``(``, and the last one before that which is no
-    qualifier), head (file level: the last paren group that may be a function's, see ``_head``),
+    qualifier), head (outside all braces: the last paren group that may be a function's),
     close_en / close_nb (on ``{``: end and line breaks of the matching ``}``), fstart (first
     token start of the current top-level item), phdr / phdr_kind / phdr2 (on ``{`` after ``)``: the
     ``hdr`` of that ``)``).
@@ -208,17 +208,15 @@ def structure(tokens: DataFrame, keys: list[str], skeleton: bool = False, clamp:
     s = s.withColumn("cast_close", F.coalesce(
         (tok == ")") & F.col("hdr_kind").isNotNull() & ~call_like
         & (F.col("_open_next").isin(*TYPE_KEYWORDS) | (F.col("prev_tok") == "*")), F.lit(False))).drop("_open_next")
-    # the last ')' outside all braces that closes a possible parameter list: what follows it up to a '{'
-    # may be attributes or macros, or the parameter declarations of an old-style definition
-    named = ((tok == ")") & (F.col("depth") == 0) & (F.col("pdepth") == 0) & (F.col("hdr_kind") == "id")
-             & ~F.col("hdr").isin(*C_KEYWORDS) & ~F.col("hdr").isin(*ATTRIBUTES))
-    s = s.withColumn("head", F.last(F.when(named, F.struct("hdr", "hdr2", "fstart", F.col("next_tok").alias("nxt"))),
-                                    ignorenulls=True).over(run))
     # matching braces: the next brace at the same depth.  A ')' directly before a '{' joins that
     # brace's window group, so the '{' also reads the header of its ')' there (no extra sort).
+    # So does a ')' outside all braces that may close a parameter list: what follows it up to a '{' may
+    # be attributes or macros, or the parameter declarations of an old-style definition (``head``).
     is_brace = tok.isin("{", "}")
     paren_before_brace = (tok == ")") & (F.col("next_tok") == "{")
-    grp = F.when(is_brace, F.col("depth")).when(paren_before_brace, F.col("depth"))
+    named = F.coalesce((tok == ")") & (F.col("depth") == 0) & (F.col("pdepth") == 0) & (F.col("hdr_kind") == "id")
+                       & ~F.col("hdr").isin(*C_KEYWORDS) & ~F.col("hdr").isin(*ATTRIBUTES), F.lit(False))
+    grp = F.when(is_brace | paren_before_brace | named, F.col("depth"))
     br = Window.partitionBy(*keys, grp.isNull(), grp).orderBy("pos")
     nxt_brace = F.lead("tok", 1).over(br)
     closed = (tok == "{") & (nxt_brace == "}")
@@ -227,6 +225,8 @@ def structure(tokens: DataFrame, keys: list[str], skeleton: bool = False, clamp:
         "*",
         F.when(closed, F.lead("st", 1).over(br) + 1).alias("close_en"),
         F.when(closed, F.lead("nb", 1).over(br)).alias("close_nb"),
+        F.last(F.when(named, F.struct("hdr", "hdr2", "fstart", F.col("next_tok").alias("nxt"))), ignorenulls=True).over(
+            br.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("head"),
         F.when(after_paren, F.lag("hdr", 1).over(br)).alias("phdr"),
         F.when(after_paren, F.lag("hdr_kind", 1).over(br)).alias("phdr_kind"),
         F.when(after_paren, F.lag("hdr2", 1).over(br)).alias("phdr2"),
