@@ -119,6 +119,6 @@ kept AS (SELECT m.* FROM mined m WHERE NOT EXISTS (SELECT 1 FROM parts x JOIN mi
                                                    WHERE x.tokens = m.tokens AND x.label = m.label)),
 held AS (SELECT t.n, max({{'confidence': k.confidence, 'support': k.support, 'label': k.label, 'tokens': k.tokens}}) AS m
          FROM tok0 t JOIN kept k ON list_has_all(t.tokens, k.tokens) WHERE t.verdict IS NULL GROUP BY t.n)
-SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, m.label, 'allow') AS verdict, m.tokens AS mined_tokens, m.confidence AS mined_confidence
+SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, m.label, 'allow') AS verdict, array_to_string(m.tokens, ' ') AS mined_tokens, m.confidence AS mined_confidence
 FROM r LEFT JOIN held USING (n)
 """
