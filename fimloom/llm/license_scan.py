@@ -68,7 +68,7 @@ WORD_CUT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 def words_of(text: Column) -> Column:
     """Words of a text, A-Z in lower case."""
     # of all other letters only the Kelvin sign has a lower case in a-z; no letter's is a cut
-    low = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("K"), F.lit("é")))
+    low = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("\u212a"), F.lit("\u00e9")))
     return F.array_remove(F.split(low, WORD_CUT, -1), "")
 
 
