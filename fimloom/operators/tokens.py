@@ -126,13 +126,15 @@ def tokenize(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
 
 def comments(tokens: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, st, en) of all comments, those on preprocessor lines included."""
-    own = tokens.filter(F.col("kind") == "comment").select(*keys, "st", "en")
-    lines = tokens.filter((F.col("kind") == "pp") & (F.col("tok").contains("/*") | F.col("tok").contains("//")))
-    parts = lines.select(*keys, "pos", "st", F.posexplode(F.regexp_extract_all(F.col("tok"), F.lit(DIRECTIVE_RX), 0)).alias("i", "part"))
+    tok = F.col("tok")
+    own = F.col("kind") == "comment"
+    noted = (F.col("kind") == "pp") & (tok.contains("/*") | tok.contains("//"))
+    parts = F.when(own, F.array(tok)).otherwise(F.regexp_extract_all(tok, F.lit(DIRECTIVE_RX), 0))
+    p = tokens.filter(own | noted).select(*keys, "pos", "st", F.posexplode(parts).alias("i", "part"))
     before = Window.partitionBy(*keys, "pos").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("st", F.col("st") + F.coalesce(F.sum(F.length("part")).over(before), F.lit(0)))
-    inside = parts.filter(F.col("part").startswith("/*") | F.col("part").startswith("//"))
-    return own.unionByName(inside.select(*keys, "st", (F.col("st") + F.length("part")).alias("en")))
+    p = p.withColumn("st", F.col("st") + F.coalesce(F.sum(F.length("part")).over(before), F.lit(0)))
+    p = p.filter(F.col("part").startswith("/*") | F.col("part").startswith("//"))
+    return p.select(*keys, "st", (F.col("st") + F.length("part")).alias("en"))
 
 
 def structure(tokens: DataFrame, keys: list[str], skeleton: bool = False, clamp: bool = False) -> DataFrame:
