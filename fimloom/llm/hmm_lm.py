@@ -6,9 +6,11 @@ other words (by length) are the model's symbols; a word that is no symbol is emi
 its smoothed share of the class, (c + 0.5) / (N + 0.5 * (V + 1)) with the counts of that class, so the
 model is a probability of the text itself.
 
-Baum-Welch: every task runs forward and backward over its training texts, and Spark sums the expected
-counts of the tasks by (kind, state, symbol).  Training reads all texts whole, in windows of
-``window`` tokens that each begin anew; scoring never cuts a text.  The tables that a task needs (the
+Baum-Welch starts from the counts of neighbouring symbols of all training texts: an EM over pairs of
+symbols, on the driver, whose states differ from the first.  Then every task runs forward and backward
+over its training texts, and Spark sums the likelihood and the expected counts of the tasks by (kind,
+state, symbol), until a round raises the log likelihood by less than ``TOLERANCE`` of it.  Training reads
+all texts whole, in windows of ``window`` tokens that each begin anew; scoring never cuts a text.  The tables that a task needs (the
 ``head`` most frequent words and the parameters) are bounded by parameters; counts of all other words
 are joined, one row per document and word.
 
@@ -19,6 +21,7 @@ Cases: a null text is empty (its end alone); a null id counts as held in; repeat
 
 from __future__ import annotations
 
+import itertools
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -29,7 +32,10 @@ from pyspark.sql import functions as F
 
 from .common import crc_mod, named, text_slices, with_worker_path, written
 
-STATES, SYMBOLS, ROUNDS, WINDOW = 6, 2048, 2, 1024
+STATES, SYMBOLS, WINDOW = 6, 2048, 1024
+#: Training ends when a round raises the log likelihood by less than this share of it; the start, when PAIR_STEPS
+#: steps raise the mean ln probability of a pair by less than PAIR_GAIN.
+TOLERANCE, PAIR_STEPS, PAIR_GAIN = 1e-4, 5, 1e-4
 #: Most frequent words whose counts every task holds, and the longest of them in bytes.
 HEAD, HEAD_BYTES = 50_000, 40
 #: Classes of words that are no symbol: by length in bytes, the last for all longer ones.
@@ -112,39 +118,42 @@ def forward(p: Parameters, rows: list[np.ndarray], keep: bool = False):
     flat = np.empty(int(lengths.sum()), dtype=np.int64)
     for j, i in enumerate(order):
         flat[at[:len(rows[i])] + j] = rows[i]
-    emit = np.ascontiguousarray(p.emit.T)[flat]                              # token x state
+    emit = np.take(p.emit, flat, axis=1)                                     # state x token
     states = p.emit.shape[0]
-    logs = np.zeros(len(rows))
-    alphas, scales = (np.empty((len(flat), states)), np.empty(len(flat))) if keep else (None, None)
-    alpha = np.tile(p.start, (len(rows), 1))
+    scales = np.empty(len(flat))
+    alphas = np.empty((states, len(flat))) if keep else None
+    move = np.ascontiguousarray(p.move.T)
+    ends = at.tolist()
+    alpha = np.tile(p.start[:, None], len(rows))
     for t in range(steps):
-        n = alive[t]
-        alpha = (alpha[:n] @ p.move if t else alpha[:n]) * emit[at[t]:at[t + 1]]
-        scale = alpha.sum(axis=1)
-        alpha /= scale[:, None]
-        logs[:n] += np.log(scale)
+        a, b = ends[t], ends[t + 1]
+        alpha = (move @ alpha[:, :b - a] if t else alpha) * emit[:, a:b]
+        scale = alpha.sum(axis=0, out=scales[a:b])
+        alpha /= scale
         if keep:
-            alphas[at[t]:at[t + 1]], scales[at[t]:at[t + 1]] = alpha, scale
+            alphas[:, a:b] = alpha
     back = np.empty(len(rows))
-    back[order] = logs
+    back[order] = np.bincount(np.arange(len(flat)) - np.repeat(at[:-1], alive), weights=np.log(scales), minlength=len(rows))
     if not keep:
         return back
     moves = np.zeros((states, states))
     gammas = alphas                                                           # overwritten from the last step on
-    beta = np.ones((int(alive[-1]), states))
+    emit /= scales
+    beta = np.ones((states, int(alive[-1])))
     for t in range(steps - 1, -1, -1):
-        n = int(alive[t])
-        if len(beta) < n:
-            beta = np.concatenate([beta, np.ones((n - len(beta), states))])
+        a, b = ends[t], ends[t + 1]
+        n = b - a
+        if beta.shape[1] < n:
+            beta = np.concatenate([beta, np.ones((states, n - beta.shape[1]))], axis=1)
         if t:
-            seen = beta * emit[at[t]:at[t + 1]] / scales[at[t]:at[t + 1], None]
-            moves += (alphas[at[t - 1]:at[t - 1] + n].T @ seen) * p.move
-            gammas[at[t]:at[t + 1]] *= beta
-            beta = seen @ p.move.T
+            seen = beta * emit[:, a:b]
+            moves += alphas[:, ends[t - 1]:ends[t - 1] + n] @ seen.T
+            gammas[:, a:b] *= beta
+            beta = p.move @ seen
         else:
-            gammas[:at[1]] *= beta
-    counts = np.stack([np.bincount(flat, weights=gammas[:, s], minlength=p.size) for s in range(states)])
-    return back, gammas[:at[1]].sum(axis=0), moves, counts
+            gammas[:, :b] *= beta
+    counts = np.stack([np.bincount(flat, weights=g, minlength=p.size) for g in gammas])
+    return back, gammas[:, :ends[1]].sum(axis=1), moves * p.move, counts
 
 
 def passes(rows: list[np.ndarray]) -> Iterator[list[int]]:
@@ -160,42 +169,112 @@ def passes(rows: list[np.ndarray]) -> Iterator[list[int]]:
         yield part
 
 
-def expected(docs: DataFrame, shared, window: int, text_col: str = "text") -> DataFrame:
-    """kind (start, move, emit), state, symbol, value: expected counts of all texts, summed over tasks."""
+def encoded(docs: DataFrame, shared, text_col: str = "text") -> DataFrame:
+    """ids (binary): the symbols of every text and its end, as numbers of ``symbol_type``."""
     with_worker_path(docs.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = shared.value
-        states = p.emit.shape[0]
-        starts, moves, counts = np.zeros(states), np.zeros((states, states)), np.zeros(p.emit.shape)
-        symbol, first = p.symbol, p.first_class
+        symbol, first, kind = p.symbol, p.first_class, symbol_type(p)
         for _, texts in text_slices(batches, "text", SLICE):
-            rows = []
+            out = []
             for t in texts:
-                words = (t or "").encode().lower().split()
-                ids = [symbol[w] if w in symbol else first + min(len(w), CLASSES) - 1 for w in words]
+                ids = [symbol[w] if w in symbol else first + min(len(w), CLASSES) - 1 for w in (t or "").encode().lower().split()]
                 ids.append(p.end)
-                ids = np.array(ids, dtype=np.int64)
-                rows += [ids[i:i + window] for i in range(0, len(ids), window)]
+                out.append(np.array(ids, dtype=kind).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["ids"])
+
+    return docs.select(docs[text_col].alias("text")).mapInArrow(run, "ids binary")
+
+
+def symbol_type(p: Parameters) -> str:
+    return "<u2" if p.size <= 1 << 16 else "<u4"
+
+
+def neighbours(ids: DataFrame, p: Parameters) -> np.ndarray:
+    """How often symbol j follows symbol i in the texts."""
+    size, end, kind = p.size, p.end, symbol_type(p)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(size * size, dtype=np.int64)
+        for _, texts in text_slices(batches, "ids", SLICE):
+            flat = np.frombuffer(b"".join(texts), dtype=kind).astype(np.int64)
+            pairs = flat[:-1] * size + flat[1:]
+            seen += np.bincount(pairs[flat[:-1] != end], minlength=size * size)
+        pair = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(seen[pair])], names=["pair", "n"])
+
+    sums = ids.mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()    # bounded: symbols²
+    out = np.zeros(size * size, dtype=np.float32)
+    out[sums["pair"].to_numpy()] = sums["n"].to_numpy()
+    return out.reshape(size, size)
+
+
+def start_from(p: Parameters, pairs: np.ndarray) -> None:
+    """Emissions and moves that EM over pairs of neighbours gives; its states differ from the first, so it meets no plateau."""
+    total = float(pairs.sum())
+    if not total:
+        return
+    states = len(p.move)
+    rng = np.random.default_rng(1)
+    share = (pairs.sum(axis=0) + pairs.sum(axis=1) + 0.5).astype(np.float32)
+    emit = share * rng.gamma(0.3, size=(states, p.size)).astype(np.float32) + 1e-9 * share
+    emit /= emit.sum(axis=1, keepdims=True)
+    both = rng.uniform(0.5, 1.5, (states, states)).astype(np.float32)
+    both /= both.sum()
+    before = -np.inf
+    for step in itertools.count():
+        model = np.maximum(emit.T @ (both @ emit), 1e-30)
+        if step % PAIR_STEPS == 0:
+            now = float((pairs * np.log(model)).sum(dtype=np.float64)) / total
+            if now - before < PAIR_GAIN:
+                break
+            before = now
+        ratio = np.divide(pairs, model, out=model)
+        right = ratio @ emit.T
+        new = emit * (both @ right.T + (both.T @ emit) @ ratio) + np.float32(0.01)
+        both = both * (emit @ right) + np.float32(0.01)
+        emit, both = new / new.sum(axis=1, keepdims=True), both / both.sum()
+    p.emit = emit.astype(np.float64)
+    p.emit /= p.emit.sum(axis=1, keepdims=True)
+    p.move = both.astype(np.float64)
+    p.move /= p.move.sum(axis=1, keepdims=True)
+
+
+def expected(ids: DataFrame, shared, window: int) -> DataFrame:
+    """kind (start, move, emit, ln likelihood), state, symbol, value: expected counts of all texts, summed over tasks."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p = shared.value
+        states, number = p.emit.shape[0], symbol_type(p)
+        starts, moves, counts, logs = np.zeros(states), np.zeros((states, states)), np.zeros(p.emit.shape), 0.0
+        for _, texts in text_slices(batches, "ids", SLICE):
+            rows = []
+            for t in texts:
+                one = np.frombuffer(t, dtype=number)
+                rows += [one[i:i + window] for i in range(0, len(one), window)]
             for part in passes(rows):
-                _, s, m, c = forward(p, [rows[i] for i in part], keep=True)
+                found, s, m, c = forward(p, [rows[i] for i in part], keep=True)
+                logs += found.sum()
                 starts += s
                 moves += m
                 counts += c
         state, sym = np.nonzero(counts)
         i, j = np.nonzero(moves)
-        kind = np.concatenate([np.zeros(states, int), np.ones(len(i), int), np.full(len(state), 2)])
+        kind = np.concatenate([np.zeros(states, int), np.ones(len(i), int), np.full(len(state), 2), [3]])
         yield pa.RecordBatch.from_arrays([
-            pa.array(kind.astype(np.int32)), pa.array(np.concatenate([np.arange(states), i, state]).astype(np.int32)),
-            pa.array(np.concatenate([np.zeros(states, int), j, sym]).astype(np.int32)),
-            pa.array(np.concatenate([starts, moves[i, j], counts[state, sym]]))], names=["kind", "state", "symbol", "value"])
+            pa.array(kind.astype(np.int32)), pa.array(np.concatenate([np.arange(states), i, state, [0]]).astype(np.int32)),
+            pa.array(np.concatenate([np.zeros(states, int), j, sym, [0]]).astype(np.int32)),
+            pa.array(np.concatenate([starts, moves[i, j], counts[state, sym], [logs]]))], names=["kind", "state", "symbol", "value"])
 
-    parts = docs.select(docs[text_col].alias("text")).mapInArrow(run, "kind int, state int, symbol int, value double")
+    parts = ids.mapInArrow(run, "kind int, state int, symbol int, value double")
     return parts.groupBy("kind", "state", "symbol").agg(F.sum("value").alias("value"))
 
 
-def reestimate(p: Parameters, sums: pa.Table) -> None:
-    """The parameters that the expected counts give, smoothed a little so that no symbol is impossible."""
+def reestimate(p: Parameters, sums: pa.Table) -> float:
+    """The parameters that the expected counts give, smoothed a little so that no symbol is impossible.
+
+    Returns the ln likelihood under the parameters before."""
     kind, state, symbol, value = (sums[c].to_numpy() for c in ("kind", "state", "symbol", "value"))
     start, move, emit = (np.zeros(x.shape) for x in (p.start, p.move, p.emit))
     start[state[kind == 0]] = value[kind == 0]
@@ -203,11 +282,12 @@ def reestimate(p: Parameters, sums: pa.Table) -> None:
     emit[state[kind == 2], symbol[kind == 2]] = value[kind == 2]
     for now, new in (("start", start + 0.01), ("move", move + 0.01), ("emit", emit + 0.01)):
         setattr(p, now, new / new.sum(axis=-1, keepdims=True))
+    return float(value[kind == 3].sum())
 
 
-def train(docs: DataFrame, counts: DataFrame, states: int = STATES, symbols: int = SYMBOLS, rounds: int = ROUNDS,
+def train(docs: DataFrame, counts: DataFrame, states: int = STATES, symbols: int = SYMBOLS, rounds: int | None = None,
           head: int = HEAD, window: int = WINDOW, text_col: str = "text") -> Parameters:
-    """Parameters from all texts of ``docs``, whose words ``counts`` (word, c) has."""
+    """Parameters from all texts of ``docs``, whose words ``counts`` (word, c) has; ``rounds`` None: until they settle."""
     ends = docs.count()
     total = counts.agg(F.sum("c"), F.count("*")).first()
     top = (counts.where(F.length("word") <= HEAD_BYTES).orderBy(F.desc("c"), "word").limit(head)     # bounded
@@ -220,11 +300,23 @@ def train(docs: DataFrame, counts: DataFrame, states: int = STATES, symbols: int
         class_tokens[word_class(w)] -= c
         class_words[word_class(w)] -= 1
     p = Parameters(head_words, (total[0] or 0) + ends, total[1] + (ends > 0), ends, class_tokens, class_words, states, symbols)
+    if not ends:
+        return p
     spark = docs.sparkSession
-    for _ in range(rounds if ends else 0):
+    shared = spark.sparkContext.broadcast(p)
+    ids = written(encoded(docs, shared, text_col), "symbols")
+    shared.unpersist()
+    start_from(p, neighbours(ids, p))
+    before = -np.inf
+    for done in itertools.count():
+        if done == rounds:
+            break
         shared = spark.sparkContext.broadcast(p)
-        reestimate(p, expected(docs, shared, window, text_col).toArrow())    # bounded: states x symbols
+        now = reestimate(p, expected(ids, shared, window).toArrow())         # bounded: states x symbols
         shared.unpersist()
+        if rounds is None and now - before < TOLERANCE * -now:
+            break
+        before = now
     return p
 
 

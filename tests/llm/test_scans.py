@@ -146,6 +146,15 @@ def test_rounds_raise_the_likelihood(spark, odd):
     assert total[0] < total[1] < total[2]
 
 
+def test_training_beats_the_unigram(spark):
+    """Trained until it settles, the model gains over 0.4 ln a token (one state: the unigram over the same symbols)."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    counts = hmm_lm.word_counts(docs).cache()
+    six, one = (hmm_lm.score(docs, hmm_lm.train(docs, counts, states=k), counts).agg(F.sum("score") / F.sum("n_tokens")).first()[0] * math.log(10)
+                for k in (hmm_lm.STATES, 1))
+    assert six > one + 0.4
+
+
 def test_scores_equal_brute_force(spark, odd, odd_rows):
     """Base scores by hand, and the model's by one long forward pass per text, for a small head."""
     learn = hmm_lm.training_rows(odd)
