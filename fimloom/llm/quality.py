@@ -11,8 +11,9 @@ probability of at most delta.
 
 Cases: a null text has no words; an empty text, a null id and repeated rows are judged like any other row;
 documents whose label is null or that repeat an id with labels count once per joined label; a stratum
-with few labels (or a null one, or any beyond the most labelled ``max_strata``) is judged by the pooled
-stratum; an empty table gives no rows and no labels reject nothing; other columns are not read.
+without cutoffs of its own (few labels or none, a null one, or one named as POOLED) rejects nothing, since
+the pooled cutoffs bound only the loss over all strata together: they hold for rows without any strata;
+an empty table gives no rows and no labels reject nothing; other columns are not read.
 """
 
 from __future__ import annotations
@@ -110,20 +111,20 @@ def most_allowed(n: int, risk: float, level: float) -> int:
 
 
 def thresholds(rows: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", risk: float = 0.02,
-               delta: float = 0.05, max_strata: int = 32, least_labels: int = 200) -> dict[str, dict[str, float]]:
-    """{stratum: {measure: cutoff}}; rows above a cutoff are rejected.  Strata without an entry use POOLED.
+               delta: float = 0.05, least_labels: int = 200) -> dict[str, dict[str, float]]:
+    """{stratum: {measure: cutoff}}; rows above a cutoff are rejected.  Strata without an entry reject nothing.
 
-    Only counts of good documents by stratum, measure and cutoff come to the driver, of at most
-    ``max_strata`` strata."""
+    POOLED alone is for rows without strata; if there are strata but none has ``least_labels``, it is empty.
+    Only counts of good documents by stratum, measure and cutoff come to the driver, of strata with
+    ``least_labels`` good labels."""
     good = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("good_id"))
     holdout = written(rows.join(good, rows[id_col] == good["good_id"]).select("stratum", *MEASURES), "holdout")
-    sizes = (holdout.where("stratum is not null").groupBy("stratum").count().where(F.col("count") >= least_labels)
-             .orderBy(F.desc("count"), "stratum").limit(max_strata).collect())
-    own = [r["stratum"] for r in sizes]
+    sizes = (holdout.where(F.col("stratum") != POOLED).groupBy("stratum").count().where(F.col("count") >= least_labels)
+             .select("stratum"))
+    own = sorted(r["stratum"] for r in sizes.collect())
     # a value lies above the cutoffs 0 .. step - 1
-    steps = holdout.select(
-        F.explode(F.array(F.lit(POOLED), *([F.when(F.col("stratum").isin(own), F.col("stratum"))] if own else []))).alias("stratum"),
-        *MEASURES).where("stratum is not null")
+    steps = holdout.select(F.lit(POOLED).alias("stratum"), *MEASURES).unionByName(
+        holdout.join(F.broadcast(sizes), "stratum", "left_semi").select("stratum", *MEASURES))
     steps = steps.select("stratum", F.explode(F.array(*[
         F.struct(F.lit(m).alias("measure"), F.ceil(F.col(m) * GRID).cast("int").alias("step")) for m in MEASURES])).alias("x"))
     counts: dict[tuple[str, str], Counter] = {}
@@ -142,17 +143,24 @@ def thresholds(rows: DataFrame, labels: DataFrame, id_col: str = "doc_id", label
             best = step
         if best is not None:
             out[s][m] = best / GRID
+    if out[POOLED] and not own and rows.where("stratum is not null").limit(1).count():
+        out[POOLED] = {}                           # proves nothing for any one of the strata
     return out
 
 
 def judged(rows: DataFrame, cutoffs: dict[str, dict[str, float]]) -> DataFrame:
-    """Adds base_failed, risk_failed and kept."""
+    """Adds base_failed, risk_failed and kept.  POOLED judges the rows only if no stratum has an entry."""
     failed = F.lit(False)
-    names = sorted(cutoffs)
-    stratum = F.when(F.col("stratum").isin([s for s in names if s != POOLED]), F.col("stratum")).otherwise(F.lit(POOLED))
-    for s in names:
-        for m, cut in sorted(cutoffs[s].items()):
-            failed = failed | ((stratum == s) & (F.ceil(F.col(m) * GRID) > round(cut * GRID)))
+    own = sorted(s for s in cutoffs if s != POOLED)
+    for m in MEASURES:
+        cuts = [(s, round(cutoffs[s][m] * GRID)) for s in own if m in cutoffs[s]]
+        if cuts:
+            cut = F.try_element_at(F.create_map(*[F.lit(x) for pair in cuts for x in pair]), F.col("stratum"))
+        elif not own and m in cutoffs.get(POOLED, {}):
+            cut = F.lit(round(cutoffs[POOLED][m] * GRID))
+        else:
+            continue
+        failed = failed | F.coalesce(F.ceil(F.col(m) * GRID) > cut, F.lit(False))
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return rows.withColumn("base_failed", base).withColumn("risk_failed", failed).withColumn(
         "kept", ~(F.col("base_failed") | F.col("risk_failed")))

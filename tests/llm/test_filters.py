@@ -164,6 +164,22 @@ def test_few_labels_reject_nothing(spark, odd):
     assert all(r["kept"] != r["base_failed"] for r in got) and len(got) == odd.count()
 
 
+def test_strata_without_cutoffs_reject_nothing(spark):
+    """A small, a null and an unlabelled stratum of high rates beside 33 large ones keep all; the large ones each have cutoffs."""
+    large = [f"s{i:02}" for i in range(33)]
+    risk = 0.2
+    rows = [(s, 0.01) for s in large for _ in range(300)] + [("rare", 0.9)] * 10 + [(None, 0.9)] * 10
+    rows = [(i, s, v, 0.0, 0.0, 0.0, 0.0) for i, (s, v) in enumerate(rows)]
+    labels = spark.createDataFrame([(r[0], 1) for r in rows], "doc_id long, quality int")
+    bad = [(-1, "s00", 0.9, 0.0, 0.0, 0.0, 0.0), (-2, "s32", 0.9, 0.0, 0.0, 0.0, 0.0), (-3, "unlabelled", 0.9, 0.0, 0.0, 0.0, 0.0)]
+    df = measures(spark, rows + bad).withColumns({"n_words": F.lit(100), "n_repeat_words": F.lit(0)})
+    cut = quality.thresholds(df, labels, risk=risk)
+    assert set(cut) == {quality.POOLED, *large} and all(cut[s]["symbol_rate"] == 0.01 for s in cut)
+    assert sorted(r["doc_id"] for r in quality.judged(df, cut).where("risk_failed").collect()) == [-2, -1]
+    few = quality.thresholds(df, labels, risk=risk, least_labels=301)
+    assert few == {quality.POOLED: {}}
+
+
 def test_kept_documents_have_their_columns(spark, odd):
     out = quality.kept_documents(odd, {"*": {"symbol_rate": 0.5}}, stratum=odd["lang"])
     assert out.columns == odd.columns
