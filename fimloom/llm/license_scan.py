@@ -3,7 +3,8 @@
 Every pair of neighbouring words of every text is hashed and joined with the pairs of the templates;
 a hit votes for the diagonal (word position in the text less position in the template) it lies on.
 Votes are summed per row, template and diagonal.  A short phrase stands where all its pairs vote for
-one diagonal.  For the long templates neighbouring diagonals (words put in or left out) are merged, and a
+one diagonal.  A template stands where one diagonal covers enough of its pairs, however close it repeats.
+For the long templates neighbouring diagonals (words put in or left out) are merged as well, and a
 merged span is verified by the share of the template's pairs that it covers and by its length.
 
 The templates are fixed (some hundred pairs, so the join is a broadcast of proven size); words are
@@ -120,11 +121,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
     whole = F.col("base") & (F.col("votes") == F.col("pairs"))
     spans = spans.groupBy("row", "id", "n_words", "template", "label", "pairs", "span").agg(
         F.bit_or(F.when(F.col("strong"), F.col("covers"))).alias("covers"), F.min("low").alias("low"), F.max("high").alias("high"),
-        F.count(F.when(whole, 1)).alias("places"), F.min(F.when(whole, F.col("diagonal"))).alias("from"),
+        F.max(F.when(F.col("strong"), F.bit_count("covers"))).alias("alone"), F.count(F.when(whole, 1)).alias("places"), F.min(F.when(whole, F.col("diagonal"))).alias("from"),
         F.max(F.when(whole, F.col("diagonal"))).alias("to"))
     share = F.coalesce(F.bit_count("covers") / F.col("pairs"), F.lit(0.0))
-    found = (F.col("span").isNotNull() & (share >= COVERED)
-             & (F.col("high") - F.col("low") + 1 <= F.ceil(F.col("pairs") * STRETCH)))
+    # a diagonal that covers enough by itself is never longer than its template
+    found = F.col("span").isNotNull() & ((F.col("alone") / F.col("pairs") >= COVERED) | (
+        (share >= COVERED) & (F.col("high") - F.col("low") + 1 <= F.ceil(F.col("pairs") * STRETCH))))
     based = F.col("places") > 0
     total = spans.groupBy("row", "id", "n_words").agg(
         F.sum("places").alias("n_base"), F.min("from").cast("bigint").alias("first_word"), F.max("to").cast("bigint").alias("last_word"),

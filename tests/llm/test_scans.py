@@ -62,6 +62,13 @@ def test_templates_are_found_with_changes(spark):
     assert got[11]["labels"] == "" and got[12]["labels"] == "lgpl" and got[13]["labels"] == "mpl"
 
 
+def test_templates_that_repeat_close_together(spark):
+    texts = {"BSD License / BSD License": "bsd", "Mozilla Public License (Mozilla Public License)": "mpl", "CC BY-SA, CC BY-SA": "cc-by,cc-by-sa",
+             "CC BY-NC, CC BY-NC": "cc-by,cc-by-nc", "BSD License\n" * 1000: "bsd"}
+    got = license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["labels"], r["score"]) for r in got} == {i: (x, 1.0) for i, x in enumerate(texts.values())}
+
+
 def test_license_words_only_run_together_in_order(spark):
     whole = license_scan.TEMPLATES["bsd"][0]
     turned = " ".join(reversed(whole.split()))
