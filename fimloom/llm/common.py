@@ -57,10 +57,14 @@ def columns_of(df: DataFrame) -> list[Column]:
     return [F.col(named(c)) for c in df.columns]
 
 
+def id_crc(doc_id: Column) -> Column:
+    """crc32 of the id written as text (null id: null)."""
+    return F.crc32(F.encode(doc_id.cast("string"), "UTF-8"))
+
+
 def crc_mod(doc_id: Column | str, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus`` (null id: null)."""
-    c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
-    return F.pmod(F.crc32(F.encode(c.cast("string"), "UTF-8")), F.lit(modulus))
+    return F.pmod(id_crc(F.col(doc_id) if isinstance(doc_id, str) else doc_id), F.lit(modulus))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import string
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, hmm_lm, langid, license_scan, packing, quality, sharding, simhash, sql, url_rules
-from .common import crc_mod, documents
+from . import (bpe, exact_dedup, hmm_lm, langid, license_scan, manifest, packing, periodic, quality, secrets, sharding, simhash, sql,
+               url_rules)
+from .common import crc_mod, documents, id_crc
 
 # The listed URL rules (host, path, verdict).
 LISTED = [
@@ -77,12 +80,44 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                 "base_failed", "kept", "stratum", *quality.MEASURES, "risk_failed")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+
+    def lowered(text: Column) -> Column:
+        return F.when(crc_mod(docs["doc_id"], 3) == 0, F.translate(text, string.ascii_uppercase, string.ascii_lowercase)).otherwise(text)
+
+    return manifest.verify(docs, ["doc_id", "source", "lang", "n_chars", "text"], lowered, "lang", "doc_id")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    crc = id_crc(docs["doc_id"])
+    text = F.when(crc % 10 == 0, periodic.with_planted_period(docs["text"], crc)).otherwise(docs["text"])
+    found = periodic.periodic_runs(docs, text).withColumn("best", periodic.strongest(F.col("runs")))
+    return found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+                        F.sha2(periodic.run_lines(F.col("runs")), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(documents(spark, sf_dir))
+    kinds = secrets.KINDS[:secrets.BASE]
+    base = F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    def n(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(n, kinds), F.sha2(secrets.written_spans(base), 256).alias("base_sha256"), secrets.written_spans(F.col("spans")).alias("spans"))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (op1_url_rules, op2_packing, op3_exact_dedup, op4_simhash, op5_license_scan, op6_language_id,
-                                    op7_bpe, op8_hmm_lm, op9_sharding, op10_quality_rules)}
+                                    op7_bpe, op8_hmm_lm, op9_sharding, op10_quality_rules, op11_merkle_manifest, op12_periodic_runs,
+                                    op13_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
-    """The other queries train a model, tokenize, or hash by XXH64: tests hold them against brute force."""
+    """The other queries train a model, tokenize, hash by XXH64 or find runs: tests hold them against brute force."""
     return {"op1_url_rules": sql.url_rules(LISTED), "op3_exact_dedup": sql.EXACT_DEDUP, "op5_license_scan": sql.license_scan(),
-            "op9_sharding": sql.sharding()}
+            "op9_sharding": sql.sharding(), "op11_merkle_manifest": sql.manifest(), "op13_secret_scan": sql.secret_scan()}

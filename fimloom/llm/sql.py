@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from . import secrets
 from .license_scan import COVERED, LEAST_VOTES, NEIGHBOUR, PHRASES, STRETCH, TEMPLATES
 from .sharding import BUCKETS
 
 CUT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+# The value of a setting.
+VALUE = r"""^[A-Za-z0-9_]+["']?\x20*[:=]\x20*["']?(.*)$"""
+
+
 def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -28,6 +33,48 @@ def crc32(hex_digits: str) -> str:
             f"lambda c, b: xor(c >> 8, remainders[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)")
 
 
+CRC_TABLE = ("SELECT list_transform(range(256), lambda b: list_reduce([b::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], "
+             "lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)) AS remainders")
+
+
+def manifest(fan: int = 8) -> str:
+    """Built and folded from the leaves up (the query descends from the root)."""
+    def leaf(text: str) -> str:
+        fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+        return "sha256(" + " || ".join(f"CASE WHEN {x} IS NULL THEN '-' ELSE strlen({x}) || ':' || {x} END" for x in fields) + ")"
+
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def levels(name: str, leaves: str) -> str:
+        return f"""
+{name} AS (SELECT g, 0 AS h, idx, n, digest FROM {leaves}
+  UNION ALL SELECT g, h + 1, idx // {fan}, (n + {fan - 1}) // {fan}, sha256(string_agg(digest, '' ORDER BY idx)) FROM {name} WHERE n > 1
+  GROUP BY g, h, idx // {fan}, n),
+{name}_runs AS (SELECT g, h, idx // {fan} AS block, list(digest ORDER BY idx) AS run FROM {name} WHERE n > 1 GROUP BY g, h, idx // {fan})"""
+
+    def folds(name: str, start: str, tree: str) -> str:
+        left, right = f"array_to_string(run[1:idx % {fan}], '')", f"array_to_string(run[idx % {fan} + 2:{fan}], '')"
+        return f"""
+{name} AS (SELECT r, g, 0 AS h, idx, n, path, digest FROM {start}
+  UNION ALL SELECT f.r, f.g, f.h + 1, f.idx // {fan}, (f.n + {fan - 1}) // {fan}, f.path || {left} || {right}, sha256({left} || f.digest || {right})
+  FROM {name} f JOIN {tree}_runs t ON f.g = t.g AND f.h = t.h AND f.idx // {fan} = t.block WHERE f.n > 1)"""
+
+    return f"""
+WITH RECURSIVE crc_table AS ({CRC_TABLE}),
+d AS (SELECT row_number() OVER () AS r, * FROM documents),
+c AS (SELECT *, {crc32("hex(encode(CAST(doc_id AS VARCHAR)))")} AS crc FROM d, crc_table),
+l AS (SELECT r, doc_id, lang, {leaf('text')} AS leaf, CASE WHEN crc % 3 = 0 THEN {leaf(low)} ELSE {leaf('text')} END AS checked FROM c),
+leaves AS (SELECT r, doc_id, leaf AS digest, checked, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, count(*) OVER (PARTITION BY lang) AS n,
+                  row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS idx FROM l),{levels('nodes', 'leaves')},
+subroots AS (SELECT g AS idx, 0 AS g, count(*) OVER () AS n, digest FROM nodes WHERE n = 1),{levels('tops', 'subroots')},
+first_fold AS (SELECT r, g, idx, n, '' AS path, checked AS digest FROM leaves),{folds('up', 'first_fold', 'nodes')},
+second_fold AS (SELECT r, 0 AS g, g AS idx, (SELECT count(*) FROM subroots) AS n, path, digest FROM up WHERE n = 1),{folds('over', 'second_fold', 'tops')},
+roots AS (SELECT digest AS root FROM tops WHERE n = 1)
+SELECT doc_id, l.digest AS leaf, s.digest AS subroot, root, sha256(path) AS proof_sha256, o.digest AS folded_root, o.digest = root AS verified
+FROM leaves l JOIN subroots s ON l.g = s.idx JOIN over o ON o.r = l.r AND o.n = 1, roots
+"""
+
+
 def sharding(shards: int = 16) -> str:
     def score(s: int) -> str:
         return f"1.0 / -ln((CAST(('0x' || substr(md5('{s}|' || key), 1, 13)) AS BIGINT)::DOUBLE + 0.5) / 4503599627370496.0)"
@@ -35,9 +82,8 @@ def sharding(shards: int = 16) -> str:
     def best(n: int) -> str:
         return f"list_position(scores[1:{n}], list_max(scores[1:{n}])) - 1"
 
-    step = "CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END"
     return f"""
-WITH crc_table AS (SELECT list_transform(range(256), lambda b: list_reduce([b::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, _: {step})) AS remainders),
+WITH crc_table AS ({CRC_TABLE}),
 t AS (SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), 'null') AS key, coalesce(text, '') AS text FROM documents),
 h AS (SELECT doc_id, key, hex(encode(text)) AS digits, strlen(text) + 1 AS size FROM t),
 c AS (SELECT doc_id, key, size, {crc32('digits')} AS text_crc32, [{', '.join(score(s) for s in range(shards + 1))}] AS scores FROM h, crc_table),
@@ -122,3 +168,43 @@ held AS (SELECT t.n, max({{'confidence': k.confidence, 'support': k.support, 'la
 SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, m.label, 'allow') AS verdict, array_to_string(m.tokens, ' ') AS mined_tokens, m.confidence AS mined_confidence
 FROM r LEFT JOIN held USING (n)
 """
+
+
+def secret_scan() -> str:
+    """Links by a join of intervals (the query sweeps); base matches by the patterns of the contract."""
+    kinds = secrets.KINDS
+    patterns = [
+        (secrets.ASSIGN, f"CASE WHEN length(regexp_extract(x, {q(secrets.ASSIGN)}, 1)) >= {secrets.LEAST_ASSIGN} THEN 0 END"),
+        (secrets.ACCESS, f"CASE WHEN length(x) >= {secrets.LEAST_ACCESS} THEN 1 END"),
+        ("[0-9a-f]+", "CASE WHEN length(x) >= 24 THEN 2 END"),
+        (secrets.SETTING, f"CASE WHEN length(regexp_extract(x, {q(VALUE)}, 1)) < {secrets.LEAST_VALUE} THEN NULL "
+         + " ".join(f"WHEN regexp_matches(lower(regexp_extract(x, '^[A-Za-z0-9_]+')), {q(rx)}) THEN {kinds.index(role)}"
+                    for role, rx in secrets.NAMES.items()) + " END"),
+        (secrets.URL, str(kinds.index("endpoint"))),
+        (secrets.MIXED, f"CASE WHEN regexp_matches(x, '[0-9]') AND regexp_matches(x, '[a-z]') AND regexp_matches(x, '[A-Z]') THEN {kinds.index('token')} END"),
+        (secrets.BLANK, str(secrets.BREAK)),
+    ]
+    scans = "\nUNION ALL ".join(f"""SELECT r, {kind} AS kind, sum(g + length(x)) OVER (PARTITION BY r ORDER BY i) - length(x) AS st, length(x) AS len
+FROM (SELECT r, unnest(range(1, len(m) + 1)) AS i, unnest(m) AS x, unnest(list_transform(gaps[1:len(m)], lambda s: length(s))) AS g
+      FROM (SELECT r, regexp_extract_all(txt, {q(rx)}) AS m, regexp_split_to_array(txt, {q(rx)}) AS gaps FROM d WHERE regexp_matches(txt, {q(rx)})))"""
+                                 for rx, kind in patterns)
+    role = "CASE " + " ".join(f"WHEN p.kind = {i} THEN {q(secrets.ROLE[k])}" for i, k in enumerate(kinds)) + " END"
+    number = {k: i for i, k in enumerate(kinds)}
+    names = "[" + ", ".join(map(q, kinds)) + "]"
+    joined = f"string_agg({names}[kind + 1] || ':' || st || ':' || en, ',' ORDER BY st, kind)"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS txt FROM documents),
+found AS (SELECT r, kind, CAST(st AS BIGINT) AS st, CAST(st + len AS BIGINT) AS en FROM ({scans}) WHERE kind IS NOT NULL),
+scoped AS (SELECT *, count(*) FILTER (kind = {secrets.BREAK}) OVER (PARTITION BY r ORDER BY st, kind, en ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS scope,
+                  max(en) FILTER (kind < {secrets.BREAK}) OVER (PARTITION BY r ORDER BY st, kind, en ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS covered FROM found),
+parts AS (SELECT p.*, {role} AS role FROM scoped p WHERE kind < {secrets.BASE} OR kind < {secrets.BREAK} AND coalesce(covered, 0) <= st
+          AND NOT EXISTS (SELECT 1 FROM found b WHERE b.r = p.r AND b.kind < {secrets.BASE} AND b.st >= p.st AND b.st < p.en)),
+kept AS (SELECT * FROM parts p WHERE kind < {secrets.BASE} OR EXISTS (SELECT 1 FROM parts c WHERE c.r = p.r AND c.scope = p.scope
+           AND (c.en <= p.st AND p.st - c.en <= {secrets.REACH} OR c.st >= p.en AND c.st - p.en <= {secrets.REACH})
+           AND CASE WHEN p.kind = {number['secret']} THEN c.role IN ('identifier', 'endpoint')
+                    WHEN p.kind = {number['token']} THEN c.role = 'identifier' ELSE c.role = 'secret' END)),
+spans AS (SELECT r, {", ".join(f"count(*) FILTER (kind = {i}) AS n_{k}" for i, k in enumerate(kinds[:secrets.BASE]))},
+                 {joined.replace("ORDER BY st, kind)", "ORDER BY st, kind) FILTER (kind < " + str(secrets.BASE) + ")")} AS base, {joined} AS spans FROM kept GROUP BY r)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in kinds[:secrets.BASE])}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN spans USING (r)
+"""
