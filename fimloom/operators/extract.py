@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import py_slice
+from .branches import branch_views
 from .tokens import LARGE_TEXT, blocks, structure, tokenize
 
 #: Code points of a piece of a large file.
@@ -23,19 +24,23 @@ def by_key(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def function_spans(files: DataFrame, keys: list[str] = ("file_path",), text: str = "text") -> DataFrame:
-    """X1 + X2: (keys, func_index, st, en, func_name) for every top-level function definition.
+    """X1 + X2: (keys, func_index, st, en, func_name) for every function definition, nested ones included, in the
+    order of their starts.
 
-    ``files`` must be partitioned by ``keys`` (see ``by_key``)."""
+    ``files`` must be partitioned by ``keys`` (see ``by_key``).  A file with unbalanced ``#if`` groups is read in
+    several views; a function that comes out of more than one of them is one row."""
     keys = list(keys)
-    b = blocks(structure(tokenize(files, keys, text), keys, skeleton=True, clamp=True), keys)
-    f = b.filter((F.col("kind") == "function") & (F.col("depth") == 0))
-    w = Window.partitionBy(*keys).orderBy("fstart")
+    by_view = [*keys, "view"]
+    views = branch_views(files, keys, text)
+    b = blocks(structure(tokenize(views, by_view, text), by_view, skeleton=True, clamp=True), by_view)
+    f = b.filter(F.col("kind") == "function").groupBy(*keys, "fstart", "en").agg(F.min(F.struct("view", "name")).alias("_first"))
+    w = Window.partitionBy(*keys).orderBy("fstart", "en")
     return f.select(
         *keys,
         (F.row_number().over(w) - 1).alias("func_index"),
         F.col("fstart").alias("st"),
         F.col("en"),
-        F.col("name").alias("func_name"),
+        F.col("_first.name").alias("func_name"),
     )
 
 

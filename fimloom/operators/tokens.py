@@ -50,13 +50,17 @@ C_KEYWORDS = (
     "volatile", "while", "_Bool", "_Complex", "_Imaginary",
 )
 HEADER_KEYWORDS = ("if", "for", "while", "switch")
+# Keywords before a name that are no type.
+NO_TYPES = ("break", "case", "continue", "default", "do", "else", "for", "goto", "if", "return", "sizeof", "switch", "while")
 SKELETON_TOKENS = ("{", "}", "(", ")", ";", "case", "default")
 # Keywords that start a type name, and keywords after which '(' may open a cast.
 TYPE_KEYWORDS = ("char", "const", "double", "enum", "float", "int", "long", "short", "signed", "struct",
                  "union", "unsigned", "void", "volatile", "_Bool", "_Complex")
 CAST_BEFORE_OK = ("return", "case", "else", "do")
-# What stands before a name without naming, and paren groups that name no function.
+# What stands before a name without naming, what opens a type's body, and paren groups that name
+# no function.
 QUALIFIERS = ("const", "volatile", "restrict")
+TAG_KEYWORDS = ("struct", "union", "enum")
 ATTRIBUTES = ("__attribute__", "__attribute", "__declspec", "__asm__", "__asm", "asm", "_Alignas", "alignas")
 STRUCTURAL_KINDS = ("id", "num", "op", "str", "chr", "pp")
 
@@ -144,9 +148,13 @@ def structure(tokens: DataFrame, keys: list[str], skeleton: bool = False, clamp:
     after the first pass (enough for ``blocks``; not for statement or expression spans).  ``clamp=True``
     (whole files) keeps brace depth from going negative; function texts are balanced and skip it.
 
+    An item outside all braces ends with ``;``, with a ``}`` that closes no type body or initialiser (a declarator may
+    follow those), or at a preprocessor line, unless that stands between a ``)`` and its ``{``.
+
     Columns added: prev_tok, prev_kind, prev2_tok, depth (enclosing braces), pdepth, hdr / hdr_kind /
     hdr2 (on ``)``: the token before its matching ``(``, and the last one before that which is no
-    qualifier), head (outside all braces: the last paren group that may be a function's),
+    qualifier), head (outside all braces: the last paren group that may be a function's), sig (the last token
+    before, and its place, preprocessor lines left out), nstart (first token start of the current statement),
     close_en / close_nb (on ``{``: end and line breaks of the matching ``}``), fstart (first
     token start of the current top-level item), phdr / phdr_kind / phdr2 (on ``{`` after ``)``: the
     ``hdr`` of that ``)``).
@@ -165,6 +173,8 @@ def structure(tokens: DataFrame, keys: list[str], skeleton: bool = False, clamp:
         F.lag("tok", 2).over(seq).alias("prev2_tok"),
         F.last(F.when(~tok.isin(*QUALIFIERS), tok), ignorenulls=True).over(seq.rowsBetween(Window.unboundedPreceding, -2)).alias("_real2"),
         F.lead("tok", 1).over(seq).alias("next_tok"),
+        F.last(F.when((F.col("kind") != "pp") | tok.endswith("{"), F.struct("tok", "pos")), ignorenulls=True).over(
+            seq.rowsBetween(Window.unboundedPreceding, -1)).alias("sig"),
         F.sum(bdelta).over(run).alias("_bd"),
         F.sum(pdelta).over(run).alias("_pd"),
     )
@@ -174,9 +184,11 @@ def structure(tokens: DataFrame, keys: list[str], skeleton: bool = False, clamp:
     # paren (as in hand-edited or macro-heavy code) cannot derail the rest of the file.
     # (one window operator for both)
     extra = [F.min("_bd").over(run).alias("_bdmin")] if clamp else []
+    fresh = F.col("prev_tok").isNull() | F.col("prev_tok").isin(";", "{", "}") | (F.col("prev_kind") == "pp")
     s = s.select(
         "*", *extra,
         F.coalesce(F.last(F.when(tok.isin("{", "}"), F.col("_pd")), ignorenulls=True).over(run), F.lit(0)).alias("_pd0"),
+        F.last(F.when(fresh, F.col("st")), ignorenulls=True).over(run).alias("nstart"),
     )
     if clamp:
         s = s.withColumn("_bd", F.col("_bd") - F.least(F.lit(0), F.col("_bdmin"))).drop("_bdmin")
@@ -184,8 +196,13 @@ def structure(tokens: DataFrame, keys: list[str], skeleton: bool = False, clamp:
          .withColumn("pdepth", F.when(tok == "(", F.col("_pd") - 1).otherwise(F.col("_pd")) - F.col("_pd0")) \
          .drop("_bd", "_pd", "_pd0")
     # top-level item starts: first token after a depth-0 ';' / '}' or a preprocessor line
-    is_bnd = ((tok.isin(";", "}")) & (F.col("depth") == 0)) | (F.col("kind") == "pp")
-    s = s.withColumn("_is_start", F.coalesce(F.lag(is_bnd, 1).over(seq), F.lit(True)) & (F.col("kind") != "pp"))
+    of_type = (F.col("prev_tok").isin(*TAG_KEYWORDS, "=")
+               | ((F.col("prev_kind") == "id") & F.coalesce(F.col("prev2_tok").isin(*TAG_KEYWORDS), F.lit(False))))
+    s = s.withColumn("_typed", F.last(F.when((tok == "{") & (F.col("depth") == 0), of_type), ignorenulls=True).over(run))
+    is_bnd = ((F.col("depth") == 0) & ((tok == ";") | ((tok == "}") & ~F.coalesce("_typed", F.lit(False))))) | (F.col("kind") == "pp")
+    body = (tok == "{") & (F.col("prev_kind") == "pp") & (F.col("sig.tok") == ")")
+    s = s.withColumn("_is_start", F.coalesce(F.lag(is_bnd, 1).over(seq), F.lit(True)) & (F.col("kind") != "pp")
+                     & ~F.coalesce(body, F.lit(False))).drop("_typed")
     if skeleton:
         # block detection needs only these rows (each already carries its neighbours from the full
         # pass above): the remaining windows sort a fraction of the tokens
@@ -227,27 +244,35 @@ def structure(tokens: DataFrame, keys: list[str], skeleton: bool = False, clamp:
         "*",
         F.when(closed, F.lead("st", 1).over(br) + 1).alias("close_en"),
         F.when(closed, F.lead("nb", 1).over(br)).alias("close_nb"),
-        F.last(F.when(named, F.struct("hdr", "hdr2", "fstart", F.col("next_tok").alias("nxt"))), ignorenulls=True).over(
+        F.last(F.when(named, F.struct("pos", "hdr", "hdr2", "fstart", F.col("next_tok").alias("nxt"))), ignorenulls=True).over(
             br.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("head"),
         F.when(after_paren, F.lag("hdr", 1).over(br)).alias("phdr"),
         F.when(after_paren, F.lag("hdr_kind", 1).over(br)).alias("phdr_kind"),
         F.when(after_paren, F.lag("hdr2", 1).over(br)).alias("phdr2"),
     )
-    return s.drop("next_tok", "_real2")
+    return s.drop("next_tok", "_real2") if skeleton else s.drop("next_tok", "_real2", "sig", "nstart")
 
 
 def head_kind() -> Column:
-    """How a ``{`` outside all braces follows its function's paren group, if not directly: "late" (attributes
-    or macros between) or "old" (parameter declarations between); null if it does not."""
+    """How a ``{`` outside all braces follows its function's paren group, if not directly: "late" (attributes,
+    macros or preprocessor lines between) or "old" (parameter declarations between); null if it does not."""
     prev, head = F.col("prev_tok"), F.col("head")
+    lines = (F.col("prev_kind") == "pp") & (F.col("sig.tok") == ")") & (F.col("sig.pos") == head["pos"])
     macro = ((F.col("prev_kind") == "id") & ~prev.isin(*C_KEYWORDS)
-             & ~F.coalesce(F.col("prev2_tok").isin("struct", "union", "enum"), F.lit(False)))
+             & ~F.coalesce(F.col("prev2_tok").isin(*TAG_KEYWORDS), F.lit(False)))
     late = ((prev == ")") & F.col("phdr").isin(*ATTRIBUTES)) | macro
     return F.when((F.col("depth") == 0) & head.isNotNull(),
-                  F.when(late & (head["fstart"] == F.col("fstart")), "late")
+                  F.when((late | lines) & (head["fstart"] == F.col("fstart")), "late")
                   .when((prev == ";") & head["nxt"].rlike("^[A-Za-z_]"), "old"))
 
 
+def typed_head() -> Column:
+    """Inside braces: whether the name before a ``{``'s paren group follows a type, as in a nested definition
+    (the use of a macro begins its statement)."""
+    before = F.col("phdr2")
+    return F.coalesce(before.rlike("^[A-Za-z_]") & ~before.isin(*NO_TYPES) | (before == "*"), F.lit(False))
+
+
 def block_kind() -> Column:
     """Kind of a ``{`` from the token before it (see README, 'blocks')."""
     prev = F.col("prev_tok")
@@ -256,7 +281,7 @@ def block_kind() -> Column:
     named = (F.col("phdr_kind") == "id") & ~phdr.isin(*C_KEYWORDS) & ~((depth == 0) & phdr.isin(*ATTRIBUTES))
     after_paren = (
         F.when(phdr.isin(*HEADER_KEYWORDS), phdr)
-        .when(named, F.when(depth == 0, "function").otherwise("macro"))
+        .when(named, F.when((depth == 0) | typed_head(), "function").otherwise("macro"))
         .when((depth == 0) & (phdr == ")"), "function")
         .otherwise("other")
     )
@@ -281,8 +306,8 @@ def blocks(structured: DataFrame, keys: list[str]) -> DataFrame:
     by_head = (tok == "{") & head_kind().isNotNull()
     s = s.withColumn("phdr_kind", F.when(by_head, "id").otherwise(F.col("phdr_kind")))
     s = s.withColumn("phdr2", F.when(by_head, F.col("head.hdr2")).otherwise(F.col("phdr2")))
-    s = s.withColumn("fstart", F.when(by_head, F.col("head.fstart")).otherwise(F.col("fstart")))
-    s = s.withColumn("phdr", F.when(by_head, F.col("head.hdr")).otherwise(F.col("phdr"))).drop("head")
+    s = s.withColumn("fstart", F.when(by_head, F.col("head.fstart")).when(F.col("depth") > 0, F.col("nstart")).otherwise(F.col("fstart")))
+    s = s.withColumn("phdr", F.when(by_head, F.col("head.hdr")).otherwise(F.col("phdr"))).drop("head", "sig", "nstart")
     s = s.filter(((tok == "{") & (F.col("bkind") != "other")) | tok.isin("case", "default"))
     # parent lookup: each '{' is an entry for its own level (depth+1) and a probe for its container
     # level (depth); case labels are entries of the level they sit in.  One window, no join, no shuffle.

@@ -7,7 +7,7 @@ written against DuckDB's dialect: RE2 regexes (no possessive loops), 1-based lis
 from __future__ import annotations
 
 from .functions.draws import DEFAULT_SEED
-from .sources.corpus import DIRS, FILE_HEAD, FILE_TAIL, N_TEMPLATES, RET_TYPES, STATEMENTS, split_template
+from .sources.corpus import DIRS, FILE_HEAD, FILE_TAIL, FORMS, N_TEMPLATES, RET_TYPES, STATEMENTS, split_template
 
 # The token pattern of ``operators.tokens.TOKEN_RX`` in RE2 syntax.
 TOKEN_RX_RE2 = (
@@ -85,7 +85,8 @@ def corpus_cte() -> str:
     return f"""corpus AS (
   SELECT '/corpus/' || source || '/' || {dirs} || '/doc_' || CAST(doc_id AS VARCHAR) || {ext} AS file_path,
          doc_id,
-         {_render(FILE_HEAD, vals)} || {body} || {_render(FILE_TAIL, vals)} AS text
+         {_render(FILE_HEAD, vals)} || {body} || {_render(FILE_TAIL, vals)}
+           || [{', '.join(_render(t, vals) for t in FORMS)}][doc_id % {len(FORMS)} + 1] AS text
   FROM documents
 )"""
 
@@ -159,9 +160,38 @@ def comments_cte(name: str, toks: str, keys: list[str]) -> str:
 
 
 QUALIFIERS_SQL = "('const', 'volatile', 'restrict')"
+TAGS_SQL = "('struct', 'union', 'enum')"
+NO_TYPES_SQL = "('break', 'case', 'continue', 'default', 'do', 'else', 'for', 'goto', 'if', 'return', 'sizeof', 'switch', 'while')"
 ATTRIBUTES_SQL = "('__attribute__', '__attribute', '__declspec', '__asm__', '__asm', 'asm', '_Alignas', 'alignas')"
 
 
+def views_cte(name: str, toks: str, keys: list[str], inside: bool = False) -> str:
+    """Tokens per view: without those of the branches that a view does not take of an unbalanced group."""
+    k = ", ".join(keys)
+    cond = f"""CASE WHEN kind <> 'pp' THEN NULL WHEN regexp_matches(tok, '^#[ \\t]*(if|ifdef|ifndef)([^A-Za-z0-9_]|$)') THEN 'if'
+       WHEN regexp_matches(tok, '^#[ \\t]*(elif|elifdef|elifndef|else)([^A-Za-z0-9_]|$)') THEN 'el'
+       WHEN regexp_matches(tok, '^#[ \\t]*endif([^A-Za-z0-9_]|$)') THEN 'endif' END"""
+    first = f"SELECT DISTINCT {k}, -1 AS pos, 'if' AS cond, 0 AS delta FROM {toks} UNION ALL " if inside else ""
+    return f"""{name}_c AS (SELECT *, {cond} AS cond FROM {toks}),
+{name}_e AS ({first}SELECT {k}, pos, cond, CASE WHEN tok = '{{' THEN 1 WHEN tok = '}}' THEN -1 ELSE 0 END AS delta FROM {name}_c),
+{name}_l AS (SELECT *, sum(delta) OVER w AS s, sum(CASE cond WHEN 'if' THEN 1 WHEN 'endif' THEN -1 ELSE 0 END) OVER w + CASE WHEN cond = 'endif' THEN 1 ELSE 0 END AS level
+  FROM {name}_e WINDOW w AS (PARTITION BY {k} ORDER BY pos)),
+{name}_d AS (SELECT *, count(*) FILTER (cond = 'if') OVER (PARTITION BY {k}, level ORDER BY pos) AS grp,
+                    lead(s) OVER (PARTITION BY {k}, level ORDER BY pos) - s AS net FROM {name}_l WHERE cond IS NOT NULL),
+{name}_g AS (SELECT *, row_number() OVER w - 1 AS nth, lead(pos) OVER w AS until FROM {name}_d WHERE grp > 0 WINDOW w AS (PARTITION BY {k}, level, grp ORDER BY pos)),
+{name}_o AS (SELECT {k}, level, grp, count(*) FILTER (cond <> 'endif') AS n FROM {name}_g GROUP BY ALL
+  HAVING count(*) FILTER (cond <> 'endif') > 1 AND max(abs(net)) FILTER (cond <> 'endif') > 0),
+{name}_b AS (SELECT {k}, grp, level, g.pos AS lo, g.nth, coalesce(g.until, 9223372036854775807) AS hi FROM {name}_g g JOIN {name}_o USING ({k}, level, grp)
+  WHERE g.cond <> 'endif'),
+{name}_w AS (SELECT {", ".join("e." + c for c in keys)}, e.lo, any_value(e.nth) AS nth, any_value(e.hi) AS hi, list(a.nth ORDER BY a.lo) AS path
+  FROM {name}_b e JOIN {name}_b a ON {" AND ".join(f"a.{c} = e.{c}" for c in keys)} AND a.lo <= e.lo AND e.lo < a.hi GROUP BY {", ".join("e." + c for c in keys)}, e.lo),
+{name}_u AS (SELECT DISTINCT {k}, path FROM {name}_w WHERE nth > 0 UNION SELECT DISTINCT {k}, []::BIGINT[] FROM {name}_w),
+{name}_v AS (SELECT {k}, path, row_number() OVER (PARTITION BY {k} ORDER BY path) - 1 AS view FROM {name}_u),
+{name}_x AS (SELECT {k}, view, w.lo, w.hi FROM {name}_w w JOIN {name}_v v USING ({k}) WHERE w.nth <> coalesce(v.path[len(w.path)], 0)),
+{name} AS (SELECT {", ".join("t." + c for c in keys)}, coalesce(v.view, 0) AS view, t.pos, t.tok, t.kind, t.st, t.nb, t.en FROM {name}_c t LEFT JOIN {name}_v v USING ({k})
+  WHERE t.cond IS NOT NULL OR NOT EXISTS (SELECT 1 FROM {name}_x x WHERE {" AND ".join(f"x.{c} = t.{c}" for c in keys)} AND x.view = v.view AND t.pos > x.lo AND t.pos < x.hi))"""
+
+
 def structure_cte(name: str, toks: str, keys: list[str], clamp: bool = False) -> str:
     k = ", ".join(keys)
     bd_expr = (f"bd_raw - least(0, min(bd_raw) OVER (PARTITION BY {k} ORDER BY pos "
@@ -171,7 +201,9 @@ def structure_cte(name: str, toks: str, keys: list[str], clamp: bool = False) ->
     lag(tok, 1) OVER w AS prev_tok, lag(kind, 1) OVER w AS prev_kind, lag(tok, 2) OVER w AS prev2_tok,
     last_value(CASE WHEN tok NOT IN {QUALIFIERS_SQL} THEN tok END IGNORE NULLS)
       OVER (PARTITION BY {k} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) AS real2,
-    lead(tok, 1) OVER w AS next_tok
+    lead(tok, 1) OVER w AS next_tok,
+    last_value(CASE WHEN kind <> 'pp' OR ends_with(tok, '{{') THEN {{'tok': tok, 'pos': pos}} END IGNORE NULLS)
+      OVER (PARTITION BY {k} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS sig
   FROM {toks} WHERE kind IN ('id', 'num', 'op', 'str', 'chr', 'pp')
   WINDOW w AS (PARTITION BY {k} ORDER BY pos)
 ),
@@ -193,10 +225,17 @@ def structure_cte(name: str, toks: str, keys: list[str], clamp: bool = False) ->
                            OVER (PARTITION BY {k} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS pdepth
   FROM {name}_a2
 ),
-{name}_c AS (
-  SELECT *, coalesce(lag((tok IN (';', '}}') AND depth = 0) OR kind = 'pp', 1) OVER (PARTITION BY {k} ORDER BY pos), true)
-            AND kind <> 'pp' AS is_start
+{name}_b2 AS (
+  SELECT *, last_value(CASE WHEN prev_tok IS NULL OR prev_tok IN (';', '{{', '}}') OR prev_kind = 'pp' THEN st END IGNORE NULLS) OVER wr AS nstart,
+         last_value(CASE WHEN tok = '{{' AND depth = 0 THEN coalesce(prev_tok IN {TAGS_SQL} OR prev_tok = '='
+                           OR (prev_kind = 'id' AND prev2_tok IN {TAGS_SQL}), false) END IGNORE NULLS) OVER wr AS typed
   FROM {name}_b
+  WINDOW wr AS (PARTITION BY {k} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+),
+{name}_c AS (
+  SELECT *, coalesce(lag((depth = 0 AND (tok = ';' OR tok = '}}' AND NOT coalesce(typed, false))) OR kind = 'pp', 1) OVER (PARTITION BY {k} ORDER BY pos), true)
+            AND kind <> 'pp' AND NOT coalesce(tok = '{{' AND prev_kind = 'pp' AND sig.tok = ')', false) AS is_start
+  FROM {name}_b2
 ),
 {name}_d AS (
   SELECT *, last_value(CASE WHEN is_start THEN st END IGNORE NULLS)
@@ -223,7 +262,7 @@ def structure_cte(name: str, toks: str, keys: list[str], clamp: bool = False) ->
   SELECT *,
     last_value(CASE WHEN tok = ')' AND depth = 0 AND pdepth = 0 AND hdr_kind = 'id' AND hdr NOT IN {C_KEYWORDS_SQL}
                          AND hdr NOT IN {ATTRIBUTES_SQL}
-                    THEN {{'hdr': hdr, 'hdr2': hdr2, 'fstart': fstart, 'nxt': next_tok}} END IGNORE NULLS)
+                    THEN {{'pos': pos, 'hdr': hdr, 'hdr2': hdr2, 'fstart': fstart, 'nxt': next_tok}} END IGNORE NULLS)
       OVER (PARTITION BY {k} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS head,
     CASE WHEN tok = '{{' AND lead(tok) OVER wb = '}}' THEN lead(st) OVER wb + 1 END AS close_en,
     CASE WHEN tok = '{{' AND lead(tok) OVER wb = '}}' THEN lead(nb) OVER wb END AS close_nb
@@ -241,13 +280,14 @@ def blocks_cte(name: str, struct: str, keys: list[str]) -> str:
     k = ", ".join(keys)
     hkind = f"""CASE WHEN depth = 0 AND head IS NOT NULL THEN
          CASE WHEN ((prev_tok = ')' AND phdr IN {ATTRIBUTES_SQL}) OR (prev_kind = 'id' AND prev_tok NOT IN {C_KEYWORDS_SQL}
-                       AND coalesce(prev2_tok, '') NOT IN ('struct', 'union', 'enum')))
+                       AND coalesce(prev2_tok, '') NOT IN {TAGS_SQL})
+                    OR (prev_kind = 'pp' AND sig.tok = ')' AND sig.pos = head.pos))
                    AND head.fstart = fstart THEN 'late'
               WHEN prev_tok = ';' AND regexp_matches(head.nxt, '^[A-Za-z_]') THEN 'old' END END"""
     bkind = f"""CASE WHEN hkind IS NOT NULL THEN 'function'
        WHEN prev_tok = ')' THEN
          CASE WHEN phdr IN ('if', 'for', 'while', 'switch') THEN phdr
-              WHEN phdr_kind = 'id' AND phdr NOT IN {C_KEYWORDS_SQL} AND NOT (depth = 0 AND phdr IN {ATTRIBUTES_SQL}) THEN CASE WHEN depth = 0 THEN 'function' ELSE 'macro' END
+              WHEN phdr_kind = 'id' AND phdr NOT IN {C_KEYWORDS_SQL} AND NOT (depth = 0 AND phdr IN {ATTRIBUTES_SQL}) THEN CASE WHEN depth = 0 OR regexp_matches(phdr2, '^[A-Za-z_]') AND phdr2 NOT IN {NO_TYPES_SQL} OR phdr2 = '*' THEN 'function' ELSE 'macro' END
               WHEN depth = 0 AND phdr = ')' THEN 'function'
               ELSE 'other' END
        WHEN prev_tok = 'else' THEN 'else'
@@ -258,7 +298,7 @@ def blocks_cte(name: str, struct: str, keys: list[str]) -> str:
 {name}_a AS (
   SELECT * REPLACE (CASE WHEN hkind IS NULL THEN phdr_kind ELSE 'id' END AS phdr_kind,
                     CASE WHEN hkind IS NULL THEN phdr2 ELSE head.hdr2 END AS phdr2,
-                    CASE WHEN hkind IS NULL THEN fstart ELSE head.fstart END AS fstart,
+                    CASE WHEN hkind IS NOT NULL THEN head.fstart WHEN depth > 0 THEN nstart ELSE fstart END AS fstart,
                     CASE WHEN hkind IS NULL THEN phdr ELSE head.hdr END AS phdr),
          CASE WHEN tok = '{{' AND close_en IS NOT NULL THEN {bkind} END AS bkind FROM {name}_h
 ),
@@ -287,19 +327,27 @@ def blocks_cte(name: str, struct: str, keys: list[str]) -> str:
 )"""
 
 
+def function_spans_ctes() -> list[str]:
+    """ftok -> fspan(file_path, func_index, st, en, func_name)."""
+    by_view = ["file_path", "view"]
+    return [
+        views_cte("fview", "ftok", ["file_path"]),
+        structure_cte("fsig", "fview", by_view, clamp=True),
+        blocks_cte("fblk", "fsig", by_view),
+        """fspan AS (
+  SELECT file_path, row_number() OVER (PARTITION BY file_path ORDER BY fstart, en) - 1 AS func_index, fstart AS st, en, func_name
+  FROM (SELECT file_path, fstart, en, arg_min(name, view) FILTER (name IS NOT NULL) AS func_name FROM fblk WHERE kind = 'function' GROUP BY file_path, fstart, en)
+)""",
+    ]
+
+
 def functions_ctes(source_filter: str | None = None) -> str:
     """corpus [-> ftab_in (filtered)] -> ftab(file_path, func_index, func_name, func_def)."""
     src = "ftab_in" if source_filter else "corpus"
     ctes = [corpus_cte()] + ([source_filter] if source_filter else [])
     return ",\n".join(ctes + [
         tokens_cte("ftok", src, ["file_path"]),
-        structure_cte("fsig", "ftok", ["file_path"], clamp=True),
-        blocks_cte("fblk", "fsig", ["file_path"]),
-        """fspan AS (
-  SELECT file_path, row_number() OVER (PARTITION BY file_path ORDER BY fstart) - 1 AS func_index,
-         fstart AS st, en, name AS func_name
-  FROM fblk WHERE kind = 'function' AND depth = 0
-)""",
+        *function_spans_ctes(),
         f"""ftab AS (
   SELECT s.file_path, s.func_index, s.func_name, {sl('c.text', 's.st', 's.en')} AS func_def
   FROM fspan s JOIN {src} c USING (file_path)

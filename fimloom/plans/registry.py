@@ -521,13 +521,17 @@ def _syntax_sql() -> dict[str, str]:
                        O.blocks_cte("nblk", "nsig", fk)])
     stm = ",\n".join([funcs, O.tokens_cte("ntok", "ftab", fk, "func_def"), O.structure_cte("nsig", "ntok", fk),
                       O.statements_cte("nst", "nsig", fk)])
+    whole = ",\n".join([O.corpus_cte(), O.tokens_cte("wtok", "corpus", ["file_path"]),
+                        O.structure_cte("wsig", "wtok", ["file_path"], clamp=True), O.blocks_cte("wblk", "wsig", ["file_path"])])
+    body = ",\n".join([funcs, O.tokens_cte("ntok", "ftab", fk, "func_def"), O.views_cte("vtok", "ntok", fk, inside=True),
+                       O.structure_cte("vsig", "vtok", [*fk, "view"]), O.blocks_cte("vblk", "vsig", [*fk, "view"])])
     fi = "file_path, CAST(func_index AS INTEGER) AS func_index"
     return {
         "c_tokens": O.with_(funcs, "SELECT file_path, CAST(pos AS INTEGER) AS pos, tok, kind, st, en FROM ftok"),
-        "c_blocks": O.with_(funcs, "SELECT file_path, st, en, depth, kind, parent_kind, n_lines FROM fblk"),
+        "c_blocks": O.with_(whole, "SELECT file_path, st, en, depth, kind, parent_kind, n_lines FROM wblk"),
         "nodes_function_definition": O.with_(funcs, f"SELECT {fi}, st, en, func_name FROM fspan"),
-        "nodes_function_body": O.with_(node, f"SELECT {fi}, b.st AS st, b.en AS en FROM (SELECT file_path, func_index, "
-                                             "min({'st': st, 'en': en}) AS b FROM nblk WHERE kind = 'function' AND depth = 0 "
+        "nodes_function_body": O.with_(body, f"SELECT {fi}, b.st AS st, b.en AS en FROM (SELECT file_path, func_index, "
+                                             "min({'st': st, 'en': en}) AS b FROM vblk WHERE kind = 'function' AND depth = 0 "
                                              "GROUP BY file_path, func_index)"),
         "nodes_expression_statement": O.with_(stm + ",\n" + O.exprstmt_cte("nexpr", "nst", fk), f"SELECT {fi}, st, en FROM nexpr"),
         "nodes_binary_expression": O.with_(stm + ",\n" + O.binary_cte("nbin", "nst", fk), f"SELECT {fi}, st, en, op FROM nbin"),

@@ -52,6 +52,18 @@ FILE_TAIL = I + "return x;\n}\n\nint helper_{id}(int a)\n{\n" + I + "char *s = (
             + I + "if (a > {m}) {\n" + II + "return a - 1;\n" + I + "}\n" \
             + I + "return (int)s[0] * 2 + -a;\n}\n\nstatic int tail_{id}(int v) { return v + {id}; }\n"
 
+# What follows at a file's end, by doc_id % 5: a function with two heads, a nested one beside a macro loop,
+# one that returns a type with a body, preprocessor lines before a body, and one function in two branches.
+FORMS = [
+    "\n#if LEVEL > {m}\nint cond_{id}(int a) {\n#else\nint cond_{id}(void) {\n" + I + "int a = 0;\n#endif\n" + I + "return a + {id};\n}\n"
+    + "\nint after_{id}(int a) { return a; }\n",
+    "\nint outer_{id}(int a)\n{\n" + I + "int nested_{id}(int q) { return q * 2; }\n" + I + "LIST_FOR_EACH(node, head) {\n" + II
+    + "a += nested_{id}(a);\n" + I + "}\n" + I + "return a;\n}\n",
+    "\nstruct pair_{id} { int a; int b; } make_{id}(void)\n{\n" + I + "struct pair_{id} p = {1, {m}};\n" + I + "return p;\n}\n",
+    "\nint split_{id}(int a)\n#ifdef TRACE /* {m} */\n#pragma trace\n#endif\n{\n" + I + "return a ? -a : {id};\n}\n",
+    "\n#ifdef WIDE\nlong either_{id}(void) { return 1; }\n#else\nint either_{id}(void) { return 0; }\n#endif\n",
+]
+
 
 def split_template(t: str) -> list[tuple[str, str]]:
     """Template -> [(kind, text)] with kind 'lit' or a placeholder name."""
@@ -90,7 +102,8 @@ def render_c_files(documents: DataFrame) -> DataFrame:
     ret = F.element_at(F.array(*[F.lit(r) for r in RET_TYPES]), (F.pmod(d, F.lit(3)) + 1).cast("int"))
     vals = {"id": did, "r": ret, "m": F.pmod(d, F.lit(100)).cast("string")}
     body = F.array_join(F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), stmt), "")
-    text = F.concat(_render(FILE_HEAD, vals), body, _render(FILE_TAIL, vals))
+    forms = F.element_at(F.array(*[_render(t, vals) for t in FORMS]), (F.pmod(d, F.lit(len(FORMS))) + 1).cast("int"))
+    text = F.concat(_render(FILE_HEAD, vals), body, _render(FILE_TAIL, vals), forms)
     dir_ = F.element_at(F.array(*[F.lit(x) for x in DIRS]), (F.pmod(d, F.lit(7)) + 1).cast("int"))
     ext = F.when(F.pmod(d, F.lit(11)) == 0, ".h").when(F.pmod(d, F.lit(11)) == 1, ".C").otherwise(".c")
     path = F.concat(F.lit("/corpus/"), F.col("source"), F.lit("/"), dir_, F.lit("/doc_"), did, ext)

@@ -26,6 +26,28 @@ FILES = [
     ("#define A 1 /* open \" quote {\n still { open */\nint p(void) {\n}\n", [("p", "int p(void) {")]),
     ("#define U \"http://x/*\" // note {\nint q(void) { }\n#if 0 // a \\\n { continued\nint r(void) { }\n#endif /* x */\n",
      [("q", "int q(void) { }"), ("r", "int r(void) { }")]),
+    # one head per branch, one body: both come out, and all that follows
+    ("#if A\nint f(int a) {\n#else\nint f(void) {\n#endif\n return 1;\n}\nint g(void) { }\n",
+     [("f", "int f(int a) {"), ("f", "int f(void) {"), ("g", "int g(void) { }")]),
+    ("#if A\nint f(int a) {\n#elif B\nint f(long a) {\n#elif C\nint h(void) {\n#else\nint f(void) {\n#endif\n return 1;\n}\n#ifdef D\nint g(void) { }\n#endif\n",
+     [("f", "int f(int a) {"), ("f", "int f(long a) {"), ("h", "int h(void) {"), ("f", "int f(void) {"), ("g", "int g(void) { }")]),
+    ("int f(int a)\n{\n#ifdef A\n if (a) {\n#else\n if (!a) {\n#endif\n  b();\n }\n}\nint g(void) { }\n", [("f", "int f(int a)"), ("g", "int g(void) { }")]),
+    # a group in a branch, and braces that are none
+    ("#ifdef A\n#ifdef B\nint f(int a) { // {\n#else /* { */\nint f(void) {\n#endif\n#else\nint h(char *s) { s = \"{\";\n#endif\n}\nint g(void) { }\n",
+     [("f", "int f(int a) { // {"), ("f", "int f(void) {"), ("h", "int h(char *s) { s = \"{\";"), ("g", "int g(void) { }")]),
+    # balanced groups keep all branches
+    ("#ifdef A\nint f(int a) { }\n#else\nint f(void) { }\n#endif\nint g(void) { }\n",
+     [("f", "int f(int a) { }"), ("f", "int f(void) { }"), ("g", "int g(void) { }")]),
+    ("#else\nint f(void) { }\n#endif\n#if A\nint g(void) { }\n", [("f", "int f(void) { }"), ("g", "int g(void) { }")]),
+    # nested definitions, told apart from macro loops
+    ("int f(int a)\n{\n int n(int q) { return q; }\n static char *m(void) { }\n LOOP(a) { b(); }\n x: LOOP(a) { b(); }\n else LOOP(a) { }\n}\nint g(void) { }\n",
+     [("f", "int f(int a)"), ("n", "int n(int q) { return q; }"), (None, "static char *m(void) { }"), ("g", "int g(void) { }")]),
+    # a type's body before the name, and lines between a parameter list and the body
+    ("struct s { int a; } mk(void) { }\nenum { A, B } e(void) { }\nstruct t { int a; } *p(void) { }\nstruct u { int a; };\nint g(void) { }\nint v[] = { 1 };\nint h(void) { }\n",
+     [("mk", "struct s { int a; } mk(void) { }"), ("e", "enum { A, B } e(void) { }"), (None, "struct t { int a; } *p(void) { }"),
+      ("g", "int g(void) { }"), ("h", "int h(void) { }")]),
+    ("int f(int a)\n#ifdef A\n#pragma b\n#endif\n{\n}\nDECLARE(x)\n#define C\nint g(void) { }\n#ifdef W\nint h(long a)\n#else\nint h(int a)\n#endif\n{\n}\nint i(void) { }\n",
+     [("f", "int f(int a)"), ("g", "int g(void) { }"), ("h", "int h(int a)"), ("i", "int i(void) { }")]),
     ("#define B(x) do { \\\n  /* c } */ x; \\\n } while (0)\nint s(void) { B(1); }\n", [("s", "int s(void) { B(1); }")]),
 ]
 
@@ -37,6 +59,16 @@ def test_functions(spark):
         assert got == want, FILES[i][0]
 
 
+def test_bodies_and_loops(spark):
+    """N1 in a function cut out of a group, and N8 beside a nested definition."""
+    two = "int f(int a) {\n#else\nint f(void) {\n#endif\n return 1;\n}"
+    nested = "int f(int a)\n{\n int n(int q) { return q; }\n LOOP(a) { b(); }\n { c(); }\n}"
+    rows = N.nodes_function_body(funcs_df(spark, [two, nested])).collect()
+    assert {r.func_index: (two, nested)[r.func_index][r.st:r.en] for r in rows} == {0: two[two.index("{"):], 1: nested[nested.index("{"):]}
+    loops = N.nodes_compound(funcs_df(spark, [two, nested])).collect()
+    assert sorted((r.func_index, r.kind, nested[r.st:r.en]) for r in loops) == [(1, "bare", "{ c(); }"), (1, "macro", "{ b(); }")]
+
+
 def test_a_continued_line_comment_ends_no_function(spark):
     text = FILES[9][0]
     row = function_table(files_df(spark, [("/p/a.c", text)])).filter("func_index = 0").first()

@@ -69,9 +69,7 @@ def test_function_extraction_twin(spark):
     con.execute("CREATE TABLE files (file_path VARCHAR, text VARCHAR)")
     con.executemany("INSERT INTO files VALUES (?, ?)", FILES)
     k = ["file_path"]
-    sql = chain(O.tokens_cte("ftok", "files", k), O.structure_cte("fsig", "ftok", k, clamp=True), O.blocks_cte("fblk", "fsig", k),
-                """fspan AS (SELECT file_path, row_number() OVER (PARTITION BY file_path ORDER BY fstart) - 1 AS func_index,
-                   fstart AS st, en, name AS func_name FROM fblk WHERE kind = 'function' AND depth = 0)""") + \
+    sql = chain(O.tokens_cte("ftok", "files", k), *O.function_spans_ctes()) + \
         f"\nSELECT s.file_path, s.func_index, s.func_name, {O.sl('c.text', 's.st', 's.en')} FROM fspan s JOIN files c USING (file_path)"
     got = rows(function_table(files_df(spark, FILES)), ["file_path", "func_index", "func_name", "func_def"])
     assert got == sorted(duck_rows := con.sql(sql).fetchall()) and len(duck_rows) == 5
