@@ -180,7 +180,7 @@ def q_decode_text(spark, sf_dir):
         return e.select("doc_id", decode_text(F.col("content")).alias("text"))
 
 
-# Bytes (hex) whose charset is known, by doc_id % 8; they follow the document's text in hex digits.
+# Bytes (hex) whose charset is known, by doc_id % 16; they follow the document's text in hex digits.
 ENCODED_SAMPLES = [
     ("C3A9E4B8AD", "utf-8"),            # e acute, a Chinese character
     ("", "utf-8"),
@@ -189,6 +189,14 @@ ENCODED_SAMPLES = [
     ("95328236", "gb18030"),            # four bytes: only GB18030 has it
     ("636166E920", "windows-1252"),     # "caf" and e acute
     ("FF81", None),                     # no charset of the chain has it
+    ("204DFC6C6C6572", "windows-1252"),  # Western words that are clean GBK too: "Mueller" with u umlaut
+    ("20FC626572", "windows-1252"),     # "ueber"
+    ("20E974617420", "windows-1252"),   # "etat"
+    ("206E61EF7665", "windows-1252"),   # "naive"
+    ("207365F16F72", "windows-1252"),   # "senor"
+    ("206372E9E965", "windows-1252"),   # "creee", two accents side by side
+    ("B1E4C1BF2078", "gb2312"),         # a Chinese word before a letter
+    ("D7D6B7FB814181428144", "gbk"),    # of GB2312 and of GBK's own
     ("", "utf-16"),                     # the whole file in UTF-16 with its mark
 ]
 

@@ -1,17 +1,20 @@
 """Discovery of source files: S1-S7 as Spark listing options and Column predicates.
 
-On a real tree the listing is Spark's own (``binaryFile`` with ``recursiveFileLookup``); the same
-predicates also run on any manifest of path strings (a column), which is how the registered queries
-exercise them on paths derived from the driver tables.
+On a real tree they run on the rows of a walk (``sources.tree``); the same predicates also run on any manifest
+of path strings (a column), which is how the registered queries exercise them on paths derived from the driver
+tables.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .tree import open_store, read_files, walk_files
+
 # Directories skipped by the collect step.
 DEFAULT_SKIP_DIRS = ("grpcplugin", "resource", "webplugin", "verifysuite")
 
@@ -115,52 +118,12 @@ def unskipped(files: DataFrame, encoded: Column, skip_dirs=DEFAULT_SKIP_DIRS) ->
     return files.filter(~in_skipped_dir(encoded, plain)) if plain else files
 
 
-def hidden_files(spark: SparkSession, directory: str, suffixes=(".c",), skip_dirs=DEFAULT_SKIP_DIRS) -> DataFrame | None:
-    """(file_path, content) of files that Spark's listing passes over because they, or a directory
-    above them, are named ``_..`` or ``.``; null when there are none.
-
-    The listing is Hadoop's own on the driver, as Spark's is; the bytes are read in tasks, a file at a time."""
-    jvm, context = spark.sparkContext._jvm, spark.sparkContext
-    root = jvm.org.apache.hadoop.fs.Path(directory)
-    fs = root.getFileSystem(context._jsc.hadoopConfiguration())
-    base = fs.makeQualified(root).toUri().getPath().rstrip("/")
-    found, listing = [], fs.listFiles(root, True)
-    while listing.hasNext():
-        uri = listing.next().getPath().toUri()
-        below = uri.getPath()[len(base) + 1:].split("/")
-        if any(x[0] in "_." for x in below) and below[-1].endswith(tuple(suffixes)) and not set(skip_dirs or ()) & set(uri.getPath().split("/")):
-            found.append((uri.toString(),))
-    if not found:
-        return None
-
-    def read(batches):
-        import pyarrow as pa
-        from pyarrow import fs as stores
-        for batch in batches:
-            for uri in batch.column("uri").to_pylist():
-                store, path = stores.FileSystem.from_uri(uri if not uri.startswith("file:/") else "file://" + re.sub("^file:/+", "/", uri))
-                with store.open_input_stream(path) as f:
-                    yield pa.RecordBatch.from_arrays([pa.array([uri]), pa.array([f.read()], pa.binary())], names=["uri", "content"])
-
-    few = spark.createDataFrame(found, "uri string").repartition(max(1, min(len(found), context.defaultParallelism)))
-    read_in = few.mapInArrow(read, "uri string, content binary")
-    path = F.try_url_decode(F.replace("uri", F.lit("+"), F.lit("%2B")))
-    return read_in.select(local_path(path).alias("file_path"), "content")
-
-
-def read_binary_tree(spark: SparkSession, directory: str, suffixes=(".c",), skip_dirs=DEFAULT_SKIP_DIRS) -> DataFrame:
-    """S1 / S2 / S3 on a real tree: (file_path, content).
-
-    The suffix glob prunes at listing, the skip-dir test before bytes are read (``unskipped``); the exact
-    test then runs on the decoded ``path``, which is also the path returned.  Files that Spark's listing
-    leaves out by name are added (``hidden_files``)."""
-    glob = "*" + suffixes[0] if len(suffixes) == 1 else "*.{" + ",".join(s.lstrip(".") for s in suffixes) + "}"
-    df = (spark.read.format("binaryFile")
-          .option("recursiveFileLookup", "true")
-          .option("pathGlobFilter", glob)
-          .load(directory))
-    df = unskipped(df, F.col("_metadata.file_path"), skip_dirs).select(local_path(F.col("path")).alias("file_path"), "content")
-    if skip_dirs:
-        df = df.filter(~in_skipped_dir(F.col("file_path"), skip_dirs))
-    hidden = hidden_files(spark, directory, suffixes, skip_dirs)
-    return df if hidden is None else df.unionByName(hidden)
+def read_binary_tree(spark: SparkSession, directory: str, suffixes=(".c",), skip_dirs=DEFAULT_SKIP_DIRS,
+                     store: Callable = open_store) -> DataFrame:
+    """S1 / S2 / S3 on a real tree: (file_path, content) of every file, once, whatever its name.
+
+    Listing and reading run in tasks (``sources.tree``).  The tests on suffix and directories run on the listing, before
+    any bytes are read, and a skipped directory is not listed; empty files have no text and are left out."""
+    skipped = in_skipped_dir(F.col("path"), skip_dirs)
+    files = walk_files(spark, directory, skipped if skip_dirs else None, store)
+    return read_files(files.filter(has_suffix(F.col("path"), suffixes) & (F.col("size") > 0)), store)

@@ -37,6 +37,8 @@ def tree():
     write(f"{root}/src/utf16be.c", b"\xfe\xff" + C_FUNC.format(n=15).encode("utf-16-be"))
     write(f"{root}/src/_exit.c", C_FUNC.format(n=16).encode())
     write(f"{root}/src/.x y%.c", C_FUNC.format(n=17).encode())
+    write(f"{root}/src/_k=v.c", C_FUNC.format(n=20).encode())
+    write(f"{root}/src/_p=q/.a b/z.c", C_FUNC.format(n=21).encode())
     write(f"{root}/_build/in.c", C_FUNC.format(n=18).encode())
     write(f"{root}/_build/resource/in.c", C_FUNC.format(n=19).encode())
     write(f"{root}/src/upper.C", C_FUNC.format(n=6).encode())
@@ -50,11 +52,11 @@ def tree():
 
 def test_listing_and_skip(spark, tree):
     got = sorted(os.path.relpath(r.file_path, tree) for r in S.read_binary_tree(spark, tree).collect())
-    # zero-byte files are not listed by binaryFile; the reference lists them and then drops them as empty,
-    # so the function rows are the same
+    # zero-byte files are left out; the reference lists them and then drops them as empty, so the function rows are
+    # the same
     assert got == sorted(["src/a.c", "src/bom.c", "src/gbk.c", "src/gb18030.c", "src/crlf.c",
                           "src/bad.c", "resource_x/keep.c", "odd dir/é/x y%.c", "src/latin.c", "src/utf16.c", "src/utf16be.c",
-                          "src/_exit.c", "src/.x y%.c", "_build/in.c"])
+                          "src/_exit.c", "src/.x y%.c", "_build/in.c", "src/_k=v.c", "src/_p=q/.a b/z.c"])
     both = sorted(os.path.relpath(r.file_path, tree) for r in S.read_binary_tree(spark, tree, (".c", ".h")).collect())
     assert "src/head.h" in both and "src/upper.C" not in both
 
@@ -73,11 +75,27 @@ def test_decode_chain(spark, tree):
     assert got["crlf.c"][1] == C_FUNC.format(n=5)              # \r\n -> \n
 
 
+WESTERN = ["/* M\u00fcller, \u00fcber, Stra\u00dfe */", "// l'\u00e9tat cr\u00e9\u00e9e na\u00efve", "/* se\u00f1or, ma\u00f1ana, \u00bfqu\u00e9? 20 \u00b0C */",
+           "/* \u00c4NDERUNG \u201cquoted\u201d \u2013 \u00a9 2001 Jos\u00e9 */", "int caf\u00e9; /* \u00e0 */"]
+CHINESE = ["/* \u53d8\u91cf */ int a;", "// \u4f7f\u7528CPU\u8ba1\u7b97\uff0c\u5b8c\u6210\u3002", "/* \u7e41\u9ad4\u5b57\u8a3b\u91cb \u8b8a\u91cf */", "/* a\u4e2db */"]
+
+
+def test_western_files_keep_their_letters(spark):
+    rows = [(f"w{i}", bytearray(t.encode("windows-1252"))) for i, t in enumerate(WESTERN)] + [(f"c{i}", bytearray(t.encode("gbk"))) for i, t in enumerate(CHINESE)]
+    rows.append(("g", bytearray("/* \U00020000\U00020001 */".encode("gb18030"))))
+    got = {r.file_path: r for r in decode_files(spark.createDataFrame(rows, "file_path string, content binary")).collect()}
+    for i, t in enumerate(WESTERN):
+        assert (got[f"w{i}"].encoding, got[f"w{i}"].text) == ("windows-1252", t)
+    for i, t in enumerate(CHINESE):
+        assert got[f"c{i}"].encoding in ("gb2312", "gbk") and got[f"c{i}"].text == t
+    assert (got["g"].encoding, got["g"].text) == ("gb18030", "/* \U00020000\U00020001 */")
+
+
 def test_collect_functions_end_to_end(spark, tree):
     out = tempfile.mkdtemp(prefix="fimloom-out-") + "/funcs"
     funcs = collect_functions(spark, tree, out)
     names = sorted(r.func_name for r in funcs.collect())
-    assert names == sorted(f"f_{n}" for n in (1, 2, 3, 4, 5, 9, 11, 13, 14, 15, 16, 17, 18))
+    assert names == sorted(f"f_{n}" for n in (1, 2, 3, 4, 5, 9, 11, 13, 14, 15, 16, 17, 18, 20, 21))
     assert any(r.file_path.endswith("/odd dir/é/x y%.c") for r in funcs.collect())
     back = read_jsonl(spark, out, FUNC_SCHEMA)
     assert sorted(r.func_name for r in back.collect()) == names
@@ -169,7 +187,7 @@ def test_command_line(spark, tree):
     from fimloom.__main__ import main
     base = tempfile.mkdtemp(prefix="fimloom-cli-")
     main(["--collect_funcs", tree, f"{base}/funcs", "--function_process", f"{base}/funcs", "3", f"{base}/fim"])
-    assert read_jsonl(spark, f"{base}/funcs").count() == 13
+    assert read_jsonl(spark, f"{base}/funcs").count() == 15
     assert spark.read.json(f"{base}/fim").count() == 3
 
 
