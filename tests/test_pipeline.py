@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from fimloom.operators.strategies import MIXTURE, fim
 from fimloom.plans import registry
+from fimloom.plans.process import random_select
 from fimloom.streaming.collect_stream import start_collect_stream
 
 CUT_FLAGS = ("RANDOM_SINGLE_LINE", "EXPRESSION_STATEMENT", "BINARY_EXPRESSION", "IF_BLOCK", "IF_BLOCK_LONG",
@@ -109,3 +110,18 @@ def test_checkpoint_dir_rules():
     assert checkpoint_dir(Sess("local[2]")).startswith("/")
     with pytest.raises(ValueError):
         checkpoint_dir(Sess("spark://master:7077"))
+
+
+def test_sample_comes_in_random_order(spark):
+    """The order depends on the rows and the seed alone, and has nothing of the input's."""
+    rows = [(f"/p/{i:04}.c", 0, f"f{i}", f"int f{i}(void) {{ return {i}; }}") for i in range(400)]
+    df = spark.createDataFrame(rows, "file_path string, func_index int, func_name string, func_def string")
+    orders = {n: [r.func_name for r in random_select(df.repartition(n), 300, seed=7).collect()] for n in (1, 8, 64)}
+    assert orders[1] == orders[8] == orders[64] and len(set(orders[1])) == 300
+    places = [int(x[1:]) for x in orders[1]]
+    ups = sum(a < b for a, b in zip(places, places[1:]))
+    assert 120 < ups < 180                                  # 149.5 on average, a deviation of 5
+    other = [r.func_name for r in random_select(df, 300, seed=8).collect()]
+    assert other != orders[1]
+    part = random_select(df, 300, seed=7)
+    assert [r.func_name for r in spark.createDataFrame(part.rdd, part.schema).collect()] == orders[1]
