@@ -2,7 +2,7 @@
 
 The n-grams (one to three bytes of the UTF-8 text, ASCII lower case) are hashed to ``bins`` bins.
 Training counts bins per language in Spark; the log-probability matrix (bins x languages, bounded by
-``bins`` and ``max_languages``) is broadcast, and numpy scores whole batches by gathering its rows.
+``bins`` and ``max_languages``: with more languages training is refused) is broadcast, and numpy scores whole batches by gathering its rows.
 
 Cases: a null text and one without a letter are "und" with score 0; null languages are not learned and
 rows with a null id are scored as held in; repeated rows are each scored; without any training row all
@@ -22,8 +22,10 @@ from .common import crc_mod, named, text_slices, with_worker_path
 
 BINS = 1 << 16
 ORDERS = (1, 2, 3)
-#: Bound of the training sample (characters over all languages) and of the languages learned.
-TRAIN_CHARS, MAX_LANGUAGES = 50_000_000, 64
+#: Bound of the training sample (characters over all languages) and of the languages (of the matrix: more are an error).
+TRAIN_CHARS, MAX_LANGUAGES = 50_000_000, 256
+#: Bytes scored at once: a longer text is summed up by chunks.
+CHUNK = 1 << 20
 UNKNOWN = "und"
 # Odd 32-bit multipliers, one per n-gram length.
 MIX = (2654435761, 2246822519, 3266489917)
@@ -42,11 +44,29 @@ def grams(raw: np.ndarray, starts: np.ndarray, bins: int = BINS) -> list[np.ndar
             code = code[:-1] << np.uint32(8) | raw[n - 1:]
         found = (code * np.uint32(mix) ^ np.uint32(n * 0x9E3779B9 & 0xFFFFFFFF)) * np.uint32(MIX[0]) >> shift
         for k in range(1, n):
-            found[starts[1:] - k] = bins
+            at = starts[1:] - k
+            found[at[(at >= 0) & (at < len(found))]] = bins
         out.append(found)
     return out
 
 
+def summed(raw: np.ndarray, starts: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Sum of the rows of ``table`` (the last is zero) over the n-grams of each text, by chunks of bytes."""
+    out = np.zeros((len(starts), table.shape[1]))
+    reach = max(ORDERS) - 1
+    for low in range(0, len(raw), CHUNK):
+        high = min(len(raw), low + CHUNK)
+        near = starts[(starts > low) & (starts <= high + reach)] - low
+        total = np.zeros((high - low, table.shape[1]), dtype=np.float32)
+        for g in grams(raw[low:high + reach], np.concatenate([[0], near]), len(table) - 1):
+            g = g[:high - low]
+            total[:len(g)] += table[g]
+        first = np.searchsorted(starts, low, "right") - 1
+        cuts = np.concatenate([[0], near[near < high - low]])
+        out[first:first + len(cuts)] += np.add.reduceat(total, cuts, axis=0, dtype=np.float64)
+    return out
+
+
 def joined(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Lower-case bytes of all texts, each between blanks, and where each begins."""
     raw = [b" " + (t or "").encode().lower() + b"  " for t in texts]
@@ -58,16 +78,19 @@ def train(docs: DataFrame, lang: Column, text_col: str = "text", bins: int = BIN
           max_languages: int = MAX_LANGUAGES, smoothing: float = 0.5) -> tuple[list[str], np.ndarray]:
     """Languages and their log-probability matrix (bins x languages) from a sample bounded by ``train_chars``."""
     with_worker_path(docs.sparkSession)
-    rows = docs.select(lang.alias("lang"), docs[text_col].alias("text")).where("lang is not null and text is not null")
+    rows = docs.select(lang.alias("lang"), docs[text_col].alias("text"), F.monotonically_increasing_id().alias("place")).where("lang is not null and text is not null")
     totals = rows.groupBy("lang").agg(F.sum(F.length("text")).alias("n"), F.count("*").alias("rows")).orderBy(
-        F.desc("rows"), "lang").limit(max_languages).collect()
+        F.desc("rows"), "lang").limit(max_languages + 1).collect()
+    if len(totals) > max_languages:
+        raise ValueError(f"more than {max_languages} languages: the matrix is bounded, raise max_languages to learn them")
     langs = sorted(r["lang"] for r in totals if r["n"])
     if not langs:
         return [], np.zeros((bins, 0), dtype=np.float32)
-    # each language gives an equal share of the characters; rows are chosen by a hash of their text
+    # each language gives an equal share of the characters; rows are chosen by a hash of their text and place, so
+    # that a text which occurs often comes into the sample in its proportion
     share = {r["lang"]: min(1.0, train_chars / len(langs) / max(1, r["n"])) for r in totals}
     part = F.element_at(F.create_map(*[F.lit(x) for kv in share.items() for x in kv]), F.col("lang"))
-    sample = rows.where(F.col("lang").isin(langs)).where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < part * (1 << 20))
+    sample = rows.where(F.col("lang").isin(langs)).where(F.pmod(F.xxhash64("text", "place"), F.lit(1 << 20)) < part * (1 << 20))
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros((len(langs), bins + 1), dtype=np.int64)
@@ -98,7 +121,6 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
     spark = docs.sparkSession
     with_worker_path(spark)
     langs, matrix = model
-    bins = len(matrix)
     shared = spark.sparkContext.broadcast(np.concatenate([matrix, np.zeros((1, len(langs)), dtype=np.float32)]))
     carry = carry or []
     # private names: the input's own may clash
@@ -112,10 +134,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
             best, score = np.zeros(len(texts), dtype=np.int64), np.zeros(len(texts))
             if langs:
                 raw, starts = joined(texts)
-                total = np.zeros((len(raw), len(langs)), dtype=np.float32)
-                for g in grams(raw, starts, bins):
-                    total[:len(g)] += table[g]
-                sums = np.add.reduceat(total, starts, axis=0, dtype=np.float64)
+                sums = summed(raw, starts, table)
                 mean = sums / np.diff(np.append(starts, len(raw)))[:, None]
                 best = sums.argmax(axis=1)
                 score = 1 / np.exp(4 * (mean - mean.max(axis=1, keepdims=True))).sum(axis=1)

@@ -6,6 +6,7 @@ import re
 from collections import Counter
 from urllib.parse import urlsplit
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -189,6 +190,37 @@ def test_kept_documents_have_their_columns(spark, odd):
 
 # ---------------------------------------------------------------- language ID
 
+def test_long_texts_are_scored_by_chunks(monkeypatch):
+    rng = np.random.default_rng(1)
+    table = np.concatenate([rng.random((256, 3)), np.zeros((1, 3))]).astype(np.float32)
+    texts = ["", "a", "ab", None, "grüße " * 40, "x" * 500, "é", "word and word"]
+    raw, starts = langid.joined(texts)
+    whole = langid.summed(raw, starts, table)
+    for i, t in enumerate(texts):
+        assert np.allclose(whole[i], sum(table[b].astype(float) for b in brute_bins(t or "", 256)))
+    for chunk in (1, 2, 7, 100):
+        monkeypatch.setattr(langid, "CHUNK", chunk)
+        assert np.allclose(langid.summed(raw, starts, table), whole)
+
+
+def test_memory_of_a_long_text_does_not_grow_with_the_languages():
+    """8 MB (shorter than real giants, to keep the test short): chunks of the score, not all of it."""
+    import tracemalloc
+    table = np.zeros((257, 64), dtype=np.float32)
+    raw, starts = langid.joined(["some words of a text " * 400_000])
+    tracemalloc.start()
+    langid.summed(raw, starts, table)
+    assert tracemalloc.get_traced_memory()[1] < 900_000_000 and len(raw) * 64 * 4 > 2_000_000_000
+    tracemalloc.stop()
+
+
+def test_more_languages_than_the_matrix_holds(spark):
+    df = spark.range(70).select(F.concat(F.lit("l"), F.col("id").cast("string")).alias("lang"), F.lit("some text").alias("text"))
+    assert len(langid.train(df, df["lang"], bins=256)[0]) == 70
+    with pytest.raises(ValueError):
+        langid.train(df, df["lang"], bins=256, max_languages=69)
+
+
 def test_language_model_equals_brute_force(odd, odd_rows):
     langs, matrix = langid.train(odd, odd["lang"], bins=256)
     assert langs == ["de", "en"]
