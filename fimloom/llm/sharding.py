@@ -6,7 +6,9 @@ only into itself, and shards get keys in proportion to their weights.  All by Sp
 
 Slots number a shard's rows without gaps: rows are numbered inside buckets of the shard (a hash of the
 whole row's key and content, so a repeated key is split), and a bucket starts where those before it end.
-Only the bounded table of shards x buckets is summed in one place.
+Rows equal in key and content share a bucket; they are split by a written row number modulo ``SALTS``, counted with
+partial aggregation, and numbered apart, so no task sorts a hot group.  Only the bounded table of shards x buckets
+is summed in one place.
 
 Cases: a null key is a key of its own; a null text has size 1; repeated rows share a bucket and are
 numbered in any order among themselves (they are equal); an empty table gives no rows; other columns
@@ -18,8 +20,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: Buckets of a shard for slot numbers: rows of a shard / BUCKETS are sorted together.
 BUCKETS = 1024
+#: Parts of the rows that are equal in key and content.
+SALTS = 256
 
 
 def unit_hash(*parts: Column) -> Column:
@@ -48,12 +54,21 @@ def shard(docs: DataFrame, weights: list[float], grown: list[float] | None = Non
                        (shard_of(key, grown) if grown else F.lit(None).cast("int")).alias("grown_shard"))
     rows = rows.withColumn("bucket", F.floor(unit_hash(F.coalesce(F.col("id").cast("string"), F.lit("null")),
                                                        F.col("text_crc32").cast("string")) * buckets).cast("int"))
-    counts = rows.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
+    rows = written(rows.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))), "shards")
+    equal = ["shard", "bucket", "id", "text_crc32", "size", "salt"]
+    groups = rows.groupBy(*equal).agg(F.count("*").alias("n"))
+    per_bucket = groups.groupBy("shard", "bucket").agg(F.sum("n").alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(F.col("shard").alias("s"), F.col("bucket").alias("b"),
-                           F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("shard", "bucket").orderBy("id", "text_crc32", "size")
-    numbered = rows.withColumn("rank", F.row_number().over(inside) - 1)
-    return numbered.join(starts, (F.col("shard") == F.col("s")) & (F.col("bucket") == F.col("b"))).select(
+    starts = per_bucket.select(F.col("shard").alias("s"), F.col("bucket").alias("b"),
+                            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    # one row per group of equal rows and salt: where it starts in its bucket
+    inside = Window.partitionBy("shard", "bucket").orderBy(*equal[2:])
+    ahead = groups.withColumn("ahead", F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n"))
+    first = ahead.join(starts, (F.col("shard") == F.col("s")) & (F.col("bucket") == F.col("b"))).select(
+        *[F.col(c).alias(f"_{c}") for c in equal], (F.col("start") + F.col("ahead")).alias("start"))
+    numbered = rows.withColumn("rank", F.row_number().over(Window.partitionBy(*equal).orderBy(F.lit(0))) - 1)
+    placed = numbered.join(first, (F.col("id").eqNullSafe(F.col("_id"))) & (F.col("shard") == F.col("_shard")) & (F.col("bucket") == F.col("_bucket"))
+                           & (F.col("text_crc32") == F.col("_text_crc32")) & (F.col("size") == F.col("_size")) & (F.col("salt") == F.col("_salt")))
+    return placed.select(
         F.col("id").alias(id_col), "size", "text_crc32", F.lit("key").alias("law"), "shard",
         (F.col("start") + F.col("rank")).cast("bigint").alias("slot"), "grown_shard")
