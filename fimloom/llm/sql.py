@@ -116,10 +116,10 @@ places AS (SELECT rid, count(*) AS n, min(diagonal) AS first_word, max(diagonal)
            FROM votes WHERE base AND votes = pairs GROUP BY rid),
 strong AS (SELECT *, diagonal - lag(diagonal) OVER (PARTITION BY rid, template ORDER BY diagonal) AS gap
            FROM votes WHERE NOT base AND votes >= least(pairs, {LEAST_VOTES})),
-spans AS (SELECT rid, template, label, pairs, bit_count(bit_or(covers)) / pairs AS share, min(low) AS low, max(high) AS high
+spans AS (SELECT rid, template, label, pairs, max(bit_count(covers)) / pairs AS alone, bit_count(bit_or(covers)) / pairs AS share, min(low) AS low, max(high) AS high
           FROM (SELECT *, sum(CASE WHEN gap <= {NEIGHBOUR} THEN 0 ELSE 1 END) OVER (PARTITION BY rid, template ORDER BY diagonal) AS span FROM strong)
           GROUP BY rid, template, label, pairs, span),
-found AS (SELECT rid, max(share) AS share, list(DISTINCT label) FILTER (share >= {COVERED} AND high - low + 1 <= ceil(pairs * {STRETCH})) AS labels
+found AS (SELECT rid, max(share) AS share, list(DISTINCT label) FILTER (alone >= {COVERED} OR share >= {COVERED} AND high - low + 1 <= ceil(pairs * {STRETCH})) AS labels
           FROM spans GROUP BY rid)
 SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_base, first_word, last_word,
        array_to_string(list_sort(coalesce(p.labels, [])), ',') AS base_labels,

@@ -69,6 +69,21 @@ def test_templates_that_repeat_close_together(spark):
     assert {r["doc_id"]: (r["labels"], r["score"]) for r in got} == {i: (x, 1.0) for i, x in enumerate(texts.values())}
 
 
+def test_sql_finds_templates_that_repeat_close_together(spark, tmp_path):
+    import duckdb
+
+    from fimloom.llm import sql
+    texts = ["BSD License / BSD License", "Mozilla Public License (Mozilla Public License)", "CC BY-SA, CC BY-SA", "CC BY-NC, CC BY-NC", None, "", *TEXTS]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got = license_scan.scan(df)
+    want = con.sql(f"SELECT {', '.join(got.columns)} FROM ({sql.license_scan()})").fetchall()
+    norm = lambda rows: sorted([(*x[:-1], round(x[-1], 9)) for x in map(tuple, rows)])
+    assert norm(got.collect()) == norm(want)
+
+
 def test_license_words_only_run_together_in_order(spark):
     whole = license_scan.TEMPLATES["bsd"][0]
     turned = " ".join(reversed(whole.split()))
@@ -107,6 +122,25 @@ def test_shards_follow_their_weights(spark):
     assert all(abs(n[s] / 20000 - w / 6) < 0.015 for s, w in enumerate(weights))
 
 
+def test_a_third_of_the_rows_are_equal(spark):
+    """A hot group of equal rows is split by salt, and its slots are still those of the whole order."""
+    same = spark.range(2000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("copy").alias("text"))
+    none = spark.range(500).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    df = spark.range(3500).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("text")).unionByName(same).unionByName(none)
+    out = sharding.shard(df.repartition(4), [1.0] * 4)
+    rows = out.collect()
+    assert len(rows) == 6000
+    by_shard = defaultdict(list)
+    for r in rows:
+        by_shard[r["shard"]].append(r)
+    for part in by_shard.values():
+        assert sorted(r["slot"] for r in part) == list(range(len(part)))
+        hot = sorted(r["slot"] for r in part if r["doc_id"] == 7 and r["size"] == 5)
+        assert not hot or hot == list(range(hot[0], hot[0] + 2000))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert all("salt" in x for x in re.findall(r"Window \[row_number[^\n]*", plan))
+
+
 def test_weights_must_be_positive(odd):
     for bad in ([], [1.0, 0.0]):
         with pytest.raises(ValueError):
