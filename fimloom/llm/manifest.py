@@ -157,8 +157,8 @@ def prove(manifest: Manifest, requests: DataFrame | None = None) -> DataFrame:
             wanted.append(below)
     subroot = roots.select("grp", F.col("digest").alias("subroot"), "height", F.col("rank").alias("top_rank"))
     if manifest.top_stores:                        # the tree of subroots: its leaves are the groups
-        frontier = roots.limit(1).select(F.lit(0).alias("grp"), F.lit(None).cast("string").alias("subroot"), F.lit(0).cast("long").alias("idx"),
-                                         F.lit(manifest.root).alias("digest"), no_segments.alias("segments"))
+        frontier = written(roots.limit(1).select(F.lit(0).alias("grp"), F.lit(None).cast("string").alias("subroot"), F.lit(0).cast("long").alias("idx"),
+                                         F.lit(manifest.root).alias("digest"), no_segments.alias("segments")), "top-root")
         for k in range(len(manifest.top_stores) - 1, -1, -1):
             rank = (F.floor(F.col("rank") / FAN ** k) if k else F.col("rank")).alias("idx")
             frontier = step(frontier, manifest.top_stores[k], roots.select(F.lit(0).alias("grp"), rank).distinct(), "top-frontier")
