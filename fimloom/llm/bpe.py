@@ -13,10 +13,12 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 import json
 import re
 from collections.abc import Iterable, Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -56,16 +58,10 @@ class Bpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_rx = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.size = 1 + max([*self.vocab.values(), *self.special.values()])
-        self.trie: dict[int, int] = {}              # (node, byte) -> node; the root is 0
-        self.accepts = [-1]                         # node -> token that ends there
+        self.longest = ahocorasick.Automaton()      # of tokens as ISO-8859-1 characters
         for tok, i in self.vocab.items():
-            node = 0
-            for byte in tok:
-                after = self.trie.setdefault(node << 8 | byte, len(self.accepts))
-                if after == len(self.accepts):
-                    self.accepts.append(-1)
-                node = after
-            self.accepts[node] = i
+            self.longest.add_word(tok.decode("latin-1"), i)
+        self.longest.make_automaton()
         self.bytes_of = [b""] * self.size
         for tok, i in self.vocab.items():
             self.bytes_of[i] = tok
@@ -102,17 +98,16 @@ class Bpe:
 
     # ---------------------------------------------------------------- words
 
-    def greedy(self, word: bytes) -> list[int]:
-        step, n, i, out = self.trie.get, len(word), 0, []
-        while i < n:
-            node, j = 0, i
-            while j < n and (after := step(node << 8 | word[j])) is not None:
-                node, j = after, j + 1
-                if (t := self.accepts[node]) >= 0:
-                    best, end = t, j
-            out.append(best)
-            i = end
-        return out
+    def greedy(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens, number of tokens per word) of all words, each cut into longest matches from its start on.
+
+        The words go through the automaton as one string, with a character between them that no token holds; as
+        every byte is a token, the leftmost longest match begins where the one before it ended."""
+        joined = "\u0100".join([w.decode("latin-1") for w in raw])
+        pairs = np.fromiter(itertools.chain.from_iterable(self.longest.iter_long(joined)), dtype=np.int64)
+        ends, tokens = pairs[::2], pairs[1::2]
+        first = np.cumsum([0] + [len(w) + 1 for w in raw])
+        return tokens, np.diff(np.searchsorted(ends, first))
 
     def merge(self, word: bytes) -> list[int]:
         """Exact BPE: the lowest-ranked pair merges first, the leftmost of equals first."""
@@ -227,9 +222,7 @@ class Bpe:
     def encode_words(self, words: list[str]) -> list[bytes]:
         """ids (little-endian unsigned 32-bit) of each word: speculate, verify, repair."""
         raw = [w.encode() for w in words]
-        proposed = [self.greedy(w) for w in raw]
-        counts = np.fromiter(map(len, proposed), dtype=np.int64, count=len(proposed))
-        flat = np.fromiter((t for p in proposed for t in p), dtype=np.int64, count=int(counts.sum()))
+        flat, counts = self.greedy(raw)
         fails = np.zeros(len(words), dtype=bool)
         if len(flat) > 1:
             owner = np.repeat(np.arange(len(words)), counts)
@@ -239,8 +232,10 @@ class Bpe:
         ended = np.cumsum(counts)
         ids = flat.astype("<u4").tobytes()
         out = [ids[4 * (e - c):4 * e] for e, c in zip(ended.tolist(), counts.tolist())]
-        odd = {t for t in np.unique(flat).tolist() if not self.is_whole(t)}
-        redo = [i for i, p in enumerate(proposed) if fails[i] or odd and not odd.isdisjoint(p)]
+        odd = [t for t in np.unique(flat).tolist() if not self.is_whole(t)]
+        if odd:
+            fails[np.repeat(np.arange(len(words)), counts)[np.isin(flat, odd)]] = True
+        redo = np.flatnonzero(fails).tolist()
         short = [i for i in redo if len(raw[i]) <= SHORT]
         for i, ids in zip(short, self.merge_many([raw[i] for i in short])):
             out[i] = ids
