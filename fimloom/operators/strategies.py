@@ -2,12 +2,13 @@
 
 Plan shape:
 
-    funcs --(draw strategy; mixture: written once, partitioned by strategy)--> F
+    funcs --draw strategy--> F
     F[row-local strategies] --> one projection, no shuffle
-    F[needs syntax] --by_key shuffle--> one row per content --tokenize/structure/blocks--> candidate rows
+    F[needs syntax] --by_key shuffle (mixture: a table bucketed by key, partitioned by strategy)--> S
+    S --> one row per content --tokenize/structure/blocks--> candidate rows
     candidates --groupBy key: min(struct(hash, ...))--> picks        (uniform choice, map-side combined)
     (the if re-pick uses a window over the same candidate rows; no second pass)
-    F[needs syntax] --by_key shuffle, left join picks--> one projection computes (prefix, middle, suffix, flag)
+    S --left join picks--> one projection computes (prefix, middle, suffix, flag)
 
 Syntax work is keyed by content (a 128-bit hash of path, index and text), so functions that share a
 path and index never mix; equal rows share the work and each keeps its row.
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize_bucketed
 from ..functions.draws import DEFAULT_SEED, bernoulli, draw, fkey, randint
 from ..functions.text import leading_indent, line_count, py_slice, skip_blank_forward, splitlines
 from . import lines as L
@@ -238,16 +239,14 @@ def fim(funcs: DataFrame, seed: int = DEFAULT_SEED, strategy: str | None = None,
     drawn = with_strategy(funcs, seed, strategy)
     if strategy in LOCAL:
         return assemble(with_picks(drawn, None), seed)
-    if strategy is None and stage:
-        # the mixture's branches each read only their own strategies' functions: write the drawn table
-        # once, partitioned by strategy, so every branch is a pruned scan.  A task writes a file per
-        # strategy, so as many fewer tasks write (no shuffle): about one file per input partition
-        n = drawn.rdd.getNumPartitions()
-        few = max(min(n, funcs.sparkSession.sparkContext.defaultParallelism), n // len(STRATEGIES))
-        drawn = materialize(drawn.coalesce(few) if few < n else drawn, "drawn", partition_by="strategy")
     syntax = drawn.filter(F.col("strategy").isin(*NEEDS_SYNTAX)).withColumn("ck", F.unhex(F.md5(F.encode(
         F.concat_ws("\x00", "file_path", F.col("func_index").cast("string"), "func_def"), "UTF-8"))))
-    f = by_key(syntax, KEYS)
+    if strategy is None and stage:
+        # each branch of the mixture reads only its own strategies' functions: a pruned scan of a table that is
+        # bucketed by content, so a text is shuffled once, for the write, and by no branch and no join
+        f = materialize_bucketed(syntax, "syntax", KEYS, partition_by="strategy")
+    else:
+        f = by_key(syntax, KEYS)
     picked = with_picks(f, picks(candidates(f), seed)).drop("ck")
     if strategy is None:
         picked = picked.unionByName(with_picks(drawn.filter(F.col("strategy").isin(*LOCAL)), None))

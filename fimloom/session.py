@@ -107,6 +107,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 _RELEASED: list[bool] = []
+_TABLES: list[str] = []
 
 
 def _application_dir(spark: SparkSession) -> str:
@@ -118,6 +119,8 @@ def release(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context._jsc is None or context._jsc.sc().isStopped():
         return
+    while _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
     path = context._jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -137,3 +140,18 @@ def materialize(df, name: str, partition_by: str | None = None):
     w.parquet(path)
     back = spark.read.parquet(path)
     return back.select(*df.columns) if partition_by else back      # partition columns come last
+
+
+def materialize_bucketed(df, name: str, keys: list[str], partition_by: str):
+    """Like ``materialize``, laid out by a hash of ``keys`` into as many buckets as there are shuffle partitions.
+
+    The rows are shuffled once, for the write; windows, aggregates and joins on ``keys`` read the buckets as they are,
+    in every branch of a plan.  The table is external, under a name of its own, and goes with ``release``."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"fimloom_{name}_{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
+    _TABLES.append(table)
+    (df.repartition(n, *keys).write.mode("overwrite").partitionBy(partition_by).bucketBy(n, *keys)
+     .option("path", path).saveAsTable(table))
+    return spark.table(table).select(*df.columns)

@@ -13,14 +13,18 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_mixture_shuffles_only_by_function_key(spark):
-    plan = plan_of(fim(registry.functions(spark, SF_SMALL)))
-    exchanges = re.findall(r"Exchange (\w+)\(([^)]*)\)", plan)
-    assert exchanges, plan
-    for kind, cols in exchanges:
-        assert kind == "hashpartitioning", (kind, cols)
-        assert re.fullmatch(r"ck#\d+, key#\d+, \d+", cols.strip()), cols
-    assert "BroadcastExchange" not in plan
+def test_mixture_shuffles_texts_once(spark, monkeypatch):
+    """Texts that need syntax are shuffled for the bucketed table; its branches and the join read the buckets."""
+    from fimloom.operators import strategies
+    written, own = [], strategies.materialize_bucketed
+    monkeypatch.setattr(strategies, "materialize_bucketed", lambda df, *a, **k: (written.append(df), own(df, *a, **k))[1])
+    df = fim(registry.functions(spark, SF_SMALL))
+    text = df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    moved = re.findall(r"\(\d+\) (\w*Exchange)[^\n]*\n(Input \[[^\n]*)", text)
+    assert moved and all(kind == "Exchange" and "func_def" not in cols for kind, cols in moved), moved       # candidate spans alone
+    assert set(re.findall(r"Exchange\nInput[^\n]*\nArguments: (\w+)\(", text)) <= {"hashpartitioning"}
+    assert "Bucketed: true" in text
+    assert len(written) == 1 and "Exchange" not in plan_of(written[0])          # the write's own shuffle is all
 
 
 def test_collect_never_broadcasts_texts(spark):
@@ -43,12 +47,3 @@ def test_row_local_strategies_do_not_shuffle(spark):
     for strategy in ("single_line", "empty", "multi_line"):
         plan = plan_of(fim(registry.functions(spark, SF_SMALL), strategy=strategy))
         assert "Exchange" not in plan and "Sort" not in plan, plan
-
-
-def test_mixture_reads_row_local_functions_without_exchange(spark):
-    """Every text that needs syntax crosses two exchanges (its branch's and the join's), the others none."""
-    plan = plan_of(fim(registry.functions(spark, SF_SMALL)))
-    union = plan.split("Union")
-    assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 5
-    local = [x for x in re.split(r"\n(?=\S* *[:+]- )", plan) if "single_line" in x and "PartitionFilters" in x]
-    assert local and len(union) >= 2
