@@ -33,6 +33,10 @@ UNSAFE = "[^\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-ɏЀ-ҁ–—‘-”…€]"
 #: Entries kept in each cache of a worker, and the longest string that is cached (a full cache becomes the old
 #: one, from which what is still used moves back).
 CACHE_ENTRIES, CACHE_CHARS = 400_000, 128
+#: Characters of text encoded together: the more, the fewer different words among them.
+ENCODED_AT_ONCE = 12 << 20
+#: Begins a mark among the parts of safe texts, in which it does not occur.
+MARK = "\ue000"
 #: Words of up to so many bytes are merged together in numpy, longer ones by a heap each.
 SHORT = 64
 NEVER = np.iinfo(np.int64).max
@@ -253,10 +257,10 @@ class Bpe:
 
     def ids_of(self, words: list[str]) -> dict[str, bytes]:
         """ids of each of some different pre-tokens."""
-        known, old = self.words, self.old_words
+        known, old, parts = self.words, self.old_words, self.spaced
         out, new = {}, []
         for w in words:
-            if (x := known.get(w) or old.get(w)) is not None:
+            if (x := known.get(w) or old.get(w) or (parts.get(w[1:]) if w[0] == " " else None)) is not None:
                 out[w] = x
             else:
                 new.append(w)
@@ -270,8 +274,12 @@ class Bpe:
         return [ids[x[0]] if len(x) == 1 else b"".join([ids[w] for w in x]) for x in lists]
 
     def encode_spaced(self, parts: list[str]) -> list[bytes]:
-        """ids of each part of a text together with the space before it."""
-        return self.ids_of_lists([self.split(" " + c) for c in parts])
+        """ids of each of some different parts of a text together with the space before it."""
+        lists = [self.split(" " + c) for c in parts]
+        alone = [x[0] for x in lists if len(x) == 1]           # kept with the parts, not once more as words
+        ids = dict(zip(alone, self.encode_words(alone)))
+        several = iter(self.ids_of_lists([x for x in lists if len(x) > 1]))
+        return [ids[x[0]] if len(x) == 1 else next(several) for x in lists]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """ids of each text as little-endian unsigned 32-bit bytes, as the tokenizers library gives them.
@@ -282,39 +290,48 @@ class Bpe:
             self.spaced, self.old_spaced = {}, self.spaced
         if len(self.words) > CACHE_ENTRIES:
             self.words, self.old_words = {}, self.words
-        rows: list[list] = []                       # per text: ids, with None where they are still to come
-        holes: list[tuple[list, int, str]] = []     # of a part after a space
-        whole: list[tuple[list, int, str]] = []     # of a part that is cut by the pattern alone
-        get = self.spaced.get
+        units: list[str] = []                       # what stands after a space, and marks of other strings
+        ends: list[int] = []                        # of each text in units
+        fixed: list[bytes | None] = []              # ids of the marked strings
+        whole: list[tuple[int, str]] = []           # marked strings that are cut by the pattern alone
+
+        def mark(ids: bytes | None, part: str = "") -> None:
+            if ids is None:
+                whole.append((len(fixed), part))
+            units.append(MARK + str(len(fixed)))
+            fixed.append(ids)
+
         for text in texts:
-            row: list = []
             for k, part in enumerate(self.special_rx.split(text or "") if self.special_rx else [text or ""]):
                 if k % 2:
-                    row.append(np.array([self.special[part]], dtype="<u4").tobytes())
+                    mark(np.array([self.special[part]], dtype="<u4").tobytes())
                 elif part and (self.unsafe(part) or self.crossing(part)):
-                    whole.append((row, len(row), part))
-                    row.append(None)
+                    mark(None, part)
                 elif part:
                     first, *rest = part.split(" ")
                     if first:
-                        whole.append((row, len(row), first))
-                        row.append(None)
-                    at, found = len(row), list(map(get, rest))
-                    row += found
-                    if None in found:
-                        holes += [(row, at + i, rest[i]) for i, x in enumerate(found) if x is None]
-            rows.append(row)
+                        mark(None, first)
+                    units += rest
+            ends.append(len(units))
+        for (n, _), x in zip(whole, self.ids_of_lists([self.pre_tokens(w) for _, w in whole])):
+            fixed[n] = x
+        coded = pa.array(units, pa.large_string()).dictionary_encode()
+        codes, different = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
         spaced, old = self.spaced, self.old_spaced
-        wanted = {c for _, _, c in holes}
-        fresh = {c: old[c] for c in wanted if c in old}
-        new = [c for c in wanted if c not in fresh]
-        fresh.update(zip(new, self.encode_spaced(new)))
-        spaced.update((c, x) for c, x in fresh.items() if len(c) <= CACHE_CHARS)
-        for row, i, c in holes:
-            row[i] = fresh[c]
-        for (row, i, _), x in zip(whole, self.ids_of_lists([self.pre_tokens(w) for _, _, w in whole])):
-            row[i] = x
-        return [b"".join(row) for row in rows]
+        found = [fixed[int(c[1:])] if c[:1] == MARK else x if (x := spaced.get(c)) is not None else old.get(c) for c in different]
+        new = [i for i, x in enumerate(found) if x is None]
+        for i, x in zip(new, self.encode_spaced([different[i] for i in new])):
+            found[i] = x
+        spaced.update((c, x) for c, x in zip(different, found) if len(c) <= CACHE_CHARS and c[:1] != MARK)
+        # the ids of every unit in a row: gathered from those of the different ones
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        begins = np.cumsum(sizes) - sizes
+        flat = np.frombuffer(b"".join(found), dtype="<u4")
+        n = sizes[codes]
+        after = np.cumsum(n)
+        raw = flat[np.repeat(begins[codes] - (after - n), n) + np.arange(int(n.sum()))].tobytes()
+        cuts = np.concatenate([[0], after])[[0, *ends]] * 4
+        return [raw[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
 
     def decode(self, ids: bytes) -> str:
         table = self.bytes_of
@@ -337,7 +354,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(vocabulary)
-        for part, texts in text_slices(batches, "text"):
+        for part, texts in text_slices(batches, "text", ENCODED_AT_ONCE):
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(bpe.encode(texts), pa.binary())],
                                              names=[id_col, "ids"])
 
@@ -365,7 +382,7 @@ def round_trip_digests(docs: DataFrame, vocabulary: str) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(vocabulary)
-        for part, texts in text_slices(batches, "text"):
+        for part, texts in text_slices(batches, "text", ENCODED_AT_ONCE):
             ids = bpe.encode(texts)
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id"),

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import Bpe
+from .bpe import ENCODED_AT_ONCE, Bpe
 from .common import text_slices, with_worker_path, written
 
 #: Tokens of a group: what one task packs at once (8 MB of ids).
@@ -66,7 +66,7 @@ def tokenized_blocks(docs: DataFrame, vocabulary: str, capacity: int, end_id: in
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, end = load(vocabulary), array("I", [end_id]).tobytes()
         width = 4 * capacity
-        for part, texts in text_slices(batches):
+        for part, texts in text_slices(batches, limit=ENCODED_AT_ONCE):
             of, start, length, total, crc, rest = [], [], [], [], [], []
             for i, ids in enumerate(bpe.encode(texts)):
                 ids += end
