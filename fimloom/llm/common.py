@@ -31,21 +31,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, f"llm-{name}")
 
 
-def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text",
-                limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
-    """Slices of the batches holding about ``limit`` characters of ``column`` (one row at least)."""
+def record_slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches holding about ``limit`` bytes of ``column`` (one row at least)."""
     for batch in batches:
         lengths = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         start = size = 0
         for i, n in enumerate(lengths):
             if i > start and size + n > limit:
-                part = batch.slice(start, i - start)
-                yield part, part.column(column).to_pylist()
+                yield batch.slice(start, i - start)
                 start, size = i, 0
             size += n
         if start < len(lengths):
-            part = batch.slice(start)
-            yield part, part.column(column).to_pylist()
+            yield batch.slice(start)
+
+
+def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text",
+                limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """``record_slices`` with the column's values."""
+    for part in record_slices(batches, column, limit):
+        yield part, part.column(column).to_pylist()
 
 
 def named(name: str) -> str:

@@ -10,9 +10,10 @@ Baum-Welch starts from the counts of neighbouring symbols of all training texts:
 symbols, on the driver, whose states differ from the first.  Then every task runs forward and backward
 over its training texts, and Spark sums the likelihood and the expected counts of the tasks by (kind,
 state, symbol), until a round raises the log likelihood by less than ``TOLERANCE`` of it.  Training reads
-all texts whole, in windows of ``window`` tokens that each begin anew; scoring never cuts a text.  The tables that a task needs (the
-``head`` most frequent words and the parameters) are bounded by parameters; counts of all other words
-are joined, one row per document and word.
+all texts whole, in windows of ``window`` tokens that each begin anew; scoring never cuts a text.  Words
+are cut, numbered and looked up slice by slice in Arrow and numpy.  The tables that a task needs (the
+``head`` most frequent words, the most frequent of the longer ones, and the parameters) are bounded by
+parameters; counts of all other words are joined, one row per document and word.
 
 Cases: a null text is empty (its end alone); a null id counts as held in; repeated rows are each scored
 (and each trained on); texts and words of any length are whole; without any training row N and V are
@@ -22,52 +23,61 @@ Cases: a null text is empty (its end alone); a null id counts as held in; repeat
 from __future__ import annotations
 
 import itertools
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, named, text_slices, with_worker_path, written
+from .common import crc_mod, named, record_slices, text_slices, with_worker_path, written
 
 STATES, SYMBOLS, WINDOW = 6, 2048, 1024
 #: Training ends when a round raises the log likelihood by less than this share of it; the start, when PAIR_STEPS
 #: steps raise the mean ln probability of a pair by less than PAIR_GAIN.
-TOLERANCE, PAIR_STEPS, PAIR_GAIN = 1e-4, 5, 1e-4
-#: Most frequent words whose counts every task holds, and the longest of them in bytes.
-HEAD, HEAD_BYTES = 50_000, 40
+TOLERANCE, PAIR_STEPS, PAIR_GAIN = 1e-4, 5, 1e-5
+#: Most frequent words whose counts every task holds, and the longest of them in bytes; the same for longer ones.
+HEAD, HEAD_BYTES = 200_000, 40
+LONG_HEAD, LONG_BYTES = 1_000, 4096
 #: Classes of words that are no symbol: by length in bytes, the last for all longer ones.
 CLASSES = 16
-#: Tokens of one forward pass.
-PASS_TOKENS = 400_000
-SLICE = 2 << 20
+#: Tokens of one forward pass, and of one block of its steps when nothing but the likelihood is kept.
+PASS_TOKENS, BLOCK_TOKENS = 1_200_000, 400_000
+#: Bytes of text, and of symbols, that a task works on at once.
+SLICE, ID_SLICE = 8 << 20, 1 << 20
 
 
 def word_class(word: bytes) -> int:
     return min(len(word), CLASSES) - 1
 
 
+def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Number of words of every text; each word as its place among the different ones; the different ones (binary).
+
+    The empty string may be among the different ones; no word is it."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string()).fill_null("")))
+    lengths = pc.list_value_length(lists).to_numpy()
+    numbered = lists.flatten().dictionary_encode()
+    different, codes = numbered.dictionary.cast(pa.large_binary()), numbered.indices.to_numpy()
+    empty = pc.index(different, pa.scalar(b"", pa.large_binary())).as_py()
+    if empty < 0:
+        return lengths, codes, different
+    there = codes != empty
+    return np.bincount(np.repeat(np.arange(len(lengths)), lengths)[there], minlength=len(lengths)), codes[there], different
+
+
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """word (binary), c: how often every word stands in the texts."""
     with_worker_path(docs.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        for _, texts in text_slices(batches):
-            for t in texts:
-                if t:
-                    seen.update(t.encode().lower().split())
-            if len(seen) > 300_000:
-                yield flush(seen)
-        if seen:
-            yield flush(seen)
-
-    def flush(seen: Counter) -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
-        seen.clear()
-        return out
+        for part in record_slices(batches, "text", SLICE):
+            _, codes, different = words_of(part.column("text"))
+            n = np.bincount(codes, minlength=len(different))
+            there = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([different.take(pa.array(there)).cast(pa.binary()), pa.array(n[there], pa.int64())],
+                                             names=["word", "n"])
 
     parts = docs.select(docs[text_col].alias("text")).mapInArrow(run, "word binary, n bigint")
     return parts.groupBy("word").agg(F.sum("n").alias("c"))
@@ -78,7 +88,8 @@ class Parameters:
 
     def __init__(self, head: list[tuple[bytes, int]], tokens: int, distinct: int, ends: int, class_tokens: np.ndarray,
                  class_words: np.ndarray, states: int, symbols: int):
-        self.count = dict(head)                                  # of the head
+        self.words = pa.array([w for w, _ in head], pa.large_binary())
+        self.counts = np.array([c for _, c in head], dtype=np.int64)
         self.symbol = {w: i for i, (w, _) in enumerate(head[:symbols])}
         self.end = len(self.symbol)
         self.first_class = self.end + 1
@@ -98,42 +109,63 @@ class Parameters:
         self.move /= self.move.sum(axis=1, keepdims=True)
         self.start = np.full(states, 1 / states)
 
-    def base(self, c: int) -> float:
-        return float(np.log10((c + 0.5) / (self.tokens + 0.5 * (self.distinct + 1))))
+    def places(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Of every word its place in the head (-1: none) and its symbol."""
+        at = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy().astype(np.int64)
+        of_class = self.first_class + np.minimum(pc.binary_length(words).to_numpy(), CLASSES) - 1
+        return at, np.where((at >= 0) & (at < self.end), at, of_class)
 
-    def in_class(self, k: int, c: int) -> float:
-        """log10 share of a word with c occurrences among the words of class k that are no symbols."""
-        return float(np.log10((c + 0.5) / (self.class_tokens[k] + 0.5 * (self.class_words[k] + 1))))
+    def base(self, c: np.ndarray | int) -> np.ndarray:
+        return np.log10((c + 0.5) / (self.tokens + 0.5 * (self.distinct + 1)))
+
+    def in_class(self) -> np.ndarray:
+        """log10 share of every word of the head among the words of its class that are no symbols; 0 for symbols."""
+        k = np.minimum(pc.binary_length(self.words).to_numpy(), CLASSES) - 1
+        out = np.log10((self.counts + 0.5) / (self.class_tokens[k] + 0.5 * (self.class_words[k] + 1)))
+        out[:self.end] = 0
+        return out
+
+
+def with_ends(symbols: np.ndarray, n: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of all texts, each with its end; where every text begins, and the end of the last."""
+    return np.insert(symbols, np.cumsum(n), end), np.concatenate([[0], np.cumsum(n + 1)])
 
 
 def forward(p: Parameters, rows: list[np.ndarray], keep: bool = False):
     """ln likelihood of each row of symbols; with ``keep`` also the expected counts of all rows.
 
-    Time steps run over all rows still alive at once (rows in descending order of length)."""
+    Time steps run over all rows still alive at once (rows in descending order of length); unless ``keep``, a
+    block of steps at a time, so that a long row needs little more memory than its symbols."""
     order = sorted(range(len(rows)), key=lambda i: -len(rows[i]))
     lengths = np.array([len(rows[i]) for i in order])
     steps = int(lengths[0])
     alive = np.searchsorted(-lengths, -np.arange(steps), side="left")       # rows longer than t
     at = np.concatenate([[0], np.cumsum(alive)])
-    flat = np.empty(int(lengths.sum()), dtype=np.int64)
+    flat = np.empty(int(lengths.sum()), dtype=rows[0].dtype)
     for j, i in enumerate(order):
         flat[at[:len(rows[i])] + j] = rows[i]
-    emit = np.take(p.emit, flat, axis=1)                                     # state x token
     states = p.emit.shape[0]
-    scales = np.empty(len(flat))
     alphas = np.empty((states, len(flat))) if keep else None
     move = np.ascontiguousarray(p.move.T)
-    ends = at.tolist()
     alpha = np.tile(p.start[:, None], len(rows))
-    for t in range(steps):
-        a, b = ends[t], ends[t + 1]
-        alpha = (move @ alpha[:, :b - a] if t else alpha) * emit[:, a:b]
-        scale = alpha.sum(axis=0, out=scales[a:b])
-        alpha /= scale
-        if keep:
-            alphas[:, a:b] = alpha
+    logs = np.zeros(len(rows))
+    cuts = [0, steps] if keep else np.unique(np.append(np.searchsorted(at, np.arange(0, len(flat), BLOCK_TOKENS)), steps)).tolist()
+    for begin, stop in itertools.pairwise(cuts):
+        first, last = int(at[begin]), int(at[stop])
+        emit = np.take(p.emit, flat[first:last], axis=1)                     # state x token
+        scales = np.empty(last - first)
+        ends = (at[begin:stop + 1] - first).tolist()
+        for t in range(stop - begin):
+            a, b = ends[t], ends[t + 1]
+            alpha = (move @ alpha[:, :b - a] if begin + t else alpha) * emit[:, a:b]
+            scale = alpha.sum(axis=0, out=scales[a:b])
+            alpha /= scale
+            if keep:
+                alphas[:, a:b] = alpha
+        row = np.arange(first, last) - np.repeat(at[begin:stop], alive[begin:stop])
+        logs += np.bincount(row, weights=np.log(scales), minlength=len(rows))
     back = np.empty(len(rows))
-    back[order] = np.bincount(np.arange(len(flat)) - np.repeat(at[:-1], alive), weights=np.log(scales), minlength=len(rows))
+    back[order] = logs
     if not keep:
         return back
     moves = np.zeros((states, states))
@@ -175,14 +207,13 @@ def encoded(docs: DataFrame, shared, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = shared.value
-        symbol, first, kind = p.symbol, p.first_class, symbol_type(p)
-        for _, texts in text_slices(batches, "text", SLICE):
-            out = []
-            for t in texts:
-                ids = [symbol[w] if w in symbol else first + min(len(w), CLASSES) - 1 for w in (t or "").encode().lower().split()]
-                ids.append(p.end)
-                out.append(np.array(ids, dtype=kind).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["ids"])
+        kind = np.dtype(symbol_type(p))
+        for part in record_slices(batches, "text", SLICE):
+            n, codes, different = words_of(part.column("text"))
+            ids, at = with_ends(p.places(different)[1].astype(kind)[codes], n, p.end)
+            offsets = (at * kind.itemsize).astype(np.int32)
+            column = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+            yield pa.RecordBatch.from_arrays([column], names=["ids"])
 
     return docs.select(docs[text_col].alias("text")).mapInArrow(run, "ids binary")
 
@@ -197,7 +228,7 @@ def neighbours(ids: DataFrame, p: Parameters) -> np.ndarray:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(size * size, dtype=np.int64)
-        for _, texts in text_slices(batches, "ids", SLICE):
+        for _, texts in text_slices(batches, "ids", ID_SLICE):
             flat = np.frombuffer(b"".join(texts), dtype=kind).astype(np.int64)
             pairs = flat[:-1] * size + flat[1:]
             seen += np.bincount(pairs[flat[:-1] != end], minlength=size * size)
@@ -248,17 +279,21 @@ def expected(ids: DataFrame, shared, window: int) -> DataFrame:
         p = shared.value
         states, number = p.emit.shape[0], symbol_type(p)
         starts, moves, counts, logs = np.zeros(states), np.zeros((states, states)), np.zeros(p.emit.shape), 0.0
-        for _, texts in text_slices(batches, "ids", SLICE):
-            rows = []
-            for t in texts:
+        rows, size = [], 0
+        for _, texts in itertools.chain(text_slices(batches, "ids", ID_SLICE), [(None, None)]):
+            for t in texts or []:
                 one = np.frombuffer(t, dtype=number)
                 rows += [one[i:i + window] for i in range(0, len(one), window)]
+                size += len(one)
+            if texts and size < PASS_TOKENS // 2:             # wide passes: a step costs the same for few rows
+                continue
             for part in passes(rows):
                 found, s, m, c = forward(p, [rows[i] for i in part], keep=True)
                 logs += found.sum()
                 starts += s
                 moves += m
                 counts += c
+            rows, size = [], 0
         state, sym = np.nonzero(counts)
         i, j = np.nonzero(moves)
         kind = np.concatenate([np.zeros(states, int), np.ones(len(i), int), np.full(len(state), 2), [3]])
@@ -290,8 +325,9 @@ def train(docs: DataFrame, counts: DataFrame, states: int = STATES, symbols: int
     """Parameters from all texts of ``docs``, whose words ``counts`` (word, c) has; ``rounds`` None: until they settle."""
     ends = docs.count()
     total = counts.agg(F.sum("c"), F.count("*")).first()
-    top = (counts.where(F.length("word") <= HEAD_BYTES).orderBy(F.desc("c"), "word").limit(head)     # bounded
-           .toArrow())
+    longer = F.length("word") > HEAD_BYTES
+    top = (counts.where(~longer).orderBy(F.desc("c"), "word").limit(head)                            # bounded
+           .unionAll(counts.where(longer & (F.length("word") <= LONG_BYTES)).orderBy(F.desc("c"), "word").limit(LONG_HEAD)).toArrow())
     head_words = sorted(zip([bytes(w) for w in top["word"].to_pylist()], top["c"].to_pylist()), key=lambda x: (-x[1], x[0]))
     class_tokens, class_words = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in counts.groupBy(F.least(F.length("word"), F.lit(CLASSES)).alias("n")).agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect():
@@ -335,31 +371,32 @@ def score(docs: DataFrame, p: Parameters, counts: DataFrame, id_col: str = "doc_
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = shared.value
-        symbol, first, count = p.symbol, p.first_class, p.count
-        base = {w: p.base(c) for w, c in count.items()}
-        inner = {w: p.in_class(word_class(w), c) for w, c in count.items() if w not in symbol}
-        end = p.base(p.ends)
-        for part, texts in text_slices(batches, "text", SLICE):
-            rows, known, bases, models, rare, times = [], [], [], [], [], []
-            for t in texts:
-                words = (t or "").encode().lower().split()
-                ids = [symbol[w] if w in symbol else first + min(len(w), CLASSES) - 1 for w in words]
-                ids.append(p.end)
-                rows.append(np.array(ids, dtype=np.int64))
-                there = [base[w] for w in words if w in base]
-                tail = Counter([w for w in words if w not in base])
-                known.append(len(there) + (p.ends > 0))
-                bases.append(sum(there) + end)
-                models.append(sum([inner[w] for w in words if w in inner]))
-                rare.append(list(tail))
-                times.append(list(tail.values()))
+        base, inner, end = p.base(p.counts), p.in_class(), p.base(p.ends)
+        for part in record_slices(batches, "text", SLICE):
+            n, codes, different = words_of(part.column("text"))
+            at, symbol = p.places(different)
+            in_head = at >= 0
+            row = np.repeat(np.arange(len(n)), n)
+
+            def summed(of_head: np.ndarray) -> np.ndarray:
+                values = np.zeros(len(at))
+                values[in_head] = of_head[at[in_head]]
+                return np.bincount(row, weights=values[codes], minlength=len(n))
+
+            ids, starts = with_ends(symbol[codes], n, p.end)
+            rows = np.split(ids, starts[1:-1])
             likelihood = np.zeros(len(rows))
             for some in passes(rows):
                 likelihood[some] = forward(p, [rows[i] for i in some])
+            tail = ~in_head[codes]
+            pairs, times = np.unique(row[tail] * len(at) + codes[tail], return_counts=True)      # text and word
+            offsets = pa.array(np.searchsorted(pairs, np.arange(len(n) + 1) * len(at)), pa.int32())
+            rare = different.take(pa.array(pairs % max(1, len(at)))).cast(pa.binary())
+            known = np.bincount(row, weights=in_head[codes], minlength=len(n)).astype(np.int64) + (p.ends > 0)
             yield pa.RecordBatch.from_arrays([
-                *[part.column(c) for c in kept], pa.array([len(r) for r in rows], pa.int64()), pa.array(known, pa.int64()),
-                pa.array(bases, pa.float64()), pa.array(likelihood / np.log(10) + models, pa.float64()),
-                pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int32()))],
+                *[part.column(c) for c in kept], pa.array(n + 1, pa.int64()), pa.array(known, pa.int64()),
+                pa.array(summed(base) + end), pa.array(likelihood / np.log(10) + summed(inner)),
+                pa.ListArray.from_arrays(offsets, rare), pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32()))],
                 names=[*kept, "n_tokens", "known", "base", "model", "rare", "times"])
 
     scored = written(source.mapInArrow(run, schema), "scored")

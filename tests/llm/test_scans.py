@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -230,6 +231,35 @@ def test_scores_equal_brute_force(spark, odd, odd_rows):
         assert a[:4] == b[:4] and math.isclose(a[4], b[4], rel_tol=1e-9) and math.isclose(a[5], b[5], rel_tol=1e-9)
 
 
+def test_words_equal_pythons_split():
+    texts = [None, "", " ", "\x1f a\x0bB\x0c\u00a0b\r\n\u2003 \u00c9\u212a ", "x", "A\x00a  a\tA\u0085", "\n\nz " * 5]
+    n, codes, different = hmm_lm.words_of(pa.array(texts))
+    want = [(t or "").encode().lower().split() for t in texts]
+    assert n.tolist() == [len(w) for w in want]
+    assert [different[i].as_py() for i in codes.tolist()] == [x for w in want for x in w]
+    assert hmm_lm.words_of(pa.array([None, "  "], pa.string()))[0].tolist() == [0, 0]
+
+
+def test_blocks_of_steps_change_nothing(monkeypatch):
+    """A long row is scored block by block of its steps, with the likelihood of one pass."""
+    p, rng = tiny(), np.random.default_rng(1)
+    rows = [rng.integers(0, p.size, n).astype("<u2") for n in (3000, 1, 700, 700, 2)]
+    whole = hmm_lm.forward(p, rows)
+    monkeypatch.setattr(hmm_lm, "BLOCK_TOKENS", 97)
+    assert np.allclose(hmm_lm.forward(p, rows), whole, rtol=1e-12)
+    assert np.allclose(whole, hmm_lm.forward(p, rows, keep=True)[0], rtol=1e-12)
+
+
+def test_a_frequent_long_word_is_in_the_head(spark):
+    """A word over HEAD_BYTES is no join key if it is frequent; longer ones than LONG_BYTES are joined."""
+    long, longest = "u" * 100, "v" * (hmm_lm.LONG_BYTES + 1)
+    docs = spark.createDataFrame([(i, f"{long} {longest} w{i}") for i in range(10)], "doc_id int, text string")
+    counts = hmm_lm.word_counts(docs).cache()
+    p = hmm_lm.train(docs, counts, states=2, symbols=1, rounds=1, head=3)
+    assert long.encode() in p.words.to_pylist() and longest.encode() not in p.words.to_pylist()
+    assert {r["n_known"] for r in hmm_lm.score(docs, p, counts).collect()} == {4}
+
+
 def test_a_model_sums_to_one():
     """All texts of up to a few symbols and the end: with the end absorbing, probabilities add up."""
     p = tiny()
