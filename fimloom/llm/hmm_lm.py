@@ -37,7 +37,7 @@ STATES, SYMBOLS, WINDOW = 6, 2048, 1024
 #: Training ends when a round raises the log likelihood by less than this share of it; the start, when PAIR_STEPS
 #: steps raise the mean ln probability of a pair by less than PAIR_GAIN.
 TOLERANCE, PAIR_STEPS, PAIR_GAIN = 1e-4, 5, 1e-5
-#: Most frequent words whose counts every task holds, and the longest of them in bytes; the same for longer ones.
+#: Most frequent words (at most) whose counts every task holds, and the longest of them in bytes; the same for longer ones.
 HEAD, HEAD_BYTES = 200_000, 40
 LONG_HEAD, LONG_BYTES = 1_000, 4096
 #: Classes of words that are no symbol: by length in bytes, the last for all longer ones.
@@ -83,6 +83,21 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return parts.groupBy("word").agg(F.sum("n").alias("c"))
 
 
+def frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The words whose count reaches a bound: the smallest one (to twelve binary digits) that at most ``most`` words reach.
+
+    Only the number of words by bound goes to the driver, some 100,000 at most, and no task reads other tasks' words."""
+    binary = counts.select("c", F.greatest(F.floor(F.log2("c")) - 11, F.lit(0)).cast("int").alias("cut"))
+    sizes = binary.groupBy(F.expr("shiftleft(shiftright(c, cut), cut)").alias("bound")).agg(F.count("*").alias("n")).collect()
+    reached, least = 0, None
+    for bound, n in sorted(map(tuple, sizes), reverse=True):
+        reached += n
+        if reached > most:
+            break
+        least = bound
+    return counts.where(F.col("c") >= least if least is not None else F.lit(False)).select("word", "c")
+
+
 class Parameters:
     """Vocabulary of the model and its probabilities; what is broadcast to the tasks."""
 
@@ -326,8 +341,8 @@ def train(docs: DataFrame, counts: DataFrame, states: int = STATES, symbols: int
     ends = docs.count()
     total = counts.agg(F.sum("c"), F.count("*")).first()
     longer = F.length("word") > HEAD_BYTES
-    top = (counts.where(~longer).orderBy(F.desc("c"), "word").limit(head)                            # bounded
-           .unionAll(counts.where(longer & (F.length("word") <= LONG_BYTES)).orderBy(F.desc("c"), "word").limit(LONG_HEAD)).toArrow())
+    top = frequent(counts.where(~longer), head).unionAll(
+        frequent(counts.where(longer & (F.length("word") <= LONG_BYTES)), LONG_HEAD)).toArrow()      # bounded
     head_words = sorted(zip([bytes(w) for w in top["word"].to_pylist()], top["c"].to_pylist()), key=lambda x: (-x[1], x[0]))
     class_tokens, class_words = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in counts.groupBy(F.least(F.length("word"), F.lit(CLASSES)).alias("n")).agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect():

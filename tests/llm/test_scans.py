@@ -260,6 +260,16 @@ def test_a_frequent_long_word_is_in_the_head(spark):
     assert {r["n_known"] for r in hmm_lm.score(docs, p, counts).collect()} == {4}
 
 
+def test_frequent_words(spark):
+    """All words down to a bound, never more than asked for, whatever ties there are."""
+    rows = [(f"w{i}", c) for i, c in enumerate([1] * 50 + [2] * 10 + [3, 3, 4096, 4097, 1 << 40])]
+    counts = spark.createDataFrame(rows, "word string, c long")
+    got = {most: sorted(r["c"] for r in hmm_lm.frequent(counts, most).collect()) for most in (0, 1, 2, 4, 5, 14, 15, 64, 65)}
+    every = sorted(c for _, c in rows)
+    assert {k: len(v) for k, v in got.items()} == {0: 0, 1: 1, 2: 1, 4: 3, 5: 5, 14: 5, 15: 15, 64: 15, 65: 65}
+    assert all(v == every[len(every) - len(v):] for v in got.values())
+
+
 def test_a_model_sums_to_one():
     """All texts of up to a few symbols and the end: with the end absorbing, probabilities add up."""
     p = tiny()
