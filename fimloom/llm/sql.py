@@ -129,7 +129,7 @@ FROM d LEFT JOIN places p USING (rid) LEFT JOIN found f USING (rid)
 """
 
 
-def url_rules(listed: list[tuple[str, str, str]], support: float = 0.002, confidence: float = 0.9, lift: float = 1.1, most: int = 4) -> str:
+def url_rules(listed: list[tuple[str, str, str]], support: float = 0.002, confidence: float = 0.9, lift: float = 1.1, most: int = 4, least: int = 5) -> str:
     rules = ", ".join(f"({q(h)}, {q(p)}, {q(v)})" for h, p, v in listed)
     # token sets of up to four of a URL's tokens, in order
     sets = " UNION ALL ".join(
@@ -158,7 +158,7 @@ sets AS ({sets}),
 counted AS (SELECT tokens, verdict, count(*) AS c, sum(count(*)) OVER (PARTITION BY tokens) AS c_all FROM sets GROUP BY tokens, verdict),
 mined AS (SELECT tokens, verdict AS label, c / c_all AS confidence, c / (SELECT n FROM total) AS support
           FROM counted JOIN share ON v = verdict
-          WHERE c >= ceil({support} * (SELECT n FROM total)) AND c / c_all >= {confidence} AND c / c_all / p >= {lift}),
+          WHERE c >= greatest({least}, ceil({support} * (SELECT n FROM total))) AND c / c_all >= {confidence} AND c / c_all / p >= {lift}),
 parts AS (SELECT tokens, label, confidence, unnest(list_transform(tokens, lambda x: [x]) || list_transform(tokens, lambda x: list_filter(tokens, lambda y: y <> x))) AS part
           FROM mined WHERE len(tokens) > 1),
 kept AS (SELECT m.* FROM mined m WHERE NOT EXISTS (SELECT 1 FROM parts x JOIN mined s ON s.tokens = x.part AND s.label = x.label AND s.confidence >= x.confidence

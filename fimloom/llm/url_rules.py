@@ -65,16 +65,40 @@ def tokens_of(url: Column) -> Column:
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(named))
 
 
-def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.9, lift: float = 1.1, most_tokens: int = 4) -> DataFrame:
+def stand_ins(rows: DataFrame) -> DataFrame:
+    """token, stand_in: the first of the tokens that stand in exactly the same rows (columns row, token).
+
+    Rows are compared by their number and two sums of hashes, gathered with partial aggregation."""
+    same = rows.groupBy("token").agg(F.count("*").alias("n"), F.sum(F.xxhash64("row").cast("decimal(20,0)")).alias("a"),
+                                     F.bit_xor(F.xxhash64("row", F.lit(1))).alias("b"))
+    first = same.groupBy("n", "a", "b").agg(F.min("token").alias("stand_in"))
+    return same.join(first, ["n", "a", "b"]).select("token", "stand_in")
+
+
+def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.9, lift: float = 1.1, most_tokens: int = 4,
+         least_rows: int = 5) -> DataFrame:
     """Rules (rule_id, label, tokens, confidence, support, lift) from rows of url and label.
 
-    A rule that holds whenever a shorter one of the same label and no less confidence holds is pruned."""
-    baskets = labelled.where("url is not null and label is not null").select(
-        F.array_append(tokens_of(F.col("url")), F.concat(F.lit(LABEL), F.col("label"))).alias("items"))
-    if baskets.isEmpty():
+    A rule holds for ``least_rows`` rows and the share ``support`` of them; it has up to ``most_tokens`` tokens.  One that
+    holds whenever a shorter one of the same label and no less confidence holds is pruned.  Tokens that always stand
+    together (the segments of one repeated long URL) are mined as one and put back into the rules: two of them in one rule are
+    redundant, so nothing is lost, and sets of them are never listed."""
+    baskets = written(labelled.where("url is not null and label is not null").select(
+        F.monotonically_increasing_id().alias("row"), F.concat(F.lit(LABEL), F.col("label")).alias("label"),
+        tokens_of(F.col("url")).alias("tokens")), "baskets")
+    number = baskets.count()
+    if not number:
         return labelled.sparkSession.createDataFrame(
             [], "rule_id bigint, label string, tokens array<string>, confidence double, support double, lift double")
-    found = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets).associationRules
+    rows = baskets.select("row", F.explode("tokens").alias("token"))
+    # only tokens frequent enough for a rule: at most tokens a row / support of them
+    least = max(support, (least_rows - 0.5) / number)
+    often = rows.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") >= least * number).select("token")
+    tokens = written(rows.join(often, "token").join(stand_ins(rows), "token"), "tokens")
+    items = tokens.where("token = stand_in").groupBy("row").agg(F.collect_list("token").alias("items"))
+    items = baskets.join(items, "row", "left").select(
+        F.array_append(F.coalesce("items", F.array().cast("array<string>")), F.col("label")).alias("items"))
+    found = FPGrowth(itemsCol="items", minSupport=least, minConfidence=confidence).fit(items).associationRules
     rules = written(found.where(F.startswith(F.col("consequent")[0], F.lit(LABEL)) & (F.size("antecedent") <= most_tokens)
                                 & (F.col("lift") >= lift)).select(
         F.expr(f"substring(consequent[0], {len(LABEL) + 1})").alias("label"), F.array_sort("antecedent").alias("tokens"),
@@ -86,6 +110,16 @@ def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.9, l
     redundant = parts.where(F.col("part") != F.col("tokens")).join(
         short, (F.col("part") == F.col("t")) & (F.col("label") == F.col("l")) & (F.col("c") >= F.col("confidence"))).select("label", "tokens")
     kept = rules.join(redundant, ["label", "tokens"], "left_anti")
+    # every choice of the tokens that a rule's stand-ins are for
+    alike = tokens.select("stand_in", "token").distinct().groupBy("stand_in").agg(F.collect_list("token").alias("alike"))
+    choices = kept.select("*", F.posexplode("tokens").alias("at", "stand_in")).join(
+        alike, "stand_in").groupBy("label", "tokens", "confidence", "support", "lift").agg(
+        F.array_sort(F.collect_list(F.struct("at", "alike"))).alias("choices"))
+    chosen = choices.withColumn("tokens", F.array().cast("array<string>"))
+    for i in range(most_tokens):
+        chosen = chosen.withColumn("one", F.explode(F.coalesce(F.get("choices", F.lit(i))["alike"], F.array(F.lit(None).cast("string"))))
+                                   ).withColumn("tokens", F.array_compact(F.array_append("tokens", F.col("one"))))
+    kept = chosen.select("label", F.array_sort("tokens").alias("tokens"), "confidence", "support", "lift")
     return written(kept.withColumn("rule_id", F.monotonically_increasing_id()), "rules").select(
         "rule_id", "label", "tokens", "confidence", "support", "lift")
 

@@ -71,6 +71,34 @@ def test_mined_rules_equal_brute_force(spark):
         assert got.get(u) == (max(fit)[2:] if fit else None)
 
 
+def test_long_repeated_urls_are_mined(spark):
+    """Tokens that always stand together are mined as one, and each of them makes its rules all the same."""
+    long = "http://long.site.net/" + "/".join(f"s{i}" for i in range(24))
+    rows = [(long, "block")] * 20 + [(f"http://h{i % 7}.other.net/p{i % 3}/{i}", "allow") for i in range(300)]
+    rows += [(f"http://h1.far.net/{'/'.join(f'x{i}y{k}' for k in range(12))}", "block") for i in range(4)]      # too rare
+    rules = url_rules.mine(spark.createDataFrame(rows, "url string, label string")).collect()
+    found = {(r["label"], tuple(r["tokens"])) for r in rules}
+    assert {("block", (f"path:s{i}",)) for i in range(24)} | {("block", ("site:site.net",)), ("block", ("host:long",))} <= found
+    assert len(found) == len(rules) and all(len(t) == 1 for y, t in found if y == "block")
+    assert not any("x0y0" in x for _, t in found for x in t)
+
+
+def test_tokens_alike_equal_mining_without_stand_ins(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = []
+    for _ in range(300):
+        a, b = rng.choice("uvw"), rng.choice("kl")
+        rows.append((f"http://{a}1.{a}2.{b}.net/{b}/{rng.choice('mn')}", "block" if a == "u" and b == "k" or rng.random() < 0.03 else "allow"))
+    labelled = spark.createDataFrame(rows, "url string, label string")
+
+    def mined():
+        return sorted((r["label"], r["tokens"], round(r["confidence"], 9), round(r["support"], 9), round(r["lift"], 9))
+                      for r in url_rules.mine(labelled, support=0.02, confidence=0.8).collect())
+    joint = mined()
+    monkeypatch.setattr(url_rules, "stand_ins", lambda rows: rows.select("token", F.col("token").alias("stand_in")).distinct())
+    assert joint == mined() and any(len(r[1]) > 1 for r in joint)
+
+
 def test_url_rules_without_rows_or_labels(spark):
     none = spark.createDataFrame([], "page_id long, url string")
     assert url_rules.judge(none, queries.LISTED).collect() == []
