@@ -55,8 +55,9 @@ def word_class(word: bytes) -> int:
 def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Number of words of every text; each word as its place among the different ones; the different ones (binary).
 
-    The empty string may be among the different ones; no word is it."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string()).fill_null("")))
+    The empty string may be among the different ones; no word is it.  Texts are lowered first: that gives an array of its own,
+    as the wider offsets that the cast gives to part of an array do not begin with its bytes."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts).cast(pa.large_string()).fill_null(""))
     lengths = pc.list_value_length(lists).to_numpy()
     numbered = lists.flatten().dictionary_encode()
     different, codes = numbered.dictionary.cast(pa.large_binary()), numbered.indices.to_numpy()

@@ -240,6 +240,34 @@ def test_words_equal_pythons_split():
     assert hmm_lm.words_of(pa.array([None, "  "], pa.string()))[0].tolist() == [0, 0]
 
 
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_words_of_part_of_a_batch(kind):
+    """A large Arrow batch is worked on in slices: the words of each are its own, without null texts too."""
+    texts = ["First text ", "the  Second", "", "third\tONE  \u00c9", "x"]
+    for i, k in itertools.combinations(range(len(texts) + 1), 2):
+        n, codes, different = hmm_lm.words_of(pa.array(texts, kind).slice(i, k - i))
+        want = [t.encode().lower().split() for t in texts[i:k]]
+        assert n.tolist() == [len(w) for w in want]
+        assert [different[c].as_py() for c in codes.tolist()] == [x for w in want for x in w]
+
+
+def test_base_scores_of_batches_in_slices(spark):
+    """Exact columns over an Arrow batch of more bytes than a task works on at once, none of its texts null."""
+    rows = [(i, " ".join(f"w{i * j % 11}" + "x" * 200_000 * (j == 3) for j in range(1, 9))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    counts = Counter(w for _, t in rows for w in t.split())
+    total = sum(counts.values()) + len(rows)
+    found = {bytes(r["word"]).decode(): r["c"] for r in hmm_lm.word_counts(docs).collect()}
+    assert found == counts
+    model = hmm_lm.train(docs, hmm_lm.word_counts(docs), states=2, symbols=3, rounds=1, head=5)
+    got = {r["doc_id"]: r for r in hmm_lm.score(docs, model, hmm_lm.word_counts(docs)).collect()}
+    for i, t in rows:
+        c = [counts[w] for w in t.split()] + [len(rows)]
+        want = sum(math.log10((x + 0.5) / (total + 0.5 * (len(counts) + 2))) for x in c)
+        assert (got[i]["n_tokens"], got[i]["n_known"], got[i]["train_tokens"]) == (len(c), len(c), total)
+        assert got[i]["base_score"] == pytest.approx(want, rel=1e-12)
+
+
 def test_blocks_of_steps_change_nothing(monkeypatch):
     """A long row is scored block by block of its steps, with the likelihood of one pass."""
     p, rng = tiny(), np.random.default_rng(1)
