@@ -1,0 +1,59 @@
+"""What is blanked before blocks and definitions are searched leaves their rows as they are."""
+
+import random
+
+from pyspark.sql import functions as F
+
+from conftest import files_df, funcs_df
+from fimloom.operators import extract, nodes, tokens
+
+KEYS = nodes.KEYS
+PARTS = ["{", "}", "{", "}", "(", ")", "(x)", ";", ";", "f", "int", "if (a)", "else", "do", "while (a)", "switch (x) {", "case 1:", "default :", ":", "=",
+         "*", "const", "x = f(a, (b));", "x++;", "\n#if A\n", "\n#else\n", "/* { \n */", "// }\n", '"{;\\\n"', "'}'", "{ a; b; }", "int b[2] = {1, {2}};",
+         "= {1, 2};", "M(a) {", "\\", '"', "\r\n", " ", "\x0b", "int o(a) int a; int h(int); {", "if (x) { y; }", "else { z; }", "else if (q) {",
+         "for (i = 0; i < 3; i++) {", "a ? b : c;", 'extern "C" {', "{ case 2: { p(); q(); } }"]
+
+
+def _blocks(f):
+    b = tokens.blocks(tokens.structure(tokens.tokenize(f, KEYS, "func_def"), KEYS, skeleton=True), KEYS)
+    return {tuple(r) for r in b.select(*KEYS, "st", "en", "depth", "kind", "parent_kind", "n_lines", "name",
+                                       F.when(F.col("kind") == "else", F.col("prev2_tok"))).collect()}
+
+
+def test_blocks_without_their_statements(spark):
+    """Random texts of tokens: every block has the same place, kind, parent, lines and name."""
+    rng = random.Random(5)
+    f = extract.by_key(funcs_df(spark, [rng.choice(["int f(int a) {", ""]) + " " + " ".join(rng.choice(PARTS) for _ in range(rng.choice([6, 15, 40])))
+                                        for _ in range(4000)]), KEYS)
+    whole = _blocks(f)
+    assert _blocks(f.withColumn("func_def", tokens.without_statements("func_def"))) == whole and len(whole) > 3000
+
+
+def test_statements_make_no_token_rows(spark):
+    """Statements in a row are one token to the search of blocks; places and the number of lines are kept."""
+    text = "int f(int a)\n{\n" + "  a = g(a, \"}\") + 1; /* { */\n" * 200 + "  if (a) {\n" + "    a--;\n" * 30 + "  }\n  return a;\n}\n"
+    f = funcs_df(spark, [text])
+    thin = f.select(*KEYS, tokens.without_statements("func_def").alias("func_def"))
+    new = thin.first()["func_def"]
+    assert len(new) == len(text) and new.count("\n") == text.count("\n")
+    assert tokens.tokenize(thin, KEYS, "func_def").count() < 30 < 2000 < tokens.tokenize(f, KEYS, "func_def").count()
+    row = nodes.nodes_if_else_block(f).first()
+    assert (row["st"], row["en"], row["n_lines"]) == (text.index("{", text.index("if (a)")), text.rindex("return") - 2 - 1, 32)
+
+
+def test_functions_without_arguments(spark, monkeypatch):
+    """Random files: the same definitions whether or not the insides of parens are blanked."""
+    rng = random.Random(6)
+    files = extract.by_key(files_df(spark, [(f"/r/{i}.c", " ".join(rng.choice(PARTS + ["(*f)(int a)", "(struct s *x)", "int g(int a) {", "f(a; b)"])
+                                                                  for _ in range(rng.choice([5, 12, 40])))) for i in range(3000)]), ["file_path"])
+    thin = {tuple(r) for r in extract.function_spans(files).collect()}
+    monkeypatch.setattr(extract, "without_arguments", lambda text: text)
+    monkeypatch.setattr(extract, "thinned", lambda text: text)
+    assert thin == {tuple(r) for r in extract.function_spans(files).collect()} and len(thin) > 200
+
+
+def test_initialisers_are_thinned(spark):
+    """A statement with an initialiser does not end the blanking of a body."""
+    text = "int f(int a)\n{\n  int b[2][2] = {{1, g(2)}, {3, 4}};\n  if (a) { b[0][0] = a; }\n  return a;\n}\n"
+    row = files_df(spark, [("a", text)]).select(tokens.thinned("text").alias("thin")).first()
+    assert row["thin"].split() == "int f(int a) { }".split() and len(row["thin"]) == len(text)
