@@ -30,11 +30,12 @@ from .common import text_slices, with_worker_path
 SAFE_PATTERN = r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
 UNSAFE = "[^\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-ɏЀ-ҁ–—‘-”…€]"
 
-#: Entries kept in each cache of a worker, and the longest string that is cached (a full cache becomes the old
-#: one, from which what is still used moves back).
-CACHE_ENTRIES, CACHE_CHARS = 400_000, 128
-#: Characters of text encoded together: the more, the fewer different words among them.
-ENCODED_AT_ONCE = 12 << 20
+#: Entries from which a cache of a worker is full (the next slice begins a new one), and the longest string that is
+#: cached (a full cache becomes the old one, from which what is still used moves back).
+CACHE_ENTRIES, CACHE_CHARS = 50_000, 128
+#: Characters of text encoded together: the more, the fewer different words among them.  A worker keeps what this takes
+#: also while later stages run in it, beside an executor's heap and the other workers.
+ENCODED_AT_ONCE = 6 << 20
 #: Begins a mark among the parts of safe texts, in which it does not occur.
 MARK = "\ue000"
 #: Words of up to so many bytes are merged together in numpy, longer ones by a heap each.

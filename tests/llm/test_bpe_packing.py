@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import hashlib
 import random
+import subprocess
+import sys
 import zlib
 from collections import defaultdict
 
@@ -13,6 +15,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from fimloom.llm import bpe, packing
+from fimloom.llm.common import ROOT
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -82,6 +85,25 @@ def test_small_caches_change_nothing(monkeypatch, library):
         assert b.encode(texts) == [as_bytes(x.ids) for x in library.encode_batch(texts, add_special_tokens=False)]
 
 
+WORKER = """
+import random, resource, sys
+from fimloom.llm import bpe, packing
+b, rng = packing.LibraryIds(sys.argv[1]), random.Random(4)
+words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 8))) for _ in range(400_000)]
+start = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+for _ in range(5):
+    part = " ".join(rng.choices(words, k=bpe.ENCODED_AT_ONCE // 6))
+    assert sum(map(len, b.encode([part[i:i + 3000] for i in range(0, len(part), 3000)])))
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - start) // 1024)
+"""
+
+
+def test_memory_of_a_worker_is_bounded():
+    """Slices and caches of one worker take less than 350 MB beside its tables, however much it has encoded."""
+    run = subprocess.run([sys.executable, "-c", WORKER, PATH], capture_output=True, text=True, timeout=300, check=True, cwd=ROOT)
+    assert int(run.stdout) < 350
+
+
 @pytest.mark.parametrize("group_tokens", [1 << 21, 2000])
 def test_pack_holds_every_token_once(odd, odd_rows, library, group_tokens):
     capacity = 256
