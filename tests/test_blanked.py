@@ -41,6 +41,21 @@ def test_statements_make_no_token_rows(spark):
     assert (row["st"], row["en"], row["n_lines"]) == (text.index("{", text.index("if (a)")), text.rindex("return") - 2 - 1, 32)
 
 
+def test_blocks_of_files_without_their_statements(spark, monkeypatch):
+    """Random files (unbalanced ones too): the same blocks, from fewer token rows."""
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(PARTS + ["int g(int);", "int g(int a) {", "struct s { int a; } t;", "#pragma x\n", "int o(a) int a; {"])
+                      for _ in range(rng.choice([6, 15, 40, 90]))) for _ in range(4000)]
+    files = extract.by_key(files_df(spark, [(f"/r/{i}.c", t) for i, t in enumerate(texts)]), ["file_path"])
+    seen = []
+    monkeypatch.setattr(extract, "tokenize", lambda df, keys, text: seen.append(tokens.tokenize(df, keys, text)) or seen[-1])
+    columns = ["file_path", "st", "en", "depth", "kind", "parent_kind", "n_lines", "name"]
+    bare = {tuple(r) for r in extract.file_blocks(files).select(*columns).collect()}
+    whole = tokens.blocks(tokens.structure(tokens.tokenize(files, ["file_path"], "text"), ["file_path"], skeleton=True, clamp=True), ["file_path"])
+    assert bare == {tuple(r) for r in whole.select(*columns).collect()} and len(bare) > 5000
+    assert seen[0].count() < tokens.tokenize(files, ["file_path"], "text").count()
+
+
 def test_functions_without_arguments(spark, monkeypatch):
     """Random files: the same definitions whether or not the insides of parens are blanked."""
     rng = random.Random(6)
